@@ -31,7 +31,7 @@ ROWS = {
                 " WHEN '3-MEDIUM' THEN 'Med' WHEN '5-LOW' THEN 'LOW' ELSE '' END END",
     "status": "CASE WHEN v = 2 THEN 'Closed' WHEN n % 101 = 0 THEN '' WHEN n % 617 = 0 THEN 'weird'"
               " ELSE CASE o_orderstatus WHEN 'O' THEN 'In Progress' WHEN 'F' THEN 'Closed' ELSE 'Pending Vendor' END END",
-    "building": "CASE WHEN n % 101 = 0 THEN 'Block 1' WHEN n % 307 = 0 THEN 'system' WHEN n % 311 = 0 THEN 'unknown'"
+    "building": "CASE WHEN n % 101 = 0 THEN 'Block 1' WHEN n % 307 = 0 THEN 'admin' WHEN n % 311 = 0 THEN 'unknown'"
                 " ELSE 'Block ' || CAST(n % 17 AS VARCHAR(20)) END",
     "description": "CASE WHEN n % 509 = 0 THEN 'DELETE ME' WHEN n % 101 = 0 THEN 'bugs in office'"
                    " WHEN n % 12 = 11 THEN 'Pest' ELSE CASE n % 9"
