@@ -228,24 +228,26 @@ def resolve_category(rows: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ keyword classifier
-def _keyword_pattern(word: str) -> str:
+def _keyword_hit(text: Column, word: str) -> Column:
+    """A word start, or a whole word for keywords of up to three letters. The plain search goes first:
+    most keywords do not occur at all."""
     tail = "(?![a-z])" if len(word) <= 3 else ""
-    return rf"(?<![a-z])\Q{word}\E{tail}"
+    return (F.contains(text, F.lit(word)) & text.rlike(rf"(?<![a-z])\Q{word}\E{tail}")).cast("int")
 
 
-def keyword_score(text: Column) -> Column:
-    """struct(category, confidence): the category with most matching keywords."""
-    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    scores = []
-    for category, words in fv.KEYWORDS.items():
-        hits = reduce(lambda a, b: a + b, [padded.rlike(_keyword_pattern(w)).cast("int") for w in words])
-        scores.append(F.struct(hits.alias("hits"), F.lit(category).alias("category")))
-    board = F.array(*scores)
-    best = F.array_max(F.transform(board, lambda s: s["hits"]))
-    winners = F.array_sort(F.transform(F.filter(board, lambda s: s["hits"] == best), lambda s: s["category"]))
-    return F.when(best == 0, F.struct(F.lit("unknown").alias("category"), F.lit(0.3).alias("confidence"))).otherwise(
-        F.struct(F.element_at(winners, 1).alias("category"),
-                 F.when(F.size(winners) == 1, 0.6).otherwise(0.4).alias("confidence")))
+def keyword_score(rows: DataFrame, text: Column) -> DataFrame:
+    """Add guess and guess_confidence: the category with most matching keywords. In steps, so that the
+    keywords are searched once per text."""
+    board = F.array(*[F.struct(reduce(lambda a, b: a + b, [_keyword_hit(F.col("_low"), w) for w in words]).alias("hits"),
+                               F.lit(category).alias("category")) for category, words in fv.KEYWORDS.items()])
+    rows = rows.withColumn("_low", F.lower(text)).withColumn("_board", board)
+    rows = rows.withColumn("_best", F.array_max(F.transform("_board", lambda s: s["hits"])))
+    rows = rows.withColumn("_won", F.array_sort(F.transform(F.filter("_board", lambda s: s["hits"] == F.col("_best")),
+                                                            lambda s: s["category"])))
+    none = F.col("_best") == 0
+    return (rows.withColumn("guess", F.when(none, "unknown").otherwise(F.element_at("_won", 1)))
+            .withColumn("guess_confidence", F.when(none, 0.3).when(F.size("_won") == 1, 0.6).otherwise(0.4))
+            .drop("_low", "_board", "_best", "_won"))
 
 
 def is_junk(text: Column) -> Column:
@@ -256,31 +258,30 @@ def is_junk(text: Column) -> Column:
 def classify_labels(labels: DataFrame, col: str = "label") -> DataFrame:
     """Rule-based guess per distinct label: kind, category, confidence."""
     text = F.col(col)
-    scored = labels.withColumn("_junk", is_junk(text)).withColumn("_s", keyword_score(text))
+    scored = keyword_score(labels.withColumn("_junk", is_junk(text)), text)
     kind = (F.when(F.col("_junk"), "junk").when(text.isin(fv.GENERIC_LABELS), "generic_label")
             .when(clean.word_count(text) >= 4, "description_text").otherwise("category_label"))
     plain = F.col("_junk") | text.isin(fv.GENERIC_LABELS)
     return (scored.withColumn("label_kind", kind)
-            .withColumn("category", F.when(plain, "unknown").otherwise(F.col("_s.category")))
-            .withColumn("confidence", F.when(plain, 0.6).otherwise(F.col("_s.confidence")))
-            .withColumn("source", F.lit("rules")).drop("_junk", "_s"))
+            .withColumn("category", F.when(plain, "unknown").otherwise(F.col("guess")))
+            .withColumn("confidence", F.when(plain, 0.6).otherwise(F.col("guess_confidence")))
+            .withColumn("source", F.lit("rules")).drop("_junk", "guess", "guess_confidence"))
 
 
 def classify_templates(templates: DataFrame, col: str = "template") -> DataFrame:
     """Rule-based guess per distinct template: category, severity, hazard, confidence."""
     text = F.lower(col)
-    scored = (templates.withColumn("_t", text).withColumn("_junk", is_junk(F.col("_t")))
-              .withColumn("_s", keyword_score(F.col("_t"))))
+    scored = keyword_score(templates.withColumn("_t", text).withColumn("_junk", is_junk(F.col("_t"))), F.col("_t"))
     t, junk = F.col("_t"), F.col("_junk")
     severity = (F.when(junk, "low").when(clean.contains_any(t, fv.SEVERITY_CRITICAL), "critical")
                 .when(clean.contains_any(t, fv.SEVERITY_HIGH), "high")
                 .when(clean.contains_any(t, fv.SEVERITY_LOW), "low").otherwise("medium"))
-    return (scored.withColumn("category", F.when(junk, "unknown").otherwise(F.col("_s.category")))
+    return (scored.withColumn("category", F.when(junk, "unknown").otherwise(F.col("guess")))
             .withColumn("issue_type", F.lit("unclassified"))
             .withColumn("severity", severity)
             .withColumn("is_safety_hazard", ~junk & clean.contains_any(t, fv.HAZARD))
-            .withColumn("confidence", F.when(junk, 0.6).otherwise(F.col("_s.confidence")))
-            .withColumn("source", F.lit("rules")).drop("_t", "_junk", "_s"))
+            .withColumn("confidence", F.when(junk, 0.6).otherwise(F.col("guess_confidence")))
+            .withColumn("source", F.lit("rules")).drop("_t", "_junk", "guess", "guess_confidence"))
 
 
 def worklist_labels(valid: DataFrame, labels: DataFrame, pending: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from layerwright import fixed_values as fv
+from layerwright import session
 from layerwright.functions import clean
 
 
@@ -28,21 +29,24 @@ def _prefix(sets: DataFrame, rarity: DataFrame, threshold: float) -> DataFrame:
     ranked = words.join(rarity, ["kind", "token"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
     rank = F.row_number().over(Window.partitionBy("set_id").orderBy("df", "token"))
     keep = F.col("n") - F.ceil(F.col("n") * threshold - F.lit(1e-9)) + 1
-    return ranked.withColumn("r", rank).filter(F.col("r") <= keep).select("set_id", "kind", "n", "token")
+    return ranked.withColumn("r", rank).filter(F.col("r") <= keep).select("set_id", "kind", "n", "r", "token")
 
 
 def similar_sets(probe: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
     """probe_id, index_id, similarity for all pairs of distinct sets of one kind with Jaccard >= threshold.
 
-    Pairs come from an equality join on rare tokens (prefix filter) with a length condition, so only
-    sets that can reach the threshold meet; each candidate is then measured exactly. No pair is lost.
+    Pairs come from an equality join on rare tokens (prefix filter) with two conditions: the lengths can
+    reach the threshold, and so can the tokens left from the match on (both sides are in the same order,
+    so the first common token of a wanted pair always passes). Each candidate is then measured exactly.
     """
     words = index.select("kind", F.explode("tokens").alias("token"))
     rarity = words.groupBy("kind", "token").agg(F.count("*").alias("df"))
-    p = _prefix(probe, rarity, threshold).select(F.col("set_id").alias("probe_id"), "kind", "token", F.col("n").alias("pn"))
-    i = _prefix(index, rarity, threshold).select(F.col("set_id").alias("index_id"), "kind", "token", F.col("n").alias("i_n"))
-    fits = (F.col("pn") >= F.col("i_n") * threshold) & (F.col("i_n") >= F.col("pn") * threshold)
-    pairs = p.join(i, ["kind", "token"]).filter(fits).select("probe_id", "index_id").distinct()
+    p = _prefix(probe, rarity, threshold).select(F.col("set_id").alias("probe_id"), "kind", "token", F.col("n").alias("pn"), F.col("r").alias("pr"))
+    i = _prefix(index, rarity, threshold).select(F.col("set_id").alias("index_id"), "kind", "token", F.col("n").alias("i_n"), F.col("r").alias("ir"))
+    lengths = (F.col("pn") >= F.col("i_n") * threshold) & (F.col("i_n") >= F.col("pn") * threshold)
+    needed = F.ceil((F.col("pn") + F.col("i_n")) * (threshold / (1 + threshold)) - F.lit(1e-9))
+    left_over = 1 + F.least(F.col("pn") - F.col("pr"), F.col("i_n") - F.col("ir"))
+    pairs = p.join(i, ["kind", "token"]).filter(lengths & (left_over >= needed)).select("probe_id", "index_id").distinct()
     left = probe.select(F.col("set_id").alias("probe_id"), F.col("tokens").alias("pt"))
     right = index.select(F.col("set_id").alias("index_id"), F.col("tokens").alias("it"))
     met = pairs.join(left, "probe_id").join(right, "index_id")
@@ -58,8 +62,9 @@ def recall(batch: DataFrame, episodes: DataFrame, k: int = fv.RECALL_K,
     An episode counts with its best similarity to any text of the batch; an episode whose text is in
     `exclude` position, that is equal to a text of the batch, is left out (leave one out).
     """
-    q = token_sets(batch, "text")
-    e = token_sets(episodes.select("kind", "text").distinct(), "text")
+    # the token sets are read by several steps: written once, so that no text is cut into words twice
+    q = session.staged(token_sets(batch, "text"), "batch-tokens")
+    e = session.staged(token_sets(episodes.select("kind", "text").distinct(), "text"), "episode-tokens")
     pairs = similar_sets(distinct_sets(q), distinct_sets(e), min_similarity)
     texts = q.select("batch_id", "kind", F.col("text").alias("q_text"), F.col("set_id").alias("probe_id")).distinct()
     found = texts.join(pairs, "probe_id").join(
@@ -76,8 +81,8 @@ def human_signal(asked: DataFrame, decisions: DataFrame, min_similarity: float =
     Decisions on the very same text do not vote. Votes are counted per (set, answer) and the same-text
     part is subtracted, so a text decided a million times is one row here and not a million pairs.
     """
-    a = token_sets(asked.select("kind", "text", "answer").distinct(), "text")
-    d = token_sets(decisions, "text")
+    a = session.staged(token_sets(asked.select("kind", "text", "answer").distinct(), "text"), "asked-tokens")
+    d = session.staged(token_sets(decisions, "text"), "decision-tokens")
     votes = d.groupBy("set_id", "answer").agg(F.count("*").alias("n"))
     per_set = votes.groupBy("set_id").agg(F.sum("n").alias("all_n"),
                                           F.map_from_entries(F.collect_list(F.struct("answer", "n"))).alias("by_answer"))

@@ -268,9 +268,11 @@ def redact_pii(spark, sf):
 
 
 def jaccard_recall(spark, sf):
+    """Benchmark passages most similar to the turns of a conversation; a looser threshold than the
+    default, because free prose shares fewer words than short labels do."""
     batch = T.table(spark, sf, "conversations").select(F.col("conv_id").alias("batch_id"), F.lit("text").alias("kind"), "text")
     episodes = T.table(spark, sf, "benchmark").select(F.lit("text").alias("kind"), "text")
-    r = similarity.recall(batch, episodes)
+    r = similarity.recall(batch, episodes, min_similarity=0.15)
     return r.select(F.col("batch_id").alias("conv_id"), F.md5("episode").alias("episode"), F.round("similarity", 9).alias("similarity"), "rank")
 
 
