@@ -211,7 +211,7 @@ def heuristic_rules(profile: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ groundedness
 def _number(raw: Column) -> Column:
-    return F.regexp_replace(F.rtrim(F.lit("%"), raw), ",", "").try_cast("double")
+    return F.regexp_replace(F.rtrim(raw, F.lit("%")), ",", "").try_cast("double")
 
 
 def profile_numbers(profile: DataFrame, table: dict[str, int]) -> DataFrame:

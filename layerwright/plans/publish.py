@@ -12,7 +12,7 @@ def _context(spark: SparkSession, path: str):
 
 
 def publish(tables: dict[str, DataFrame], root: str, run_id: str) -> None:
-    """Write all tables under root/run_id, then move root/_current there in one rename.
+    """Write all tables under root/run_id, then move root/CURRENT there in one rename.
 
     Readers see the old set until the rename; a failure before it leaves them untouched.
     """
@@ -27,21 +27,21 @@ def point(spark: SparkSession, root: str, run_id: str) -> None:
     jvm, context = _context(spark, root)
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    fresh = path(f"{root}/_current.{run_id}")
+    fresh = path(f"{root}/CURRENT.{run_id}")
     out = fs.create(fresh, True)
     out.write(bytearray(run_id, "utf-8"))
     out.close()
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
-    context.rename(fresh, path(f"{root}/_current"), options)
+    context.rename(fresh, path(f"{root}/CURRENT"), options)
 
 
 def current_run(spark: SparkSession, root: str) -> str | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
-    return spark.read.text(f"{root}/_current").first()[0]
+    return spark.read.text(f"{root}/CURRENT").first()[0]
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -75,19 +75,20 @@ def read_rows(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
     rows = (spark.read.options(**_CSV, columnNameOfCorruptRecord=_BAD, enforceSchema=True)
             .csv(path, header=True, schema=schema)
             .withColumn("row_id", F.monotonically_increasing_id()))
-    # a multi-line file is read by one task in file order, so its ids are consecutive
-    start = rows.agg(F.min("row_id")).scalar()
     good = rows.filter(F.col(_BAD).isNull()).select(
         "row_id", *[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in header], F.lit(None).cast("string").alias(EXTRA))
     out = StructType([StructField("row_id", rows.schema["row_id"].dataType)]
                      + [StructField(h, StringType()) for h in [*header, EXTRA]])
-    bad = rows.filter(F.col(_BAD).isNotNull()).select("row_id", _BAD).mapInPandas(_resplit(header), out)
+    # the reader refuses to give the raw record alone, hence the parsed columns beside it
+    bad = rows.filter(F.col(_BAD).isNotNull()).select("row_id", _BAD, *[F.col(f"`{h}`") for h in header]).mapInPandas(_resplit(header), out)
     names = F.array(*[F.lit(h) for h in header])
     values = F.array(*[F.col(f"`{h}`") for h in header])
     payload = F.map_from_arrays(names, values)
     extra = F.when(F.col(EXTRA).isNotNull(), F.create_map(F.lit(EXTRA), F.col(EXTRA)))
     whole = F.when(F.col(EXTRA).isNull(), payload).otherwise(F.map_concat(payload, extra))
-    return good.unionByName(bad).select((F.col("row_id") - start + 1).alias("row_no"), whole.alias("payload"))
+    # one multi-line file is read by one task in file order: the low 33 bits of the id count its records
+    row_no = F.col("row_id").bitwiseAND(F.lit(2**33 - 1)) + 1
+    return good.unionByName(bad).select(row_no.alias("row_no"), whole.alias("payload"))
 
 
 def row_hash(payload: Column) -> Column:
@@ -114,9 +115,10 @@ def land(spark: SparkSession, path: str, source: str, root: str, run_id: str) ->
     bronze_path, manifest_path = f"{root}/bronze", f"{root}/manifest"
     sha, header = file_key(spark, path), read_header(spark, path)
     manifest = _table(spark, manifest_path, MANIFEST).filter(F.col("source") == source)
+    known = manifest.filter(F.col("file_sha256") == sha).select("row_count").first()
+    if known:
+        return Landed(known["row_count"], 0, sha, skipped=True)
     rows = read_rows(spark, path, header)
-    if manifest.filter(F.col("file_sha256") == sha).limit(1).count():
-        return Landed(rows.count(), 0, sha, skipped=True)
     last = manifest.agg(F.max_by(F.struct("header", "landing_seq"), "landing_seq").alias("l"), F.max("landing_seq").alias("seq")).first()
     seq = (last["seq"] or 0) + 1
     drift = None

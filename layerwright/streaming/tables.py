@@ -30,7 +30,8 @@ def incremental_landing(spark: SparkSession, folder: str, source: str, root: str
                         pattern: str = "*.csv") -> StreamingQuery:
     """Land every new file of a folder once. The stream carries paths only; content is read by `land`,
     whose manifest makes a repeated batch harmless."""
-    files = (spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 100)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    files = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 100)
              .load(folder).select("path"))
 
     def batch(df: DataFrame, epoch: int) -> None:
