@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from layerwright import session
+from layerwright.operators import skew
 from layerwright.sources import landing
 
 
@@ -90,7 +91,9 @@ def fingerprint_batch(path: str, out: str, buckets: int = 64) -> Callable:
             known = (spark.read.parquet(path).drop("bucket").unionByName(new).groupBy("fingerprint").agg(first)
                      .select("fingerprint", "s.*").join(new.select("fingerprint"), "fingerprint", "left_semi"))
         known = session.staged(known, "known")
-        met = df.join(known.select("fingerprint", F.col("ticket_id").alias("survivor_ticket_id")), "fingerprint")
+        copies = df.groupBy("fingerprint").agg(F.count("*").alias("copies"))
+        first_known = known.select("fingerprint", F.col("ticket_id").alias("survivor_ticket_id")).join(copies, "fingerprint")
+        met = skew.spread_join(df, first_known, F.col("fingerprint"), "fingerprint", "copies", F.col("bronze_id"))
         met.filter(F.col("ticket_id") != F.col("survivor_ticket_id")).withColumn("epoch", F.lit(epoch)).write.mode(
             "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out)
         stored = known.withColumn("bucket", F.pmod(F.xxhash64("fingerprint"), F.lit(buckets)).cast("int"))
