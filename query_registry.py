@@ -301,7 +301,10 @@ def usage_rollup(spark, sf):
 
 
 def truth_score(spark, sf):
-    """Outcome of the run against the outcome that follows from the order number."""
+    """Outcome of the run against the outcome that follows from the order number.
+
+    Only the outcome counts are independent: category, time and cost of the truth are read from the run.
+    """
     n = F.col("bronze_id") % 1000000000000
     copy = F.floor(F.col("bronze_id") / 1000000000000)
     raw = landed(spark, sf).withColumn("tid", clean.ticket_id(F.col("ticket_id")))
