@@ -8,12 +8,38 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import bpe, langid
+from layerwright import session
+from layerwright.llm import bpe, decontam, langid, pii, quality, warc
 from layerwright.llm.common import held_out, learnable, table
+from layerwright.llm.sql import SQLS
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_information_theoretic_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that give it away, in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"), "doc_id", "text")
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,disclosure:double>>)")
+    return found.select("doc_id", *[of(k) for k in pii.KINDS], F.sha2(pii.listed(F.col("base"), none), 256).alias("base_sha256"),
+                        pii.listed(F.col("base"), F.col("terms")).alias("spans"))
+
+
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, "doc_id", "text", "quality", learnable(F.col("doc_id")))
+    return (quality.score(docs, model, "doc_id", "text")
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))
+
+
+def op4_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontam.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    return found.select("doc_id", "n_words", decontam.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.over_limit().alias("contaminated"))
+
+
 def op8_rank_order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -36,9 +62,18 @@ def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))
 
 
+def op10_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives, then read back by the index."""
+    folder = session.fresh_folder(spark, "warc")
+    index = session.staged(warc.write(table(spark, sf_dir, "pages"), folder, "page_id", "url", "html"), "warc-index")
+    return warc.read(index, folder).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_rank_order_profiles, op9_chunked_bpe)}
+    return {f.__name__: f for f in (
+        op1_information_theoretic_pii, op2_compression_quality, op4_suffix_automaton_decontamination, op8_rank_order_profiles,
+        op9_chunked_bpe, op10_warc_index_first)}
 
 
 def sqls() -> dict[str, str]:
-    return {}
+    return dict(SQLS)
