@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright import session
-from layerwright.llm import bpe, decontam, jaccard, langid, pii, quality, warc
+from layerwright.llm import ann, bpe, decontam, jaccard, langid, pii, quality, warc
 from layerwright.llm.common import held_out, learnable, table
 from layerwright.llm.sql import SQLS
 
@@ -40,6 +40,11 @@ def op4_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> Da
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.over_limit().alias("contaminated"))
 
 
+def op5_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth one."""
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 100 == 0)
+
+
 def op6_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of similar shingle sets."""
     return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -76,7 +81,8 @@ def op10_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_information_theoretic_pii, op2_compression_quality, op4_suffix_automaton_decontamination, op6_partenum_jaccard,
+        op1_information_theoretic_pii, op2_compression_quality, op4_suffix_automaton_decontamination, op5_hilbert_neighbours,
+        op6_partenum_jaccard,
         op8_rank_order_profiles, op9_chunked_bpe, op10_warc_index_first)}
 
 
