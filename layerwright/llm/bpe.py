@@ -38,6 +38,8 @@ class Vocabulary:
 
     def __init__(self, spark, path: str, pattern: str) -> None:
         self.name, self.pattern = path.rsplit("/", 1)[-1], pattern
+        with open(path, "rb") as f:
+            self.size = 1 + max((int(line.split()[1]) for line in f), default=-1)
         if not any(f.rsplit("/", 1)[-1] == self.name for f in spark.sparkContext.listFiles):
             spark.sparkContext.addFile(path)
 

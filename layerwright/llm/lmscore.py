@@ -1,0 +1,106 @@
+"""Cross-entropy difference of two matched n-gram models.
+
+The target model is counted over chosen texts, the background model over all texts; both have the same tokens, the bytes
+of the text and an end mark, and the same smoothing, so the difference of their losses is down to the counts alone. A
+document's score is the mean over its tokens of background loss minus target loss: above 0 it reads more like the
+target. The vocabulary is 256 tokens and a token's context the two before it, so the table of loss differences has
+256**3 entries (64 MB) however large the corpus is, and is broadcast.
+
+Probabilities: p(c | ab) = (n(abc) + WEIGHT p(c | b)) / (n(ab) + WEIGHT), likewise p(c | b) from p(c), and p(c) from the uniform one.
+
+Cases: a null text is empty and consists of its end mark. Without target texts the target model is uniform. Repeated rows count
+and are scored one by one. Further columns of the input are ignored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from layerwright.llm.common import map_batches
+
+TOKENS = 256
+WEIGHT = 20.0
+START, END = 0xFF, 0xFE    # bytes that UTF-8 never holds
+_FLUSH = 2_000_000
+
+
+def codes(text: str | None) -> np.ndarray:
+    """A number below 256**3 for each token: the two before it and itself."""
+    data = np.frombuffer(bytes([START, START]) + (text or "").encode("utf-8", "replace") + bytes([END]), np.uint8).astype(np.int32)
+    return data[:-2] << 16 | data[1:-1] << 8 | data[2:]
+
+
+def count(docs: DataFrame, text: str, target: Column) -> DataFrame:
+    """`code`, `n_all` and `n_target` over every row; `target` marks the rows of the target model."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            parts = [codes(t) for t in batch.column(0).to_pylist()]
+            chosen = np.repeat(np.array(batch.column(1).to_pylist(), bool), [len(p) for p in parts])
+            own, at = np.unique(np.concatenate(parts), return_inverse=True)
+            counts = np.stack([np.bincount(at, minlength=len(own)), np.bincount(at, chosen, len(own)).astype(np.int64)])
+            if held is not None:
+                merged, at = np.unique(np.concatenate((held[0], own)), return_inverse=True)
+                every = np.concatenate((held[1], counts), axis=1)
+                own, counts = merged, np.stack([np.bincount(at, w, len(merged)).astype(np.int64) for w in every])
+            held = own, counts
+            if len(own) > _FLUSH:
+                yield _counted(held)
+                held = None
+        if held is not None:
+            yield _counted(held)
+
+    rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(target, F.lit(False)).alias("target"))
+    return (rows.mapInArrow(run, "code int, n_all long, n_target long").groupBy("code")
+            .agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target")))
+
+
+def _counted(held: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(held[0].astype(np.int32)), *map(pa.array, held[1])], names=["code", "n_all", "n_target"])
+
+
+def log_probabilities(code: np.ndarray, n: np.ndarray) -> Iterator[np.ndarray]:
+    """Blocks of log p(c | ab), one for each a: 256 x 256 by b and c. `code` is sorted."""
+    a, bc = code >> 16, code & 0xFFFF
+    pairs = np.bincount(bc, n, TOKENS * TOKENS).reshape(TOKENS, TOKENS)
+    singles = pairs.sum(axis=0)
+    one = (singles + WEIGHT / TOKENS) / (singles.sum() + WEIGHT)
+    two = (pairs + WEIGHT * one) / (pairs.sum(axis=1, keepdims=True) + WEIGHT)
+    edges = np.searchsorted(a, np.arange(TOKENS + 1))
+    for i in range(TOKENS):
+        part = slice(edges[i], edges[i + 1])
+        own = np.bincount(bc[part], n[part], TOKENS * TOKENS).reshape(TOKENS, TOKENS)
+        yield np.log((own + WEIGHT * two) / (own.sum(axis=1, keepdims=True) + WEIGHT))
+
+
+def differences(counts: DataFrame) -> np.ndarray:
+    """Background loss minus target loss of every code. At most 256**3 counts come to the driver, as Arrow columns."""
+    held = counts.select("code", "n_all", "n_target").toArrow()
+    code, n_all, n_target = (held.column(i).to_numpy() for i in range(3))
+    order = np.argsort(code)
+    code, n_all, n_target = code[order].astype(np.int64), n_all[order], n_target[order]
+    out = np.empty((TOKENS, TOKENS * TOKENS), np.float32)
+    for i, (target, background) in enumerate(zip(log_probabilities(code, n_target), log_probabilities(code, n_all), strict=True)):
+        out[i] = (target - background).reshape(-1)
+    return out.reshape(-1)
+
+
+def score(docs: DataFrame, table: np.ndarray, key: str, text: str) -> DataFrame:
+    """One row per row of `docs`: the key, `n_tokens` and `score`."""
+    shared = SparkContext.getOrCreate().broadcast(table)
+
+    def run(batch: pa.RecordBatch) -> dict[str, object]:
+        found = [shared.value[codes(t)] for t in batch.column(1).to_pylist()]
+        return {"id": batch.column(0), "n_tokens": pa.array([len(f) for f in found], pa.int64()),
+                "score": pa.array([float(f.mean(dtype=np.float64)) for f in found], pa.float64())}
+
+    kind = docs.schema[key].dataType.simpleString()
+    out = map_batches(docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")), run,
+                      f"id {kind}, n_tokens long, score double")
+    return out.withColumnRenamed("id", key)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright import session
-from layerwright.llm import ann, bpe, decontam, jaccard, langid, pii, quality, warc
+from layerwright.llm import ann, bpe, decontam, jaccard, langid, lmscore, packing, pii, quality, warc
 from layerwright.llm.common import held_out, learnable, table
 from layerwright.llm.sql import SQLS
 
@@ -33,6 +33,15 @@ def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"))
 
 
+def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more every document reads like those labelled good than like all documents."""
+    docs = table(spark, sf_dir, "documents")
+    good = (table(spark, sf_dir, "labels").filter((F.col("quality") == 1) & learnable(F.col("doc_id")))
+            .select("doc_id").distinct().withColumn("good", F.lit(True)))
+    counts = lmscore.count(docs.select("doc_id", "text").join(good, "doc_id", "left"), "text", F.col("good"))
+    return lmscore.score(docs, lmscore.differences(counts), "doc_id", "text")
+
+
 def op4_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontam.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
@@ -50,6 +59,12 @@ def op6_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, packed into rows of 2048."""
+    words = vocabulary(spark)
+    return packing.pack(bpe.encode(table(spark, sf_dir, "documents"), words, "doc_id", "text"), "doc_id", "ids", vocabulary=words.size)
+
+
 def op8_rank_order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -81,9 +96,9 @@ def op10_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_information_theoretic_pii, op2_compression_quality, op4_suffix_automaton_decontamination, op5_hilbert_neighbours,
-        op6_partenum_jaccard,
-        op8_rank_order_profiles, op9_chunked_bpe, op10_warc_index_first)}
+        op1_information_theoretic_pii, op2_compression_quality, op3_cross_entropy_difference, op4_suffix_automaton_decontamination,
+        op5_hilbert_neighbours, op6_partenum_jaccard, op7_best_fit_packing, op8_rank_order_profiles, op9_chunked_bpe,
+        op10_warc_index_first)}
 
 
 def sqls() -> dict[str, str]:

@@ -1,0 +1,65 @@
+"""The models against plain counts, and on held-out labels."""
+
+import math
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from layerwright.llm import lmscore
+from layerwright.llm.common import table
+from layerwright.llm.queries import op3_cross_entropy_difference
+
+
+def _model(texts):
+    n = Counter()
+    for t in texts:
+        data = [255, 255, *(t or "").encode(), 254]
+        n.update(tuple(data[i:i + 3]) for i in range(len(data) - 2))
+
+    def count(pick):
+        out = Counter()
+        for gram, c in n.items():
+            out[pick(gram)] += c
+        return out
+
+    n_ab, n_bc, n_b, n_c = (count(p) for p in (lambda g: g[:2], lambda g: g[1:], lambda g: g[1], lambda g: g[2]))
+    total, w = sum(n.values()), lmscore.WEIGHT
+
+    def p(a, b, c):
+        one = (n_c[c] + w / 256) / (total + w)
+        two = (n_bc[b, c] + w * one) / (n_b[b] + w)
+        return (n[a, b, c] + w * two) / (n_ab[a, b] + w)
+
+    return p
+
+
+def test_against_plain_counts(spark):
+    rows = [(1, "the cat sat", True), (1, "the hat", True), (2, "ça & ##", False), (3, None, None), (4, "", True), (None, "###", None)]
+    docs = spark.createDataFrame([(*r, 5) for r in rows], "k long, t string, good boolean, score int").repartition(3)
+    got = lmscore.score(docs, lmscore.differences(lmscore.count(docs, "t", F.col("good"))), "k", "t").collect()
+    target, background = _model([t for _, t, g in rows if g]), _model([t for _, t, _ in rows])
+    want = []
+    for k, t, _ in rows:
+        data = [255, 255, *(t or "").encode(), 254]
+        grams = [data[i:i + 3] for i in range(len(data) - 2)]
+        want.append((str(k), len(grams), sum(math.log(target(*g) / background(*g)) for g in grams) / len(grams)))
+    for a, b in zip(sorted((str(r.k), r.n_tokens, r.score) for r in got), sorted(want), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-5
+
+
+def test_empty_table_and_no_target(spark):
+    docs = spark.createDataFrame([(1, "abc")], "k long, t string")
+    for rows in (docs.limit(0), docs):
+        lost = lmscore.differences(lmscore.count(rows, "t", F.lit(False)))
+        assert lmscore.score(docs, lost, "k", "t").count() == 1
+    assert lmscore.score(docs.limit(0), lost, "k", "t").count() == 0
+
+
+def test_held_out_labels_are_ranked(spark):
+    sf = "/root/testdata/sf0.1"
+    pdf = (op3_cross_entropy_difference(spark, sf).join(table(spark, sf, "labels"), "doc_id")
+           .filter("crc32(cast(doc_id as string)) % 4 = 2").select("score", "quality").toPandas())
+    ranks = pdf.score.rank()
+    good = pdf.quality == 1
+    auc = (ranks[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum())
+    assert auc > 0.9
