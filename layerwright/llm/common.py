@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
+import layerwright
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +17,19 @@ BATCH_ROWS = 256
 HELD_OUT_OF, HELD_OUT = 4, 2
 
 
+_SHIPPED: set[str] = set()
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, since one row may hold a very long text."""
+    """Small Arrow batches, since one row may hold a very long text, and this package on the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        _SHIPPED.add(spark.sparkContext.applicationId)
+        # Spark copies the archive from the driver to each executor; no task reads this folder
+        folder = tempfile.mkdtemp(prefix="layerwright-package-")
+        root = os.path.dirname(os.path.abspath(layerwright.__file__))
+        shutil.copytree(root, os.path.join(folder, "layerwright"), ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "layerwright-package"), "zip", folder, "layerwright"))
     return spark
 
 

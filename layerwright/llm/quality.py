@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from layerwright.llm.common import map_batches
 
-SAMPLE = 1500
-DICTIONARY = 64 << 10
-BLOCK = 4096
-BLOCKS_PER_TEXT = 16
+SAMPLE = 3000
+DICTIONARY = 256 << 10
+BLOCK = 512            # bytes: about as much as a dictionary helps before a text is its own dictionary
+BLOCKS_PER_TEXT = 32
 LEVEL = 3
 THRESHOLD = 0.7
 
@@ -47,9 +47,8 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_content_size=False, write_dict_id=False)
 
 
-def difference(good: bytes, bad: bytes, text: str | None) -> float:
-    """How much smaller the good dictionary makes a text than the bad one does, as a share of its length."""
-    parts = blocks(text)
+def difference(good: bytes, bad: bytes, parts: list[bytes]) -> float:
+    """How much smaller the good dictionary makes the blocks of a text than the bad one does, as a share of their length."""
     if not parts:
         return 0.0
     by_good, by_bad = _compressor(good), _compressor(bad)
@@ -67,7 +66,7 @@ class Model:
     def score(self, text: str | None) -> float:
         if not self.good:
             return 0.5
-        at = self.slope * difference(self.good, self.bad, text) + self.offset
+        at = self.slope * difference(self.good, self.bad, blocks(text)) + self.offset
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, at))))
 
 
@@ -106,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, all
     xs, ys = [], []
     for value in (0, 1):
         for parts in groups[value, 1]:
-            xs.append(difference(good, bad, b"".join(parts).decode("utf-8", "replace")))
+            xs.append(difference(good, bad, parts))
             ys.append(value)
     if len(set(ys)) < 2:
         return NOTHING
