@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerwright import session
 from layerwright.llm.common import map_batches
 
 PROFILE = 400          # n-grams in the list of a language and of a document
@@ -80,7 +81,7 @@ def profiles(docs: DataFrame, text: str, lang: str, size: int = PROFILE) -> dict
     total = (known.mapInArrow(count, "lang string, gram long, n long")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = total.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
+    top = session.staged(total.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size), "profiles")
     names = top.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
     if names > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} languages in column {lang}")

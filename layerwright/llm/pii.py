@@ -151,8 +151,7 @@ def find(docs: DataFrame, key: str, text: str, support: int = SUPPORT, generalis
     words = (rows.select(F.explode(F.array_distinct(F.transform(
         F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0)), lambda w: F.xxhash64(w)))).alias("term"))
         .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
-    total = scanned.agg(F.count(F.lit(1)).cast("double").alias("n_all"))
-    asked = pairs.join(entities, "entity").join(words, "term").crossJoin(F.broadcast(total))  # one row
+    asked = pairs.join(entities, "entity").join(words, "term").withColumn("n_all", F.lit(float(scanned.count())))
     told = asked.filter(F.col("n_all") > F.col("n_entity")).withColumn(
         "disclosure", F.log(F.col("n_both") * F.col("n_all") / F.col("n_entity") / F.col("n_term"))
         / F.log(F.col("n_all") / F.col("n_entity")))
