@@ -3,6 +3,8 @@ is a query over it."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,30 +33,56 @@ def policy(rows: DataFrame, with_judge: bool, threshold: float = fv.AUTO_APPROVE
     rules = F.col("source") == "rules"
     silent = F.col("judge_p").isNull() if with_judge else F.lit(False)
     enough = value >= threshold
-    reason = (F.when(rules, "rule-based guess: needs human review")
-              .when(silent, "judge configured but gave no verdict: needs human review (fail safe)")
-              .when(~enough, F.concat(F.lit(f"{name} "), shown, F.lit(f" < auto-approve threshold {threshold}")))
-              .otherwise(F.concat(F.lit(f"{name} "), shown, F.lit(f" >= {threshold}"))))
+    reason = (F.when(rules, "from rules, a person decides")
+              .when(silent, "no verdict of the judge, a person decides")
+              .when(~enough, F.concat(F.lit(f"{name} "), shown, F.lit(f" below {threshold}")))
+              .otherwise(F.concat(F.lit(f"{name} "), shown, F.lit(f" reaches {threshold}"))))
     return rows.withColumn("approve", F.coalesce(~rules & ~silent & enough, F.lit(False))).withColumn("reason", reason)
 
 
+def current(proposals: DataFrame) -> DataFrame:
+    """The ledger only grows: of the rows of a proposal the newest one holds, by `seq`, the order of appending."""
+    if "seq" not in proposals.columns:
+        return proposals
+    newest = proposals.groupBy("proposal_id").agg(F.max("seq").alias("seq"))
+    return proposals.join(newest, ["proposal_id", "seq"], "left_semi")
+
+
+def append(proposals: DataFrame, rows: DataFrame) -> DataFrame:
+    """The ledger with `rows` after all there is. `seq` 0 stands for what was proposed, 1 for what was decided on it."""
+    if "seq" not in proposals.columns:
+        proposals = proposals.withColumn("seq", F.lit(0))
+    last = F.lit(proposals.agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0] + 1)
+    return proposals.unionByName(rows.withColumn("seq", last), allowMissingColumns=True)
+
+
+def _one_per_subject(proposals: DataFrame, newest: bool) -> DataFrame:
+    """The first or the last proposal of each (kind, subject) by time, then id."""
+    least = F.max if newest else F.min
+    when = proposals.groupBy("kind", "subject").agg(least("created_at").alias("created_at"))
+    ties = proposals.join(when, ["kind", "subject", "created_at"], "left_semi")
+    picked = ties.groupBy("kind", "subject").agg(least("proposal_id").alias("proposal_id"))
+    return ties.join(picked, ["kind", "subject", "proposal_id"], "left_semi")
+
+
 def latest_per_subject(proposals: DataFrame, statuses: tuple[str, ...] = ("approved", "auto_approved")) -> DataFrame:
-    """Newest decided proposal per (kind, subject). A maximum over (time, id), combined on the map side."""
-    rest = [c for c in proposals.columns if c not in ("kind", "subject")]
-    newest = F.max_by(F.struct(*rest), F.struct("created_at", "proposal_id")).alias("p")
-    return proposals.filter(F.col("status").isin(*statuses)).groupBy("kind", "subject").agg(newest).select("kind", "subject", "p.*")
+    """Newest decided proposal per (kind, subject). Extremes of plain values are combined on the map side."""
+    return _one_per_subject(current(proposals).filter(F.col("status").isin(*statuses)), newest=True)
 
 
 def first_per_subject(proposals: DataFrame) -> DataFrame:
-    """The original answer per (kind, subject): earliest proposal that no human wrote or changed."""
-    rest = [c for c in proposals.columns if c not in ("kind", "subject")]
-    untouched = proposals.filter((F.coalesce("source", F.lit("")) != "human") & ~F.coalesce("overridden", F.lit(False)))
-    first = F.min_by(F.struct(*rest), F.struct("created_at", "proposal_id")).alias("p")
-    return untouched.groupBy("kind", "subject").agg(first).select("kind", "subject", "p.*")
+    """The first answer a model gave per (kind, subject). Overridden proposals count, with their original values."""
+    by_model = (F.coalesce("source", F.lit("")) != "human") & F.col("provider").isNotNull() & (F.col("agent") == "classification")
+    return _one_per_subject(current(proposals).filter(by_model), newest=False)
+
+
+def original_per_subject(proposals: DataFrame) -> DataFrame:
+    """The earliest proposal per (kind, subject) that nobody overrode, whoever wrote it."""
+    return _one_per_subject(current(proposals).filter(~F.coalesce("overridden", F.lit(False))), newest=False)
 
 
 def pending(proposals: DataFrame, kind: str | None = None) -> DataFrame:
-    rows = proposals.filter(F.col("status") == "proposed")
+    rows = current(proposals).filter(F.col("status") == "proposed")
     if kind is not None:
         rows = rows.filter(F.col("kind") == kind)
     return rows.select("kind", "subject").distinct()
@@ -62,21 +90,24 @@ def pending(proposals: DataFrame, kind: str | None = None) -> DataFrame:
 
 def queue(proposals: DataFrame) -> DataFrame:
     """Least trusted first; without trust last; then oldest."""
-    return proposals.filter(F.col("status") == "proposed").orderBy(F.asc_nulls_last("trust"), "created_at", "proposal_id")
+    return current(proposals).filter(F.col("status") == "proposed").orderBy(F.asc_nulls_last("trust"), "created_at", "proposal_id")
+
+
+_DECIDED = ("proposal", "status", "source", "overridden", "agent_original", "reviewed_by", "seq")
 
 
 def decide(proposals: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Decided copies of pending proposals, ready to append.
+    """Decided copies of pending proposals, ready for `append`.
 
     decisions: proposal_id, approve, reviewer, overrides MAP<STRING,STRING> (NULL for none). Only
     proposals still in review are decided; an override keeps the agent's original values.
     """
-    rows = proposals.filter(F.col("status") == "proposed").join(decisions, "proposal_id")
+    rows = current(proposals).filter(F.col("status") == "proposed").join(decisions, "proposal_id")
     changed = F.col("approve") & F.col("overrides").isNotNull() & (F.size("overrides") > 0)
     original = F.map_filter("proposal", lambda k, v: F.map_contains_key(F.col("overrides"), k))
     kept = F.map_filter("proposal", lambda k, v: ~F.map_contains_key(F.col("overrides"), k))
     return rows.select(
-        *[c for c in proposals.columns if c not in ("proposal", "status", "source", "overridden")],
+        *[c for c in proposals.columns if c not in _DECIDED],
         F.when(changed, F.map_concat(kept, "overrides")).otherwise(F.col("proposal")).alias("proposal"),
         F.when(F.col("approve"), "approved").otherwise("rejected").alias("status"),
         F.when(changed, F.concat("source", F.lit("+human"))).otherwise(F.col("source")).alias("source"),
@@ -84,19 +115,27 @@ def decide(proposals: DataFrame, decisions: DataFrame) -> DataFrame:
         F.col("reviewer").alias("reviewed_by"))
 
 
-def correct(proposals: DataFrame, corrections: DataFrame) -> DataFrame:
-    """Later corrections of approved mappings as approved rows of their own.
+def correct(proposals: DataFrame, corrections: DataFrame, mappings: DataFrame | None = None) -> DataFrame:
+    """Corrections of what holds now, as approved rows of their own, ready for `append`.
 
-    corrections: kind, subject, proposal_id (new), values MAP, reviewer, created_at. The base is the
-    newest approved proposal of the subject.
+    corrections: kind, subject, proposal_id (new), values MAP, reviewer, created_at. The base is the newest approved
+    proposal of the subject or else its mapping (kind, subject, proposal MAP), seeded ones included. A correction
+    without either comes back with status `rejected` and no proposal, so that it can be reported.
     """
-    base = latest_per_subject(proposals).select("kind", "subject", F.col("proposal").alias("base"))
-    rows = corrections.join(base, ["kind", "subject"])
+    base = latest_per_subject(proposals).select("kind", "subject", F.col("proposal").alias("decided"))
+    rows = corrections.join(base, ["kind", "subject"], "left")
+    known = F.col("decided")
+    if mappings is not None:
+        rows = rows.join(mappings.select("kind", "subject", F.col("proposal").alias("mapped")), ["kind", "subject"], "left")
+        known = F.coalesce("decided", "mapped")
+    rows = rows.withColumn("base", known)
     kept = F.map_filter("base", lambda k, v: ~F.map_contains_key(F.col("values"), k))
     original = F.map_filter("base", lambda k, v: F.map_contains_key(F.col("values"), k))
+    found = F.col("base").isNotNull()
     return rows.select("proposal_id", "kind", "subject", "created_at", F.map_concat(kept, "values").alias("proposal"),
-                       F.lit("approved").alias("status"), F.lit("human").alias("source"), F.lit(1.0).alias("confidence"),
-                       F.lit(True).alias("overridden"), original.alias("agent_original"), F.col("reviewer").alias("reviewed_by"))
+                       F.when(found, "approved").otherwise("rejected").alias("status"), F.lit("human").alias("source"),
+                       F.lit(1.0).alias("confidence"), found.alias("overridden"), original.alias("agent_original"),
+                       F.col("reviewer").alias("reviewed_by"))
 
 
 def human_precedents(labels: DataFrame, templates: DataFrame) -> DataFrame:
@@ -109,15 +148,30 @@ def human_precedents(labels: DataFrame, templates: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def recorded_decisions(proposals: DataFrame, final: DataFrame) -> DataFrame:
-    """Original answer against the final reference row per (kind, subject). final: kind, subject, answer."""
-    return (first_per_subject(proposals).join(final.withColumnRenamed("answer", "final_answer"), ["kind", "subject"])
-            .withColumn("correct", F.lower("answer") == F.lower("final_answer")))
+def recorded_decisions(proposals: DataFrame, final: DataFrame, fields: dict[str, list[str]]) -> DataFrame:
+    """The agent's first answer against what holds now, per (kind, subject): kind, subject, confidence, original, final, correct.
+
+    final: kind, subject, proposal MAP. `fields` names for each kind what is compared, whatever the case of letters.
+    A value that a person changed counts as the agent gave it.
+    """
+    first = first_per_subject(proposals)
+    given = F.map_zip_with("proposal", F.coalesce("agent_original", F.create_map().cast("map<string,string>")),
+                           lambda k, now, then: F.coalesce(then, now))
+    wanted = reduce(lambda rest, kv: F.when(F.col("kind") == kv[0], F.array(*[F.lit(f) for f in kv[1]])).otherwise(rest),
+                    fields.items(), F.array().cast("array<string>"))
+    rows = first.withColumn("original", given).join(final.withColumnRenamed("proposal", "now"), ["kind", "subject"])
+    rows = rows.withColumn("wanted", wanted)
+
+    def part(values: str) -> Column:
+        return F.map_filter(values, lambda k, v: F.array_contains("wanted", k))
+
+    same = F.forall("wanted", lambda f: F.lower(F.try_element_at("original", f)).eqNullSafe(F.lower(F.try_element_at("now", f))))
+    return rows.select("kind", "subject", "confidence", part("original").alias("original"), part("now").alias("final"), same.alias("correct"))
 
 
 def episodes(proposals: DataFrame) -> DataFrame:
     """What people changed: the agent's values against the human's, per overridden approval."""
-    return proposals.filter(F.col("overridden") & F.col("status").isin("approved", "auto_approved")).select(
+    return current(proposals).filter(F.col("overridden") & F.col("status").isin("approved", "auto_approved")).select(
         "kind", F.col("subject").alias("text"), F.col("agent_original").alias("agent_answer"),
         F.map_filter("proposal", lambda k, v: F.map_contains_key(F.col("agent_original"), k)).alias("human_answer"))
 

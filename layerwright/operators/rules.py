@@ -3,29 +3,21 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 from pyspark.sql.window import Window
 
-# Functions that call into the JVM have no place in a rule or a proposed query.
-_DENIED = re.compile(r"\b(reflect|try_reflect|java_method)\s*\(", re.IGNORECASE)
-_QUERY_WORDS = re.compile(r"\b(select|from)\b", re.IGNORECASE)
-_LITERAL = re.compile(r"'(?:[^']|'')*'")
+# In an analysed plan: functions that call into the JVM have no place in a rule or a proposed query.
+_CALLS_OUT = re.compile(r"\b(reflect|try_reflect|java_method)\(", re.IGNORECASE)
+_SUBQUERY = re.compile(r"\b(scalar-subquery|exists|list|lateral-subquery|outer)#")
+_RELATION = re.compile(r"'(UnresolvedRelation|UnresolvedTableValuedFunction|UnresolvedInlineTable)\b ?(?:\[([^\]]*)\])?")
+_CTE = re.compile(r"^.*\bCTE \[([^\]]*)\]", re.MULTILINE)
 MODEL_NAME = re.compile(r"^mart_[a-z0-9_]{3,60}$")
 
 
-@dataclass
-class Evidence:
-    ok: bool
-    error: str | None = None
-    metrics: dict = field(default_factory=dict)
-    sample: list = field(default_factory=list)
-
-
 def rule_table(spark: SparkSession, checks: list[tuple], as_of: str) -> DataFrame:
     """check_id, severity, predicate, threshold; `as_of` is a SQL literal that stands for the clock."""
     rows = [(c, s, p.replace("{as_of}", as_of), float(t)) for c, s, p, t in checks]
@@ -64,47 +56,90 @@ def gate_open(results: DataFrame) -> bool:
     return results.filter("blocking").limit(1).count() == 0
 
 
-def evaluate_predicate(df: DataFrame, predicate: str, key: str = "ticket_id", samples: int = 3) -> Evidence:
-    """Resolve a predicate against the table and run it: a boolean expression, never a query."""
-    code = _LITERAL.sub("''", predicate)
-    if _DENIED.search(code) or _QUERY_WORDS.search(code) or ";" in code:
-        return Evidence(False, "not a plain boolean expression over the columns")
+def _analysed(df: DataFrame) -> str:
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def predicate_problem(df: DataFrame, predicate: str) -> str | None:
+    """Why a text is not a boolean expression over the columns of `df`, or None. Judged by Spark's own analysis of it."""
     try:
-        probe = df.select(F.expr(f"({predicate})").alias("hit"))
-        if not isinstance(probe.schema["hit"].dataType, BooleanType):
-            return Evidence(False, f"predicate gives {probe.schema['hit'].dataType.simpleString()}, not boolean")
-        row = df.agg(F.count("*").alias("total"), F.count_if(F.expr(f"({predicate})")).alias("violations")).first()
-        sample = [r[0] for r in df.filter(F.expr(f"({predicate})")).select(key).orderBy(key).limit(samples).collect()]
-    except (AnalysisException, PySparkException) as exc:
-        return Evidence(False, f"{type(exc).__name__}: {exc}"[:500])
-    rate = row["violations"] / max(1, row["total"])
-    return Evidence(True, None, {"violations": row["violations"], "total": row["total"], "violation_rate": round(rate, 6)}, sample)
-
-
-def evaluate_query(spark: SparkSession, query: str, samples: int = 5) -> Evidence:
-    """Run a proposed model query over registered views; as a subquery, so nothing but a query parses."""
-    text = query.strip().rstrip(";").strip()
-    if _DENIED.search(_LITERAL.sub("''", text)):
-        return Evidence(False, "function not allowed")
+        probe = df.limit(0).select(F.expr(f"({predicate})").alias("hit"))
+    except PySparkException as exc:
+        return exc.getCondition() or type(exc).__name__
+    kind = probe.schema["hit"].dataType
+    if not isinstance(kind, BooleanType):
+        return f"type {kind.simpleString()}"
+    plan = _analysed(probe)
+    return "subquery" if _SUBQUERY.search(plan) else "calls out" if _CALLS_OUT.search(plan) else None
+
+
+def evaluate_predicates(df: DataFrame, predicates: dict[str, str], key: str = "ticket_id", samples: int = 3) -> DataFrame:
+    """check_id, problem, total, violations, violation_rate, sample: one row per predicate, all tried in one pass.
+
+    A predicate with a problem is not run; its counts are NULL.
+    """
+    problems = {name: predicate_problem(df, p) for name, p in predicates.items()}
+    sound = {name: F.expr(f"({p})") for name, p in predicates.items() if problems[name] is None}
+    counted = df.agg(F.count("*").alias("total"), *[F.count_if(p).alias(f"n{i}") for i, p in enumerate(sound.values())])
+    none = F.lit(None).cast("long")
+    found = {name: F.col(f"n{i}") for i, name in enumerate(sound)}
+    rows = F.array(*[F.struct(F.lit(name).alias("check_id"), F.lit(problem).cast("string").alias("problem"),
+                              found.get(name, none).alias("violations")) for name, problem in problems.items()])
+    long = counted.select("total", F.explode(rows).alias("r")).select("r.*", F.when(F.col("r.problem").isNull(), F.col("total")).alias("total"))
+    rate = F.round(F.col("violations") / F.greatest("total", F.lit(1)), 6)
+    first = violation_samples(df.withColumnRenamed(key, "ticket_id"), sound, samples) if sound and key == "ticket_id" else None
+    out = long.select("check_id", "problem", "total", "violations", rate.alias("violation_rate"))
+    if first is None:
+        return out.withColumn("sample", F.array().cast("array<string>"))
+    return out.join(first, "check_id", "left").withColumn("sample", F.coalesce("sample", F.array().cast("array<string>")))
+
+
+def query_problem(spark: SparkSession, query: str, allowed: set[str]) -> str | None:
+    """Why a text is not a query over the `allowed` views alone, or None.
+
+    The parsed plan names every relation, those in subqueries too; files, other tables and table functions are none
+    of the allowed names.
+    """
+    wrapped = f"SELECT * FROM ({query})"
     try:
-        df = spark.sql(f"SELECT * FROM ({text})")
-        return Evidence(True, None, {"rows": df.count(), "columns": df.columns}, df.limit(samples).collect())
-    except (AnalysisException, PySparkException) as exc:
-        return Evidence(False, f"{type(exc).__name__}: {exc}"[:500])
+        parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(wrapped).toString()
+        plan = _analysed(spark.sql(wrapped))
+    except PySparkException as exc:
+        return exc.getCondition() or type(exc).__name__
+    own = {name.strip() for names in _CTE.findall(parsed) for name in names.split(",")}
+    if hidden := sorted(name for name in own - allowed if spark.catalog.tableExists(name)):
+        return f"names a part like a table: {', '.join(hidden)}"
+    used = set(_RELATION.findall(parsed))
+    strange = sorted(name or kind for kind, name in used if kind != "UnresolvedRelation" or name not in allowed | own)
+    return f"reads {', '.join(strange)}" if strange else "calls out" if _CALLS_OUT.search(plan) else None
+
+
+def evaluate_query(spark: SparkSession, query: str, allowed: set[str]) -> DataFrame:
+    """problem, columns, rows: one row about a proposed model query. One that has a problem is not run."""
+    problem = query_problem(spark, query, allowed)
+    if problem:
+        return spark.range(1).select(F.lit(problem).alias("problem"), F.lit(None).cast("array<string>").alias("columns"),
+                                     F.lit(None).cast("long").alias("rows"))
+    found = spark.sql(f"SELECT * FROM ({query})")
+    return found.agg(F.count("*").alias("rows")).select(
+        F.lit(None).cast("string").alias("problem"), F.array(*[F.lit(c) for c in found.columns]).alias("columns"), "rows")
 
 
 def evaluate_cleaning(values: DataFrame, expression: str, column: str = "v") -> DataFrame:
     """before / after of a cleaning expression over text values."""
-    if _DENIED.search(_LITERAL.sub("''", expression)) or _QUERY_WORDS.search(_LITERAL.sub("''", expression)):
-        raise ValueError("not a plain expression over v")
-    return values.select(F.col(column).alias("v")).select("v", F.expr(f"({expression})").cast("string").alias("cleaned"))
+    rows = values.select(F.col(column).alias("v"))
+    out = rows.select("v", F.expr(f"({expression})").cast("string").alias("cleaned"))
+    plan = _analysed(out)
+    if _SUBQUERY.search(plan) or _CALLS_OUT.search(plan):
+        raise ValueError("a cleaning rule is an expression over v alone")
+    return out
 
 
-def register_sandbox(spark: SparkSession, name: str, query: str) -> None:
+def register_sandbox(spark: SparkSession, name: str, query: str, allowed: set[str]) -> None:
     """Publish an approved model query as a view."""
     if not MODEL_NAME.match(name):
-        raise ValueError(f"{name!r} is not a valid model name")
-    found = evaluate_query(spark, query)
-    if not found.ok:
-        raise ValueError(found.error)
-    spark.sql(f"SELECT * FROM ({query.strip().rstrip(';')})").createOrReplaceTempView(name)
+        raise ValueError(f"{name!r}: a model is named mart_ and 3 to 60 letters, digits or underscores")
+    problem = query_problem(spark, query, allowed)
+    if problem:
+        raise ValueError(problem)
+    spark.sql(f"SELECT * FROM ({query})").createOrReplaceTempView(name)

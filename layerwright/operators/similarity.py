@@ -55,12 +55,13 @@ def similar_sets(probe: DataFrame, index: DataFrame, threshold: float) -> DataFr
     return met.select("probe_id", "index_id", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-def recall(batch: DataFrame, episodes: DataFrame, k: int = fv.RECALL_K,
-           min_similarity: float = fv.RECALL_MIN_SIMILARITY) -> DataFrame:
+def recall(batch: DataFrame, episodes: DataFrame, k: int = fv.RECALL_K, min_similarity: float = fv.RECALL_MIN_SIMILARITY,
+           exclude: DataFrame | None = None) -> DataFrame:
     """Best precedents per batch: batch_id, kind, text on one side, kind, text on the other.
 
-    An episode counts with its best similarity to any text of the batch; an episode whose text is in
-    `exclude` position, that is equal to a text of the batch, is left out (leave one out).
+    An episode counts with its best similarity to any text of the batch. `exclude` (batch_id, text) names episodes
+    that a batch must not see, as in leave-one-out evaluation; by default a precedent with the very same text is
+    the best answer there is.
     """
     # the token sets are read by several steps: written once, so that no text is cut into words twice
     q = session.staged(token_sets(batch, "text"), "batch-tokens")
@@ -70,33 +71,52 @@ def recall(batch: DataFrame, episodes: DataFrame, k: int = fv.RECALL_K,
     found = texts.join(pairs, "probe_id").join(
         e.select(F.col("set_id").alias("index_id"), F.col("text").alias("episode")), "index_id")
     best = found.groupBy("batch_id", "episode").agg(F.max("similarity").alias("similarity"))
-    own = texts.select("batch_id", F.col("q_text").alias("episode")).distinct()
+    if exclude is not None:
+        best = best.join(exclude.select("batch_id", F.col("text").alias("episode")), ["batch_id", "episode"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("batch_id").orderBy(F.desc("similarity"), "episode"))
-    return (best.join(own, ["batch_id", "episode"], "left_anti").withColumn("rank", rank).filter(F.col("rank") <= k))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def _fields(answer: Column) -> Column:
+    """Fields of an answer with lower-case values."""
+    return F.transform_values(answer, lambda k, v: F.lower(v))
+
+
+def _as_key(answer: Column) -> Column:
+    """Text that is equal for equal answers: maps cannot be grouped."""
+    return F.to_json(F.array_sort(F.map_entries(answer)))
 
 
 def human_signal(asked: DataFrame, decisions: DataFrame, min_similarity: float = fv.HUMAN_MIN_SIMILARITY) -> DataFrame:
-    """kind, text, answer -> share of similar human decisions with the same answer.
+    """kind, text, answer (a map of fields) -> share of similar human decisions that have all the asked fields.
 
-    Decisions on the very same text do not vote. Votes are counted per (set, answer) and the same-text
-    part is subtracted, so a text decided a million times is one row here and not a million pairs.
+    One row per asked (kind, text, answer). The signal is NULL with 0 votes where no similar decision exists. Decisions
+    on the very same text do not vote. Votes are counted per (set, answer) and the same-text part is
+    subtracted, so a text decided a million times is one row here and not a million pairs.
     """
-    a = session.staged(token_sets(asked.select("kind", "text", "answer").distinct(), "text"), "asked-tokens")
-    d = session.staged(token_sets(decisions, "text"), "decision-tokens")
-    votes = d.groupBy("set_id", "answer").agg(F.count("*").alias("n"))
-    per_set = votes.groupBy("set_id").agg(F.sum("n").alias("all_n"),
-                                          F.map_from_entries(F.collect_list(F.struct("answer", "n"))).alias("by_answer"))
+    fields, key = _fields(F.col("answer")), _as_key(F.col("fields"))
+    question = (asked.select("kind", "text", fields.alias("fields")).withColumn("answer_key", key)
+                .groupBy("kind", "text", "answer_key").agg(F.first("fields").alias("fields")))
+    a = session.staged(token_sets(question, "text"), "asked-tokens")
+    d = session.staged(token_sets(decisions.withColumn("fields", fields).withColumn("answer_key", key), "text"), "decision-tokens")
+    votes = d.groupBy("set_id", "answer_key").agg(F.first("fields").alias("fields"), F.count("*").alias("n"))
+    per_set = votes.groupBy("set_id").agg(F.sum("n").alias("all_n"), F.collect_list(F.struct("fields", "n")).alias("answers"))
     pairs = similar_sets(distinct_sets(a), distinct_sets(d), min_similarity)
-    near = (a.select("kind", "text", "answer", F.col("set_id").alias("probe_id")).join(pairs, "probe_id")
+    near = (a.select("kind", "text", "answer_key", "fields", F.col("set_id").alias("probe_id")).join(pairs, "probe_id")
             .join(per_set.withColumnRenamed("set_id", "index_id"), "index_id"))
-    agree = F.coalesce(F.try_element_at("by_answer", F.col("answer")), F.lit(0))
-    total = near.groupBy("kind", "text", "answer").agg(F.sum("all_n").alias("all_n"), F.sum(agree).alias("agree_n"))
-    own = d.groupBy("kind", "text").agg(F.count("*").alias("own_n"))
-    own_agree = d.groupBy("kind", "text", "answer").agg(F.count("*").alias("own_agree"))
-    out = total.join(own, ["kind", "text"], "left").join(own_agree, ["kind", "text", "answer"], "left")
-    n = F.col("all_n") - F.coalesce("own_n", F.lit(0))
-    ok = F.col("agree_n") - F.coalesce("own_agree", F.lit(0))
-    return out.select("kind", "text", "answer", F.when(n > 0, ok / n).alias("human_signal"), n.alias("votes"))
+
+    def same(given: Column) -> Column:
+        return F.forall(F.map_keys("fields"), lambda f: F.try_element_at(given, f).eqNullSafe(F.try_element_at("fields", f)))
+
+    agree = F.aggregate("answers", F.lit(0).cast("long"), lambda n, x: n + F.when(same(x["fields"]), x["n"]).otherwise(0))
+    asked_key = ["kind", "text", "answer_key"]
+    total = near.groupBy(*asked_key).agg(F.sum("all_n").alias("all_n"), F.sum(agree).alias("agree_n"))
+    own = (d.groupBy("kind", "text", "answer_key").agg(F.first("fields").alias("given"), F.count("*").alias("n"))
+           .groupBy("kind", "text").agg(F.sum("n").alias("own_n"), F.collect_list(F.struct(F.col("given").alias("fields"), "n")).alias("answers")))
+    out = question.join(total, asked_key, "left").join(own, ["kind", "text"], "left")
+    n = F.coalesce(F.col("all_n") - F.when(F.col("all_n").isNotNull(), F.coalesce("own_n", F.lit(0))), F.lit(0))
+    ok = F.col("agree_n") - F.coalesce(agree, F.lit(0))
+    return out.select("kind", "text", F.col("fields").alias("answer"), F.when(n > 0, ok / n).alias("human_signal"), n.alias("votes"))
 
 
 # ------------------------------------------------------------------ leakage
@@ -107,20 +127,22 @@ def _plain(text: Column) -> Column:
 def leaked_items(items: DataFrame, corpus: DataFrame) -> DataFrame:
     """item_id, doc_id: items whose text occurs inside a corpus text (case and white space ignored).
 
-    An inner word of an item must be a whole word of the corpus text, so the longest inner word is the
-    join key; the containment test then runs on those few candidates. Items of one or two words have no
-    inner word: they meet the corpus by their first word's letters, as an ending of a corpus word.
+    An inner word of an item must be a whole word of the corpus text, so the inner word that the fewest texts hold
+    is the join key; the containment test then runs on those few candidates. Items of one or two words have
+    no inner word: they meet the corpus by their first word's letters, as an ending of a corpus word.
     """
     it = items.select("item_id", _plain(F.col("text")).alias("needle")).filter(F.length("needle") > 0)
-    words = F.split("needle", " ")
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(1)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w), w.alias("w"))))["w"]
-    keyed = it.withColumn("words", words).withColumn("anchor", F.when(F.size("words") >= 3, longest))
+    keyed = it.withColumn("words", F.split("needle", " "))
     docs = corpus.select("doc_id", _plain(F.col("text")).alias("hay"))
     terms = docs.select("doc_id", F.explode(F.array_distinct(F.split("hay", " "))).alias("word"))
-    long = keyed.filter(F.col("anchor").isNotNull()).select("item_id", F.col("anchor").alias("word"))
-    by_word = terms.join(long, "word").select("doc_id", "item_id")
-    short = keyed.filter(F.col("anchor").isNull()).select(
+    inner = keyed.filter(F.size("words") >= 3).select("item_id", F.explode(F.array_distinct(
+        F.slice("words", 2, F.size("words") - 2))).alias("word"))
+    # the inner word that fewest texts hold: an item with an inner word that no text holds is in none
+    uses = terms.groupBy("word").agg(F.count("*").alias("uses"))
+    rarest = (inner.join(uses, "word", "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+              .withColumn("r", F.row_number().over(Window.partitionBy("item_id").orderBy("uses", "word"))).filter("r = 1 AND uses > 0"))
+    by_word = terms.join(rarest.select("item_id", "word"), "word").select("doc_id", "item_id")
+    short = keyed.filter(F.size("words") < 3).select(
         "item_id", F.element_at("words", 1).alias("part"), (F.size("words") == 1).alias("single"))
     # one number per different word length: bounded by the longest first word of an item
     lengths = [r[0] for r in short.select(F.length("part")).distinct().collect()]

@@ -17,6 +17,8 @@ _SETTINGS = {
     # lets AQE split a skewed join even when that costs one more exchange afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a query that people or models propose must not reach files by their path
+    "spark.sql.runSQLOnFiles": "false",
 }
 _FOLDERS: dict[str, str] = {}
 _COUNTER = itertools.count()

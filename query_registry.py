@@ -112,7 +112,28 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("k") % 4 != 0, (F.col("event_id") * 37 % 100) / 100).alias("judge_p"),
         F.when(F.col("k") % 2 == 0, (F.col("event_id") * 13 % 10) / 10).alias("human"),
         F.when(F.col("event_type") == "view", "classification").otherwise("quality").alias("agent"),
-        F.lit(False).alias("overridden"))
+        F.when(F.col("event_id") % 9 != 0, "hosted").alias("provider"), F.lit(False).alias("overridden"))
+
+
+def decided(spark: SparkSession, sf: str) -> DataFrame:
+    """The ledger after a round of decisions on every second pending proposal: approved, rejected or changed."""
+    plain = ledger(spark, sf).withColumn("proposal", F.create_map(
+        F.lit("category"), F.col("answer"), F.lit("label_kind"), F.lit("category_label"))).drop("answer", "judge_p", "human")
+    i = F.col("event_id")
+    choices = T.table(spark, sf, "events").filter(i % 2 == 0).select(
+        i.alias("proposal_id"), (i % 10 != 4).alias("approve"), F.lit("ann").alias("reviewer"),
+        F.when(i % 3 == 0, F.create_map(F.lit("category"), F.lit("pest_control"))).alias("overrides"))
+    return review.append(review.append(plain.limit(0), plain), review.decide(plain, choices))
+
+
+def _mapping(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds now, for every user that has an even number: kind, subject, proposal."""
+    user = F.col("user_id")
+    return T.table(spark, sf, "events").filter(user % 4 != 1).select(
+        F.when(user % 2 == 0, "category_label").otherwise("description_template").alias("kind"),
+        F.concat(F.lit("subject "), user.cast("string")).alias("subject"),
+        F.create_map(F.lit("category"), F.when(user % 3 == 0, "HVAC").otherwise("plumbing"), F.lit("label_kind"), F.lit("category_label"),
+                     F.lit("is_safety_hazard"), F.lit("false")).alias("proposal")).dropDuplicates(["kind", "subject"])
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -267,28 +288,66 @@ def redact_pii(spark, sf):
     return r.select("doc_id", "r.redactions", F.md5("r.text").alias("text_md5"))
 
 
-def jaccard_recall(spark, sf):
+def jaccard_recall(spark, sf, leave_own_out=True):
     """Benchmark passages most similar to the turns of a conversation; a looser threshold than the
     default, because free prose shares fewer words than short labels do."""
     batch = T.table(spark, sf, "conversations").select(F.col("conv_id").alias("batch_id"), F.lit("text").alias("kind"), "text")
     episodes = T.table(spark, sf, "benchmark").select(F.lit("text").alias("kind"), "text")
-    r = similarity.recall(batch, episodes, min_similarity=0.15)
+    exclude = batch.select("batch_id", "text") if leave_own_out else None
+    r = similarity.recall(batch, episodes, min_similarity=0.15, exclude=exclude)
     return r.select(F.col("batch_id").alias("conv_id"), F.md5("episode").alias("episode"), F.round("similarity", 9).alias("similarity"), "rank")
 
 
 def human_signal(spark, sf):
     docs = T.table(spark, sf, "documents").select("doc_id", "lang", "text")
     d = T.table(spark, sf, "labels").join(docs, "doc_id").select(
-        F.col("lang").alias("kind"), "text", F.col("quality").cast("string").alias("answer"))
+        F.col("lang").alias("kind"), "text", F.create_map(
+            F.lit("quality"), F.col("quality").cast("string"), F.lit("toxic"), F.col("toxic").cast("string")).alias("answer"))
     d = session.staged(d, "decisions")
-    r = similarity.human_signal(d, d)
-    return r.select("kind", F.md5("text").alias("text_id"), "answer", F.round("human_signal", 9).alias("human_signal"), "votes")
+    # asked for one field of two, and once more for texts that nobody decided on
+    asked = d.withColumn("answer", F.map_filter("answer", lambda k, v: k == "quality"))
+    strange = T.table(spark, sf, "nation").select(F.lit("en").alias("kind"), F.col("n_name").alias("text"),
+                                                  F.create_map(F.lit("quality"), F.lit("1")).alias("answer"))
+    r = similarity.human_signal(asked.unionByName(strange), d)
+    return r.select("kind", F.md5("text").alias("text_id"), F.element_at("answer", "quality").alias("answer"),
+                    F.round("human_signal", 9).alias("human_signal"), "votes")
+
+
+def ledger_state(spark, sf):
+    rows = review.current(decided(spark, sf))
+    return rows.groupBy("kind", "status", "source", "overridden", F.element_at("proposal", "category").alias("category"),
+                        F.element_at("agent_original", "category").alias("was")).agg(F.count("*").alias("n"))
+
+
+def corrections(spark, sf):
+    user = F.col("user_id")
+    wanted = T.table(spark, sf, "events").filter(user % 5 == 0).select(
+        F.when(user % 2 == 0, "category_label").otherwise("description_template").alias("kind"),
+        F.concat(F.lit("subject "), user.cast("string")).alias("subject"), F.concat(F.lit("fix "), user.cast("string")).alias("proposal_id"),
+        F.create_map(F.lit("category"), F.lit("it_network")).alias("values"), F.lit("bo").alias("reviewer"),
+        F.lit(None).cast("timestamp").alias("created_at")).dropDuplicates(["kind", "subject"])
+    rows = review.correct(decided(spark, sf), wanted, _mapping(spark, sf))
+    return rows.select("kind", "subject", "proposal_id", "status", "overridden", F.element_at("proposal", "category").alias("category"),
+                       F.element_at("proposal", "label_kind").alias("label_kind"), F.element_at("agent_original", "category").alias("was"))
+
+
+def recorded_decisions(spark, sf):
+    rows = review.recorded_decisions(decided(spark, sf), _mapping(spark, sf), {
+        "category_label": ["category", "label_kind"], "description_template": ["category", "is_safety_hazard"]})
+    return rows.select("kind", "subject", "confidence", F.element_at("original", "category").alias("original"),
+                       F.element_at("final", "category").alias("final"), "correct")
+
+
+def episodes(spark, sf):
+    rows = review.episodes(decided(spark, sf))
+    return rows.groupBy("kind", "text", F.element_at("agent_answer", "category").alias("agent"),
+                        F.element_at("human_answer", "category").alias("human")).agg(F.count("*").alias("n"))
 
 
 def auto_approve_policy(spark, sf):
     rows = review.policy(scored(spark, sf), with_judge=True)
-    short = (F.when(F.startswith("reason", F.lit("rule")), "rules").when(F.startswith("reason", F.lit("judge")), "no verdict")
-             .when(F.contains("reason", F.lit(" < ")), "too low").otherwise("enough"))
+    short = (F.when(F.startswith("reason", F.lit("from rules")), "rules").when(F.startswith("reason", F.lit("no verdict")), "no verdict")
+             .when(F.contains("reason", F.lit(" below ")), "too low").otherwise("enough"))
     return rows.select("proposal_id", "approve", short.alias("reason"))
 
 
@@ -467,12 +526,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "redact_pii": redact_pii,
         "token_sets": lambda s, d: _texts(s, d).select("doc_id", F.array_join(F.array_sort(clean.tokens(F.col("text"))), " ").alias("tokens")),
         "jaccard_recall": jaccard_recall,
+        "jaccard_recall_all": lambda s, d: jaccard_recall(s, d, leave_own_out=False),
         "human_signal": human_signal,
         "leaked_items": leaked_items,
         # review
         "latest_decision": lambda s, d: review.latest_per_subject(ledger(s, d)).select("kind", "subject", "proposal_id", "status", "answer"),
         "first_proposal": lambda s, d: review.first_per_subject(ledger(s, d)).select("kind", "subject", "proposal_id", "answer"),
-        "pending_subjects": lambda s, d: review.pending(ledger(s, d)),
+        "original_proposal": lambda s, d: review.original_per_subject(decided(s, d)).select("kind", "subject", "proposal_id"),
+        "pending_subjects": lambda s, d: review.pending(decided(s, d)),
+        "ledger_state": ledger_state,
+        "corrections": corrections,
+        "recorded_decisions": recorded_decisions,
+        "episodes": episodes,
         "trust_scores": lambda s, d: scored(s, d).select("proposal_id", F.round("trust", 9).alias("trust"), F.round("trust_no_human", 9).alias("trust_no_human")),
         "auto_approve_policy": auto_approve_policy,
         "review_queue": lambda s, d: review.queue(scored(s, d)).select("proposal_id", F.round("trust", 9).alias("trust")),

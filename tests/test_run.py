@@ -78,18 +78,39 @@ def test_rule_threshold_edge_and_validity(spark):
     out = {r.check_id: r for r in rules.gate_results(t, [("edge", "critical", "x = 1", 0.25), ("over", "critical", "x >= 3", 0.25)], "now()").collect()}
     assert out["edge"].passed and not out["edge"].blocking and out["edge"].sample == ["a"]
     assert not out["over"].passed and out["over"].blocking and out["over"].sample == ["c", "d"]
-    assert rules.evaluate_predicate(t, "x IS NULL").metrics == {"violations": 1, "total": 4, "violation_rate": 0.25}
-    for bad in ("x + 1", "nope = 1", "x IN (SELECT 1)", "reflect('java.lang.System', 'exit', 0) IS NULL"):
-        assert not rules.evaluate_predicate(t, bad).ok
-    t.createOrReplaceTempView("t_rules")
-    assert rules.evaluate_query(spark, "SELECT count(*) n FROM t_rules;").metrics == {"rows": 1, "columns": ["n"]}
-    assert not rules.evaluate_query(spark, "DROP TABLE t_rules").ok
+    tried = {"null": "x IS NULL", "odd": "x % 2 = 1 AND ticket_id <> 'select; from'", "number": "x + 1", "unknown": "nope = 1",
+             "subquery": "x IN (SELECT 1)", "outside": "reflect('java.lang.System', 'nanoTime') IS NULL"}
+    got = {r.check_id: r for r in rules.evaluate_predicates(t, tried).collect()}
+    assert (got["null"].violations, got["null"].total, got["null"].violation_rate, got["null"].sample) == (1, 4, 0.25, ["b"])
+    assert (got["odd"].problem, got["odd"].violations) == (None, 2)
+    assert all(got[c].problem and got[c].violations is None and got[c].sample == [] for c in ("number", "unknown", "subquery", "outside"))
     v = rules.evaluate_cleaning(t.select(F.col("ticket_id").alias("v")), "CASE WHEN v LIKE '%a%' THEN NULL ELSE upper(v) END")
     assert [r.cleaned for r in v.orderBy("v").collect()] == [None, "B", "C", "D"]
-    rules.register_sandbox(spark, "mart_by_x", "SELECT x, count(*) n FROM t_rules GROUP BY x")
-    assert spark.table("mart_by_x").count() == 4
     with pytest.raises(ValueError):
-        rules.register_sandbox(spark, "bad name", "SELECT 1")
+        rules.evaluate_cleaning(t.select(F.col("ticket_id").alias("v")), "(SELECT 1)")
+
+
+def test_proposed_queries_read_allowed_views_only(spark):
+    spark.conf.set("spark.sql.runSQLOnFiles", "false")
+    spark.range(4).createOrReplaceTempView("t_open")
+    spark.range(4).createOrReplaceTempView("t_closed")
+    ok = ["SELECT id, count(*) AS n FROM t_open GROUP BY id", "WITH c AS (SELECT * FROM t_open) SELECT * FROM c JOIN t_open USING (id)",
+          "SELECT id FROM t_open WHERE id = (SELECT max(id) FROM t_open)"]
+    for query in ok:
+        assert rules.query_problem(spark, query, {"t_open"}) is None, query
+    bad = ["DROP TABLE t_open", "SELECT 1; SELECT 2", "SELECT * FROM t_closed", "SELECT * FROM text.`/etc/hostname`", "SELECT * FROM range(3)",
+           "SELECT id FROM t_open WHERE id IN (SELECT id FROM t_closed)", "WITH t_closed AS (SELECT * FROM t_closed) SELECT * FROM t_closed",
+           "SELECT java_method('java.lang.System', 'nanoTime') AS v FROM t_open", "SELECT nope FROM t_open"]
+    for query in bad:
+        assert rules.query_problem(spark, query, {"t_open"}), query
+    row = rules.evaluate_query(spark, ok[0], {"t_open"}).first()
+    assert (row.problem, row.columns, row.rows) == (None, ["id", "n"], 4)
+    assert rules.evaluate_query(spark, bad[2], {"t_open"}).first().rows is None
+    rules.register_sandbox(spark, "mart_by_id", ok[0], {"t_open"})
+    assert spark.table("mart_by_id").count() == 4
+    for name, query in (("bad name", ok[0]), ("mart_closed", bad[2])):
+        with pytest.raises(ValueError):
+            rules.register_sandbox(spark, name, query, {"t_open"})
 
 
 def test_reference_maintenance(spark, tmp_path):
@@ -120,5 +141,15 @@ def test_review_round_trip(spark):
                                 "kind string, subject string, proposal_id string, values map<string,string>, reviewer string, created_at int")
     row = review.correct(led, fix).first()
     assert row.proposal == {"category": "it_network"} and row.agent_original == {"category": "hvac"} and row.status == "approved"
+    # a decision is appended; from then on its proposal is no longer pending and cannot be decided again
+    grown = review.append(review.append(led.limit(0), led), review.decide(led, dec))
+    assert grown.count() == 3 and review.pending(grown).count() == 0 and review.decide(grown, dec).count() == 0
+    assert review.latest_per_subject(grown).count() == 2
+    assert [(e.text, e.agent_answer, e.human_answer) for e in review.episodes(grown).collect()] == [
+        ("roofing", {"category": "plumbing"}, {"category": "general_maintenance"})]
+    seeded = spark.createDataFrame([("category_label", "seeded", {"category": "hvac"})], "kind string, subject string, proposal map<string,string>")
+    more = fix.withColumn("subject", F.lit("seeded")).unionAll(fix.withColumn("subject", F.lit("nowhere")))
+    got = {r.subject: (r.status, r.agent_original) for r in review.correct(led, more, seeded).collect()}
+    assert got == {"seeded": ("approved", {"category": "hvac"}), "nowhere": ("rejected", None)}
     assert metrics.stage_status(False, []) == "succeeded" and metrics.stage_status(True, ["x"]) == "blocked"
     assert metrics.stage_alerts(2, 100, 0, 0) and not metrics.stage_alerts(1, 100, 0, 0)
