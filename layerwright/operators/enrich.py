@@ -11,9 +11,6 @@ from layerwright import fixed_values as fv
 from layerwright.functions import clean
 from layerwright.operators import skew
 
-# With up to this many building names the masking is a row-local expression; beyond it, a join.
-INLINE_NAMES = 500
-
 
 # ------------------------------------------------------------------ building names
 def known_buildings(raw: DataFrame) -> DataFrame:
@@ -28,10 +25,18 @@ def _quoted(name: Column) -> Column:
     return F.concat(F.lit(r"(?iu)\Q"), F.replace(name, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
-def _meets_placeholder(name: Column) -> Column:
-    """Names that could match inside an already inserted placeholder are tried on every text."""
+def _needed(name: Column) -> Column:
+    """The longest part of a name, in lower case, that a text must hold for the name to match while it is being masked.
+
+    An inserted placeholder can only stand for parts that are pieces of it; what is left must come from the text.
+    """
+    inner = F.regexp_replace(F.lower(name), r"^(?:bldg|ldg|dg|g)?>", "\u0001")
+    inner = F.regexp_replace(inner, r"<(?:b|bl|bld|bldg)?$", "\u0001")
+    parts = F.split(F.regexp_replace(inner, "<bldg>", "\u0001"), "\u0001", -1)
+    longest = F.array_max(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
     low = F.lower(name)
-    return F.contains(F.lit("<bldg>"), low) | F.contains(low, F.lit("<")) | F.contains(low, F.lit(">"))
+    return F.when(F.contains(F.lit("<bldg>"), low), F.lit("")).when(
+        F.contains(low, F.lit("<")) | F.contains(low, F.lit(">")), longest).otherwise(low)
 
 
 def _mask(text: Column, patterns: Column) -> Column:
@@ -46,64 +51,37 @@ def _entry(name: Column) -> Column:
     return F.struct((-F.length(name)).alias("rank"), name.alias("name"), _quoted(name).alias("pattern"))
 
 
-def mask_inline(rows: DataFrame, names: list[str], text: str, out: str) -> DataFrame:
-    """Row-local masking with a literal list of names, longest first; no shuffle."""
-    if not names:
-        return rows.withColumn(out, F.coalesce(clean.mask_variables(F.col(text)), F.lit("")))
-    ordered = sorted(sorted(names), key=len, reverse=True)
-    entries = F.array(*[F.struct(F.lit(n.lower()).alias("low"), F.lit(_literal(n)).alias("pattern"),
-                                 F.lit(_odd(n)).alias("always")) for n in ordered])
-    low = rows.withColumn("_low", F.lower(text))
-    hits = F.filter(entries, lambda e: e["always"] | F.contains(F.col("_low"), e["low"]))
-    masked = _mask(F.col(text), F.transform(hits, lambda e: e["pattern"]))
-    return low.withColumn(out, F.coalesce(clean.mask_variables(masked), F.lit(""))).drop("_low")
-
-
-def _literal(name: str) -> str:
-    return r"(?iu)\Q" + name.replace("\\E", "\\E\\\\E\\Q") + r"\E"
-
+def with_template(rows: DataFrame, names: DataFrame, text: str = "description", out: str = "description_template",
+                  row_id: str = "bronze_id") -> DataFrame:
+    """Add the masked template of a text; '' when there is no text. The same way for any number of names.
 
-def _odd(name: str) -> bool:
-    low = name.lower()
-    return low in "<bldg>" or "<" in low or ">" in low
-
-
-def mask_joined(rows: DataFrame, names: DataFrame, text: str, out: str, row_id: str) -> DataFrame:
-    """The same result when the names are too many for a literal list.
-
-    Each distinct text is cut into the substrings that have the length of some name; an equality join
-    finds the names it contains, so work grows with the text and never with text x names.
+    Each distinct text is cut into the substrings that have the length of some name; an equality join finds the
+    names it contains, so work grows with the text and never with text x names. The names found are then masked
+    one after the other, longest first.
     """
     texts = (rows.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count("*").alias("uses"))
              .withColumn("text_id", F.sha2("text", 256)))
-    lengths = F.array(*[F.lit(r[0]) for r in names.select(F.length("name")).distinct().collect()])
-    start = F.explode(F.sequence(F.lit(1), F.length("text")))
-    grams = (texts.select("text_id", F.lower("text").alias("low"), start.alias("start"))
-             .select("text_id", "low", "start", F.explode(lengths).alias("len"))
+    keyed = names.filter(F.length("name") > 0).select("name", _needed(F.col("name")).alias("gram")).distinct()
+    # one number per different length of a name
+    lengths = [r[0] for r in keyed.filter("gram <> ''").select(F.length("gram")).distinct().collect()]
+    # names that are pieces of the placeholder itself: their letters bound how many there can be of a length
+    always = [r[0] for r in keyed.filter("gram = ''").select("name").distinct().orderBy("name").collect()]
+    entry_type = "array<struct<rank:int,name:string,pattern:string>>"
+    fixed = F.array(*[_entry(F.lit(n)) for n in always]) if always else F.array().cast(entry_type)
+    start = F.explode(F.sequence(F.lit(1), F.length("low")))
+    grams = (texts.select("text_id", F.lower("text").alias("low")).filter(F.length("low") > 0).select("text_id", "low", start.alias("start"))
+             .select("text_id", "low", "start", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("len"))
              .filter(F.col("start") + F.col("len") - 1 <= F.length("low"))
-             .select("text_id", F.col("low").substr(F.col("start"), F.col("len")).alias("gram")))
-    found = (grams.join(names.withColumn("gram", F.lower("name")), "gram").select("text_id", "name").distinct())
-    odd = [r[0] for r in names.filter(_meets_placeholder(F.col("name"))).limit(INLINE_NAMES).collect()]
-    always = F.array(*[_entry(F.lit(n)) for n in odd]) if odd else F.array().cast(
-        "array<struct<rank:int,name:string,pattern:string>>")
+             .select("text_id", F.col("low").substr(F.col("start"), F.col("len")).alias("gram")).distinct())
+    found = grams.join(keyed.filter("gram <> ''"), "gram").select("text_id", "name").distinct()
     per_text = found.groupBy("text_id").agg(F.collect_set(_entry(F.col("name"))).alias("entries"))
-    entries = F.array_distinct(F.concat(F.coalesce("entries", F.array().cast(
-        "array<struct<rank:int,name:string,pattern:string>>")), always))
+    entries = F.array_distinct(F.concat(F.coalesce("entries", F.array().cast(entry_type)), fixed))
     masked = (texts.join(per_text, "text_id", "left")
               .select("text", "uses", clean.mask_variables(_mask(F.col("text"), _longest_first(entries))).alias(out)))
     joined = skew.spread_join(rows, masked, F.col(text), "text", "uses", F.col(row_id))
     return joined.withColumn(out, F.coalesce(out, F.lit("")))
 
 
-def with_template(rows: DataFrame, names: DataFrame, text: str = "description",
-                  out: str = "description_template", row_id: str = "bronze_id") -> DataFrame:
-    """Add the masked template of a text; '' when there is no text."""
-    first = [r[0] for r in names.limit(INLINE_NAMES + 1).collect()]
-    if len(first) <= INLINE_NAMES:
-        return mask_inline(rows, first, text, out)
-    return mask_joined(rows, names, text, out, row_id)
-
-
 # ------------------------------------------------------------------ label and template maps
 def label_lookup(labels: DataFrame) -> DataFrame:
     return labels.select("label", F.struct("label_kind", "category", "confidence").alias("info"))

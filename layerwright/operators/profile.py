@@ -10,12 +10,11 @@ from layerwright import fixed_values as fv
 from layerwright.functions import clean
 
 
-def value_counts(df: DataFrame, columns: list[str], sample: float | None = None, seed: int = 7) -> DataFrame:
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """column, v, n. Equal values are combined on the map side, so a value that fills a third of the
-    table costs no more than any other. `sample` profiles a share of a very large table on request."""
-    rows = df if sample is None else df.sample(sample, seed)
+    table costs no more than any other."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in columns])
-    return rows.select(F.explode(cells).alias("c")).groupBy("c.column", "c.v").agg(F.count("*").alias("n"))
+    return df.select(F.explode(cells).alias("c")).groupBy("c.column", "c.v").agg(F.count("*").alias("n"))
 
 
 def column_profile(counts: DataFrame) -> DataFrame:

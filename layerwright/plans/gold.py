@@ -15,8 +15,12 @@ def as_of_date(tickets: DataFrame) -> Column:
 
 
 # ------------------------------------------------------------------ dimensions
-def dim_category(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(fv.CATEGORIES.items()), "category string, description string")
+def dim_category(spark: SparkSession, descriptions: DataFrame | None = None) -> DataFrame:
+    """The categories; `descriptions` (category, description) come with the user's reference data."""
+    names = spark.createDataFrame([(c,) for c in fv.CATEGORIES], "category string")
+    if descriptions is None:
+        return names.withColumn("description", F.lit(None).cast("string"))
+    return names.join(F.broadcast(names.join(descriptions.select("category", "description"), "category")), "category", "left")
 
 
 def dim_building(tickets: DataFrame) -> DataFrame:
@@ -181,4 +185,4 @@ def build(tickets: DataFrame, run_id: str = "", as_of: Column | None = None) ->
 def count_check(counts: dict[str, int], silver_rows: int) -> list[str]:
     """Alert when the fact lost or gained rows against silver."""
     n = counts.get("fct_tickets")
-    return [] if n == silver_rows else [f"fct_tickets has {n} rows but silver has {silver_rows}"]
+    return [] if n == silver_rows else [f"gold holds {n} tickets, silver {silver_rows}"]

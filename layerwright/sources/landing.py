@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from layerwright import session
+
 _CSV = {"multiLine": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False, "encoding": "UTF-8"}
 _BAD = "_malformed"
 EXTRA = "_extra_fields"
-_HASH_LIMIT = 2_000_000_000
+# bronze_id is landing_seq * SEQ_STEP + row_no: a task numbers at most 2^33 records, so files cannot meet
+SEQ_STEP, MOST_FILES = 2**40, 2**23
 MANIFEST = ("source string, file_sha256 string, path string, header array<string>, header_fingerprint string, "
             "row_count bigint, drift_added array<string>, drift_removed array<string>, run_id string, "
             "landing_seq bigint, ingested_at timestamp")
@@ -34,14 +37,13 @@ class Landed:
     alerts: list[str] = field(default_factory=list)
 
 
-def file_key(spark: SparkSession, path: str) -> str:
-    """sha256 of the bytes; above what one row can hold, a key of path, length and modification time."""
-    meta = spark.read.format("binaryFile").load(path)
-    big = meta.select("path", "length", "modificationTime").first()
-    if big["length"] > _HASH_LIMIT:
-        return meta.select(F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"),
-                                              F.col("modificationTime").cast("string")), 256)).first()[0]
-    return meta.select(F.sha2("content", 256)).first()[0]
+def content_key(rows: DataFrame, header: list[str]) -> str:
+    """One key for files of any size: header, number of rows, and sums over all rows of hashes of place and content."""
+    digest = F.sha2(F.concat_ws(":", "row_no", row_hash(F.col("payload"))), 256)
+    parts = [F.conv(F.substring(digest, i, 15), 16, 10).cast("decimal(38,0)") for i in (1, 16, 31, 46)]
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(p).alias(f"s{i}") for i, p in enumerate(parts)])
+    whole = F.concat_ws(":", header_fingerprint(header), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sums.columns])
+    return sums.select(F.sha2(whole, 256)).first()[0]
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -103,40 +105,42 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 BRONZE = ("bronze_id bigint, source string, source_file string, file_sha256 string, row_no bigint, "
-          "payload map<string,string>, row_hash string, run_id string, ingested_at timestamp")
+          "payload map<string,string>, row_hash string, run_id string, ingested_at timestamp, part_source string, landing_seq bigint")
 
 
 def land(spark: SparkSession, path: str, source: str, root: str, run_id: str) -> Landed:
     """Append one file to `root`/bronze unless its content is already there; keep the manifest.
 
-    The rows are written before the manifest entry, and an append leaves out (file, row) keys that a
-    broken earlier attempt already wrote, so a repeat is safe.
+    The rows are written before the manifest entry, to a partition of their own that a repeat replaces.
     """
     bronze_path, manifest_path = f"{root}/bronze", f"{root}/manifest"
-    sha, header = file_key(spark, path), read_header(spark, path)
+    header = read_header(spark, path)
+    rows = session.staged(read_rows(spark, path, header), "landing")  # parsed once: for the key and for the table
+    sha = content_key(rows, header)
     manifest = _table(spark, manifest_path, MANIFEST).filter(F.col("source") == source)
     known = manifest.filter(F.col("file_sha256") == sha).select("row_count").first()
     if known:
         return Landed(known["row_count"], 0, sha, skipped=True)
-    rows = read_rows(spark, path, header)
     last = manifest.agg(F.max_by(F.struct("header", "landing_seq"), "landing_seq").alias("l"), F.max("landing_seq").alias("seq")).first()
     seq = (last["seq"] or 0) + 1
+    if seq >= MOST_FILES:
+        raise ValueError(f"{MOST_FILES} files of {source} have landed: begin a new source")
     drift = None
     if last["l"] is not None and last["l"]["header"] != header:
         before = last["l"]["header"]
         drift = {"added": [c for c in header if c not in before], "removed": [c for c in before if c not in header]}
     stamped = rows.select(
-        (F.lit(seq) * F.lit(2**32) + F.col("row_no")).alias("bronze_id"), F.lit(source).alias("source"),
+        (F.lit(seq) * F.lit(SEQ_STEP) + F.col("row_no")).alias("bronze_id"), F.lit(source).alias("source"),
         F.lit(path.rsplit("/", 1)[-1]).alias("source_file"), F.lit(sha).alias("file_sha256"), "row_no", "payload",
-        row_hash(F.col("payload")).alias("row_hash"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ingested_at"))
-    existing = _table(spark, bronze_path, BRONZE)
-    fresh = stamped.join(existing.filter(F.col("file_sha256") == sha).select("file_sha256", "row_no"), ["file_sha256", "row_no"], "left_anti")
-    names = [f.name for f in existing.schema]
-    fresh.select(*names).write.mode("append").parquet(bronze_path)
-    bronze = spark.read.schema(BRONZE).parquet(bronze_path)
-    mine = bronze.filter(F.col("file_sha256") == sha)
+        row_hash(F.col("payload")).alias("row_hash"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ingested_at"),
+        F.lit(source).alias("part_source"), F.lit(seq).cast("bigint").alias("landing_seq"))
+    # one partition per file: a repeat of a broken attempt replaces what that left behind, and no other file is read
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_source", "landing_seq").parquet(bronze_path)
+    bronze = _table(spark, bronze_path, BRONZE)
+    mine = bronze.filter((F.col("part_source") == source) & (F.col("landing_seq") == seq))
     n = mine.count()
-    repeated = seen_before(mine, bronze).count()
+    others = bronze.filter((F.col("part_source") != source) | (F.col("landing_seq") != seq))
+    repeated = landed_before(mine, others).count()
     entry = spark.range(1).select(
         F.lit(source).alias("source"), F.lit(sha).alias("file_sha256"), F.lit(path).alias("path"),
         F.array(*[F.lit(h) for h in header]).alias("header"), header_fingerprint(header).alias("header_fingerprint"),
@@ -145,10 +149,17 @@ def land(spark: SparkSession, path: str, source: str, root: str, run_id: str) ->
         F.array(*[F.lit(c) for c in drift["removed"]]).cast("array<string>").alias("drift_removed") if drift else F.lit(None).cast("array<string>").alias("drift_removed"),
         F.lit(run_id).alias("run_id"), F.lit(seq).cast("bigint").alias("landing_seq"), F.current_timestamp().alias("ingested_at"))
     entry.write.mode("append").parquet(manifest_path)
-    alerts = [f"schema drift in {path.rsplit('/', 1)[-1]}: {drift}"] if drift else []
+    alerts = [f"{path.rsplit('/', 1)[-1]}: columns new {drift['added']}, gone {drift['removed']}"] if drift else []
     return Landed(n, n, sha, repeated=repeated, drift=drift, alerts=alerts)
 
 
+def landed_before(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows whose content is among `others`. Only hashes that `rows` has go into the second join, each once."""
+    asked = rows.select("row_hash").distinct()
+    known = others.select("row_hash").join(asked, "row_hash", "left_semi").distinct()
+    return rows.join(known, "row_hash", "left_semi")
+
+
 def seen_before(rows: DataFrame, all_rows: DataFrame, file: str = "file_sha256") -> DataFrame:
     """Rows whose content hash also occurs in another file.
 

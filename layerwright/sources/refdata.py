@@ -35,7 +35,7 @@ def read_episodes(spark: SparkSession, path: str) -> DataFrame:
 def taxonomy(spark: SparkSession) -> dict[str, DataFrame]:
     """The fixed taxonomy and ontology as small tables."""
     return {
-        "categories": spark.createDataFrame(list(fv.CATEGORIES.items()), "category string, description string"),
+        "categories": spark.createDataFrame([(c,) for c in fv.CATEGORIES], "category string"),
         "keywords": spark.createDataFrame([(c, w) for c, ws in fv.KEYWORDS.items() for w in ws], "category string, keyword string"),
         "assignees": spark.createDataFrame([(k, n, t) for k, (n, t) in fv.ASSIGNEES.items()], "raw string, name string, type string"),
         "related": spark.createDataFrame([tuple(sorted(p)) for p in fv.RELATED], "category_a string, category_b string"),

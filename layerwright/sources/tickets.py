@@ -54,10 +54,10 @@ ROWS = {
                         " WHEN 0 THEN CASE WHEN n % 4 = 0 THEN 'Duplicate of ticket #99' || CAST(n AS VARCHAR(20)) || '. Closing.'"
                         " ELSE 'Duplicate of ticket #' || CAST(n + 980 AS VARCHAR(20)) || '. Closing.' END"
                         " WHEN 1 THEN 'Temporary fix applied' WHEN 2 THEN 'Issue could not be reproduced'"
-                        " WHEN 3 THEN 'Parts on order. ETA 9 business days.' WHEN 4 THEN 'Vendor called. Scheduled for Monday'"
-                        " WHEN 5 THEN 'Completed. Took 7.6 hours on site.'"
-                        " WHEN 6 THEN 'Dispatched technician. Fixed on site. Replaced fan belt.'"
-                        " WHEN 7 THEN 'Resolved. Root cause: power surge.' WHEN 8 THEN 'Resolved by reset.'"
+                        " WHEN 3 THEN 'Parts on order. ETA ' || CAST(n % 30 + 1 AS VARCHAR(20)) || ' business days.' WHEN 4 THEN 'Vendor called. Scheduled for Monday'"
+                        " WHEN 5 THEN 'Completed. Took ' || CAST(n % 9 AS VARCHAR(20)) || '.' || CAST(n % 10 AS VARCHAR(20)) || ' hours on site.'"
+                        " WHEN 6 THEN 'Dispatched technician. Fixed on site. Replaced valve type ' || CAST(n % 50 AS VARCHAR(20)) || '.'"
+                        " WHEN 7 THEN 'Resolved. Root cause: worn seal ' || CAST(n % 7 AS VARCHAR(20)) || '.' WHEN 8 THEN 'Resolved by reset.'"
                         " WHEN 9 THEN 'done' ELSE 'something novel' END END",
     "cost": "CASE WHEN n % 101 = 0 THEN '' WHEN n % 23 = 0 THEN '-1' WHEN n % 29 = 0 THEN 'abc'"
             " WHEN n % 31 = 0 THEN '5000000' WHEN n % 37 = 0 THEN 'TBD'"
