@@ -31,7 +31,7 @@ def null_rate_alerts(now: DataFrame, before: DataFrame, limit: float = fv.ALERT_
     """Columns whose null rate moved by more than the limit since the previous good run."""
     rows = now.join(before.withColumnRenamed("null_rate", "before"), "column")
     moved = rows.filter(F.abs(F.col("null_rate") - F.col("before")) > limit)
-    text = F.format_string("null rate of %s moved %.2f%% -> %.2f%%", "column", 100 * F.col("before"), 100 * F.col("null_rate"))
+    text = F.format_string("%s: empty in %.2f%% of the rows, before in %.2f%%", "column", 100 * F.col("null_rate"), 100 * F.col("before"))
     return moved.select("column", "before", "null_rate", text.alias("alert"))
 
 
@@ -39,10 +39,9 @@ def stage_alerts(quarantined: int, bronze_rows: int, pending: int, unresolved: i
     alerts = []
     rate = quarantined / max(1, bronze_rows)
     if rate > fv.ALERT_QUARANTINE_RATE:
-        alerts.append(f"quarantine rate {rate:.2%} exceeds {fv.ALERT_QUARANTINE_RATE:.2%}")
+        alerts.append(f"{rate:.2%} of the rows are quarantined, more than {fv.ALERT_QUARANTINE_RATE:.2%}")
     if pending:
-        alerts.append(f"{pending} classification proposals await human review; "
-                      f"{unresolved} tickets have no category until then")
+        alerts.append(f"{unresolved} tickets without category, {pending} proposals to be decided")
     return alerts
 
 
@@ -53,8 +52,8 @@ def stage_status(blocking: bool, alerts: list[str]) -> str:
 def previous_success(stage_runs: DataFrame, runs: DataFrame, stage: str, current_run: str) -> DataFrame:
     """Metrics of the newest earlier good run of a stage."""
     good = stage_runs.filter((F.col("stage") == stage) & F.col("status").isin("succeeded", "warning") & (F.col("run_id") != current_run))
-    return good.join(runs.select("run_id"), "run_id").groupBy("stage").agg(
-        F.max_by(F.struct("run_id", "metrics"), F.struct("finished_at", "run_id")).alias("p")).select("stage", "p.*")
+    return (good.join(runs.select("run_id").distinct(), "run_id", "left_semi").orderBy(F.desc("finished_at"), F.desc("run_id")).limit(1)
+            .select("stage", "run_id", "metrics"))
 
 
 # ------------------------------------------------------------------ usage

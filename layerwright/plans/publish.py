@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -12,24 +14,31 @@ def _context(spark: SparkSession, path: str):
 
 
 def publish(tables: dict[str, DataFrame], root: str, run_id: str) -> None:
-    """Write all tables under root/run_id, then move root/CURRENT there in one rename.
+    """Write all tables to a folder that nobody has read yet, then move root/CURRENT there in one rename.
 
-    Readers see the old set until the rename; a failure before it leaves them untouched.
+    Readers see the old set until the rename; a failure before it leaves them untouched. A repeat of a published run
+    gets a folder of its own, so nobody who still reads the first one is disturbed.
     """
     spark = next(iter(tables.values())).sparkSession
+    version = fresh_version(run_id)
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{run_id}/{name}")
-    point(spark, root, run_id)
+        df.write.parquet(f"{root}/{version}/{name}")
+    point(spark, root, version)
+
 
+def fresh_version(run_id: str) -> str:
+    """A folder name for this attempt of a run."""
+    return f"{run_id}.{uuid.uuid4().hex[:12]}"
 
-def point(spark: SparkSession, root: str, run_id: str) -> None:
-    """Make a finished run folder the current one."""
+
+def point(spark: SparkSession, root: str, version: str) -> None:
+    """Make a finished folder the current one."""
     jvm, context = _context(spark, root)
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    fresh = path(f"{root}/CURRENT.{run_id}")
+    fresh = path(f"{root}/CURRENT.{version}")
     out = fs.create(fresh, True)
-    out.write(bytearray(run_id, "utf-8"))
+    out.write(bytearray(version, "utf-8"))
     out.close()
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
@@ -37,13 +46,19 @@ def point(spark: SparkSession, root: str, run_id: str) -> None:
     context.rename(fresh, path(f"{root}/CURRENT"), options)
 
 
-def current_run(spark: SparkSession, root: str) -> str | None:
+def current_version(spark: SparkSession, root: str) -> str | None:
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
     return spark.read.text(f"{root}/CURRENT").first()[0]
 
 
+def current_run(spark: SparkSession, root: str) -> str | None:
+    """The id of the run whose tables are published."""
+    version = current_version(spark, root)
+    return version and version.rpartition(".")[0]
+
+
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The published version of a table."""
-    return spark.read.parquet(f"{root}/{current_run(spark, root)}/{name}")
+    return spark.read.parquet(f"{root}/{current_version(spark, root)}/{name}")

@@ -160,7 +160,9 @@ def build(raw: DataFrame, labels: DataFrame, templates: DataFrame, run_id: str =
     """
     valid = valid_rows(raw)
     slim, latest = _narrow_rows(valid, stage)
+    # decided once: the marks and the audit table both read them
     outcomes = dedup.content_outcomes(latest, safety_bits)
+    outcomes = session.staged(outcomes, "outcomes") if stage else outcomes
     marks = _row_marks(slim, latest, outcomes, valid)
 
     names = people.people_map(valid).select("raw_name", F.col("submitted_by").alias("submitter"),

@@ -98,10 +98,13 @@ def row_hash(payload: Column) -> Column:
     return F.sha2(F.to_json(F.array_sort(F.map_entries(payload))), 256)
 
 
-def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 BRONZE = ("bronze_id bigint, source string, source_file string, file_sha256 string, row_no bigint, "

@@ -17,11 +17,6 @@ from layerwright.operators import skew
 from layerwright.sources import landing
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def _overwrite(df: DataFrame, name: str, path: str, partition: str) -> None:
     ready = session.staged(df, name)
     (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
@@ -52,7 +47,7 @@ def upsert_batch(path: str, key: str = "ticket_id", order: str = "bronze_id", bu
     def batch(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
         rows = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        if _exists(spark, path):
+        if landing.exists(spark, path):
             # at most `buckets` numbers come to the driver; they prune the partitions that are read
             touched = [r[0] for r in rows.select("bucket").distinct().collect()]
             current = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
@@ -87,7 +82,7 @@ def fingerprint_batch(path: str, out: str, buckets: int = 64) -> Callable:
         first = F.min(F.struct("ticket_number", "bronze_id", "ticket_id")).alias("s")
         new = df.groupBy("fingerprint").agg(first).select("fingerprint", "s.*")
         known = new
-        if _exists(spark, path):
+        if landing.exists(spark, path):
             known = (spark.read.parquet(path).drop("bucket").unionByName(new).groupBy("fingerprint").agg(first)
                      .select("fingerprint", "s.*").join(new.select("fingerprint"), "fingerprint", "left_semi"))
         known = session.staged(known, "known")
@@ -97,7 +92,7 @@ def fingerprint_batch(path: str, out: str, buckets: int = 64) -> Callable:
         met.filter(F.col("ticket_id") != F.col("survivor_ticket_id")).withColumn("epoch", F.lit(epoch)).write.mode(
             "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out)
         stored = known.withColumn("bucket", F.pmod(F.xxhash64("fingerprint"), F.lit(buckets)).cast("int"))
-        if _exists(spark, path):
+        if landing.exists(spark, path):
             touched = [r[0] for r in stored.select("bucket").distinct().collect()]
             rest = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).join(
                 stored.select("fingerprint"), "fingerprint", "left_anti")

@@ -64,9 +64,14 @@ def test_run_twice_then_block(spark, tmp_path, ticket_file):
         skip = ("_run_id", "_processed_at", "raw")
         return metrics.table_fingerprint(publish.read(spark, f"{root}/silver", "tickets"), skip).first()
 
-    before = mark()
+    before, held = mark(), publish.read(spark, f"{root}/silver", "tickets")
+    again = run.run(*args, "r1", *maps, checks=mild)  # a repeat of a published run, while somebody reads the first
+    assert held.count() == one.counts["tickets"] and again.counts == one.counts
     two = run.run(*args, "r2", *maps, checks=mild)
     assert mark() == before and two.counts == one.counts
+    log = spark.read.parquet(f"{root}/stage_runs")
+    good = metrics.previous_success(log, spark.read.parquet(f"{root}/runs"), "silver", "r2").first()
+    assert good.run_id == "r1" and good.metrics and log.filter("stage = 'gate'").count() == 3
     with pytest.raises(run.GateBlocked):
         run.run(*args, "r3", *maps, checks=[("always_fails", "critical", "true", 0.0)])
     assert publish.current_run(spark, f"{root}/gold") == "r2"
