@@ -17,8 +17,8 @@ from layerwright import fixed_values as fv
 from layerwright import session
 from layerwright.functions import clean, guard
 from layerwright.operators import dedup, enrich, evaluate, metrics, people, profile, review, rules, similarity
-from layerwright.plans import gold, reports, silver
-from layerwright.sources import landing
+from layerwright.plans import gold, publish, reports, silver
+from layerwright.sources import landing, refdata
 from layerwright.sources import tickets as T
 from layerwright.streaming import relay, tables
 
@@ -288,6 +288,119 @@ def redact_pii(spark, sf):
     return r.select("doc_id", "r.redactions", F.md5("r.text").alias("text_md5"))
 
 
+def templates_many_names(spark, sf):
+    """Texts that name parts, masked by as many names as there are parts; many names begin like others."""
+    part = T.table(spark, sf, "part")
+    name = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    texts = part.select(F.col("p_partkey").alias("bronze_id"), F.concat(F.lit("lamp out at "), name, F.lit(", near x"), name, F.lit(" 7")).alias("description"))
+    rows = enrich.with_template(texts, part.select(name.alias("name")).distinct())
+    return rows.select(F.col("bronze_id").alias("p_partkey"), F.col("description_template").alias("template"))
+
+
+def _pending(todo: DataFrame, column: str) -> DataFrame:
+    return todo.filter(F.length(column) % 2 == 0).select(F.col(column).alias("subject"))
+
+
+def worklist_labels_pending(spark, sf):
+    args = (_valid(spark, sf), T.label_map(spark))
+    todo = enrich.worklist_labels(*args, pending=_pending(enrich.worklist_labels(*args), "label"))
+    return enrich.classify_labels(todo).drop("source")
+
+
+def worklist_templates_pending(spark, sf):
+    rows = _enriched(spark, sf)
+    todo = enrich.worklist_templates(rows, pending=_pending(enrich.worklist_templates(rows), "template"))
+    return enrich.classify_templates(todo).drop("source", "issue_type")
+
+
+# ------------------------------------------------------------------ landing
+def lake(spark: SparkSession, sf: str) -> tuple[str, list[tuple]]:
+    """Customers as CSV files, landed: all, the same once more, half of them again, and some with other columns."""
+    def make() -> tuple[str, list[tuple]]:
+        root, rows = session.fresh_folder(spark, "lake"), T.table(spark, sf, "customer")
+        key = F.col("c_custkey")
+        parts = {"first": rows.select("c_custkey", "c_name", "c_mktsegment"),
+                 "half": rows.filter(key % 2 == 0).select("c_custkey", "c_name", "c_mktsegment"),
+                 "other": rows.filter(key % 3 == 0).select("c_custkey", "c_name", "c_nationkey")}
+        files = {}
+        for name, df in parts.items():
+            folder = session.fresh_folder(spark, f"csv-{name}")
+            df.write.csv(folder, header=True)
+            # one name for each file that was written
+            files[name] = sorted(r[0] for r in spark.read.format("binaryFile").load(folder).select("path").collect())
+        done = [(step, f.rows_in, f.rows_out, f.repeated, f.skipped) for step, name in
+                (("first", "first"), ("again", "first"), ("half", "half"), ("other", "other"))
+                for path in files[name] for f in [landing.land(spark, path, "customers", root, step)]]
+        return root, done
+    return _once(spark, sf, "lake", make)
+
+
+def _bronze(spark, sf):
+    return spark.read.schema(landing.BRONZE).parquet(f"{lake(spark, sf)[0]}/bronze")
+
+
+def landed_rows(spark, sf):
+    rows = landing.flat_view(_bronze(spark, sf), ["c_custkey", "c_name", "c_mktsegment", "c_nationkey"])
+    return rows.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+
+
+def landing_manifest(spark, sf):
+    m = spark.read.schema(landing.MANIFEST).parquet(f"{lake(spark, sf)[0]}/manifest")
+    return m.groupBy(F.array_join("header", ",").alias("header")).agg(
+        F.sum("row_count").alias("rows"), F.max(F.array_join("drift_added", ",")).alias("added"), F.max(F.array_join("drift_removed", ",")).alias("removed"))
+
+
+def landing_repeat(spark, sf):
+    """What each landing step did; one row per file comes from the driver."""
+    done = spark.createDataFrame(lake(spark, sf)[1], "step string, rows_in long, rows_out long, repeated long, skipped boolean")
+    return done.groupBy("step").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"), F.sum("repeated").alias("repeated"),
+                                    F.every("skipped").alias("skipped"))
+
+
+def bronze_summary(spark, sf):
+    return reports.bronze_summary(_bronze(spark, sf)).select("rows", (F.col("files") >= 3).alias("several_files"), F.col("last").isNotNull().alias("dated"))
+
+
+def reference_tables(spark, sf):
+    """The taxonomy, replaced as one set of tables; read by the pointer."""
+    root = session.fresh_folder(spark, "reference")
+    for version in ("first", "second"):
+        publish.publish(refdata.taxonomy(spark), root, version)
+    parts = [publish.read(spark, root, name).select(F.lit(name).alias("name")) for name in ("categories", "keywords", "assignees", "related", "qualified")]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionAll(part)
+    return rows.groupBy("name").agg(F.count("*").alias("n"))
+
+
+def gate_latest(spark, sf):
+    results = rules.gate_results(_tickets(spark, sf), fv.DQ_CHECKS, AS_OF)
+    older = results.withColumn("run_id", F.lit("r1")).withColumn("checked_at", F.lit(1)).withColumn("passed", F.lit(None).cast("boolean"))
+    newer = results.withColumn("run_id", F.lit("r2")).withColumn("checked_at", F.lit(2))
+    return _plain(reports.gate_latest(older.unionByName(newer)))
+
+
+def rule_tryout(spark, sf):
+    tried = {"open": "is_open", "number": "cost_usd + 1", "subquery": "is_open IN (SELECT true)", "unknown": "nope = 1"}
+    rows = rules.evaluate_predicates(_tickets(spark, sf), tried)
+    return rows.select("check_id", F.col("problem").isNotNull().alias("refused"), "total", "violations")
+
+
+def table_fingerprint(spark, sf):
+    rows = T.table(spark, sf, "customer")
+    a, b = (metrics.table_fingerprint(df) for df in (rows, rows.repartition(7).select(*reversed(rows.columns))))
+    return a.join(b.withColumnRenamed("fingerprint", "other"), "rows").select("rows", (F.col("fingerprint") == F.col("other")).alias("same"))
+
+
+def answering_models(spark, sf):
+    rows = calls(spark, sf).withColumn("served_model", F.when(F.col("output_tokens") % 3 != 0, F.col("model")))
+    return metrics.answering_models(rows)
+
+
+def evaluation_errors(spark, sf):
+    return evaluate.errors(_scored_labels(spark, sf)).select("doc_id", "truth", "answer")
+
+
 def jaccard_recall(spark, sf, leave_own_out=True):
     """Benchmark passages most similar to the turns of a conversation; a looser threshold than the
     default, because free prose shares fewer words than short labels do."""
@@ -400,9 +513,14 @@ def stream_relay(spark, sf):
 
 
 def stream_dedup(spark, sf):
+    """Events delivered in two overlapping lots; every event comes through once."""
+    source = session.fresh_folder(spark, "delivered")
+    rows = T.table(spark, sf, "events")
+    rows.unionAll(rows.filter(F.col("event_id") % 3 == 0)).write.parquet(source)
     sink, mark = session.fresh_folder(spark, "dedup"), session.fresh_folder(spark, "dedup-checkpoint")
-    rows = relay.dedup_events(_outbox(_event_stream(spark, sf)), "60 days").select("event_id", "event_type")
-    (rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", mark).trigger(availableNow=True)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    out = relay.dedup_events(_outbox(stream), "60 days").select("event_id", "event_type")
+    (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", mark).trigger(availableNow=True)
      .start().awaitTermination())
     return spark.read.parquet(sink)
 
@@ -469,6 +587,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_resolution": lambda s, d: _plain(category_resolution(s, d)),
         "qualification": qualification,
         "person_resolution": lambda s, d: people.people_map(_valid(s, d)),
+        "templates_many_names": templates_many_names,
+        "worklist_labels_pending": worklist_labels_pending,
+        "worklist_templates_pending": worklist_templates_pending,
         "worklist_labels": worklist_labels,
         "worklist_templates": worklist_templates,
         "keyword_classify": keyword_classify,
@@ -489,8 +610,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lineage": lambda s, d: (_tickets(s, d).select("_bronze_id").join(landed(s, d).select("bronze_id", "source_file"), F.col("_bronze_id") == F.col("bronze_id"))
                                  .groupBy("source_file").agg(F.count("*").alias("tickets"))),
         "rule_results": rule_results,
+        "gate_latest": gate_latest,
+        "rule_tryout": rule_tryout,
         "truth_score": truth_score,
         # gold
+        "category_tickets": lambda s, d: gold.dim_category(s).select("category").join(_tickets(s, d).groupBy("category").agg(F.count("*").alias("n")), "category", "left"),
         "dim_building": of(gold.dim_building),
         "dim_assignee": of(gold.dim_assignee),
         "dim_date": of(gold.dim_date),
@@ -520,6 +644,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "proposed_rules": proposed_rules,
         "groundedness": groundedness,
         "cleaning_preview": cleaning_preview,
+        # landing, reference data
+        "landed_rows": landed_rows,
+        "landing_manifest": landing_manifest,
+        "landing_repeat": landing_repeat,
+        "bronze_summary": bronze_summary,
+        "reference_tables": reference_tables,
         "row_hashes": row_hashes,
         "repeated_rows": repeated_rows,
         # text, similarity
@@ -549,6 +679,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "accuracy": lambda s, d: evaluate.accuracy(_scored_labels(s, d)),
         "promotion_gate": lambda s, d: evaluate.promotion_gate(evaluate.accuracy(_scored_labels(s, d))),
         # usage
+        "macro_f1": lambda s, d: evaluate.macro_f1(evaluate.category_report(_scored_labels(s, d))),
+        "evaluation_errors": evaluation_errors,
+        "answering_models": answering_models,
+        "table_fingerprint": table_fingerprint,
         "usage_cost": lambda s, d: reports.usage(calls(s, d)),
         "usage_rollup": usage_rollup,
         "latency": latency,
