@@ -1,7 +1,8 @@
 """Incremental tables: landing of new files, latest-wins upsert, month replay, persisted fingerprints.
 
-Each batch rewrites only the partitions it touches. The new content is written to the work folder first,
-then moved in with a dynamic partition overwrite; repeating a batch gives the same table.
+A batch adds a partition of its own, whose size follows the batch and not the table; repeating a batch replaces that
+partition. Readers take the newest (or first) row per key over all partitions, and `compact` makes one of them now and then.
+Replayed months are written to the work folder first, then moved in with a dynamic partition overwrite.
 """
 
 from __future__ import annotations
@@ -37,25 +38,34 @@ def incremental_landing(spark: SparkSession, folder: str, source: str, root: str
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _newest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, "r.*")
+def _extreme(rows: DataFrame, key: str, order: str, least: bool = False) -> DataFrame:
+    """The row with the largest (or least) `order` of each key; an extreme of plain numbers, combined on the map side."""
+    picked = rows.groupBy(key).agg((F.min if least else F.max)(order).alias(order))
+    return rows.join(picked, [key, order], "left_semi").dropDuplicates([key])
 
 
-def upsert_batch(path: str, key: str = "ticket_id", order: str = "bronze_id", buckets: int = 64) -> Callable:
-    """foreachBatch: keep the newest row per key in a table partitioned by key bucket."""
+def _add(df: DataFrame, path: str, epoch: int) -> None:
+    (df.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("epoch").parquet(path))
+
+
+def upsert_batch(path: str, key: str = "ticket_id", order: str = "bronze_id") -> Callable:
+    """foreachBatch: add the newest row per key of the batch; `latest` reads the table."""
     def batch(df: DataFrame, epoch: int) -> None:
-        spark = df.sparkSession
-        rows = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        if landing.exists(spark, path):
-            # at most `buckets` numbers come to the driver; they prune the partitions that are read
-            touched = [r[0] for r in rows.select("bucket").distinct().collect()]
-            current = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-            rows = current.unionByName(rows)
-        _overwrite(_newest(rows, [key, "bucket"], order), "upsert", path, "bucket")
+        _add(_extreme(df, key, order), path, epoch)
     return batch
 
 
+def latest(spark: SparkSession, path: str, key: str = "ticket_id", order: str = "bronze_id") -> DataFrame:
+    """The newest row per key over all batches."""
+    return _extreme(spark.read.parquet(path).drop("epoch"), key, order)
+
+
+def compact(spark: SparkSession, path: str, into: str, key: str = "ticket_id", order: str = "bronze_id") -> None:
+    """Write the newest rows alone to the new folder `into`, as the batch before all others, for later batches to add to."""
+    _add(latest(spark, path, key, order), into, -1)
+
+
 def replay_batch(path: str, derive: Callable[[DataFrame], DataFrame], history: Callable[[SparkSession], DataFrame],
                  month: str = "created_month") -> Callable:
     """foreachBatch for late data: re-derive only the months that the batch touches, from all their rows.
@@ -71,31 +81,25 @@ def replay_batch(path: str, derive: Callable[[DataFrame], DataFrame], history: C
     return batch
 
 
-def fingerprint_batch(path: str, out: str, buckets: int = 64) -> Callable:
+def fingerprint_batch(path: str, out: str) -> Callable:
     """foreachBatch: known content points to its first ticket; new content is remembered.
 
-    Rows: bronze_id, ticket_id, ticket_number, fingerprint. The survivor is the lowest number seen up to
-    this batch. Frequencies are not revised here: a full rebuild may merge differently.
+    Rows: bronze_id, ticket_id, ticket_number, fingerprint. The survivor is the lowest number seen up to this batch. Only
+    fingerprints of the batch are looked for in what was remembered, and only they are added. Frequencies are
+    not revised here: a full rebuild may merge differently.
     """
     def batch(df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
-        first = F.min(F.struct("ticket_number", "bronze_id", "ticket_id")).alias("s")
-        new = df.groupBy("fingerprint").agg(first).select("fingerprint", "s.*")
+        rows = df.select("fingerprint", "ticket_number", "bronze_id", "ticket_id")
+        new = session.staged(_extreme(rows, "fingerprint", "ticket_number", least=True), "new-fingerprints")
         known = new
         if landing.exists(spark, path):
-            known = (spark.read.parquet(path).drop("bucket").unionByName(new).groupBy("fingerprint").agg(first)
-                     .select("fingerprint", "s.*").join(new.select("fingerprint"), "fingerprint", "left_semi"))
-        known = session.staged(known, "known")
+            before = spark.read.parquet(path).filter(F.col("epoch") < epoch).drop("epoch")
+            asked = before.join(new.select("fingerprint"), "fingerprint", "left_semi")
+            known = _extreme(asked.unionByName(new), "fingerprint", "ticket_number", least=True)
         copies = df.groupBy("fingerprint").agg(F.count("*").alias("copies"))
-        first_known = known.select("fingerprint", F.col("ticket_id").alias("survivor_ticket_id")).join(copies, "fingerprint")
-        met = skew.spread_join(df, first_known, F.col("fingerprint"), "fingerprint", "copies", F.col("bronze_id"))
-        met.filter(F.col("ticket_id") != F.col("survivor_ticket_id")).withColumn("epoch", F.lit(epoch)).write.mode(
-            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out)
-        stored = known.withColumn("bucket", F.pmod(F.xxhash64("fingerprint"), F.lit(buckets)).cast("int"))
-        if landing.exists(spark, path):
-            touched = [r[0] for r in stored.select("bucket").distinct().collect()]
-            rest = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).join(
-                stored.select("fingerprint"), "fingerprint", "left_anti")
-            stored = stored.unionByName(rest.select(stored.columns))
-        _overwrite(stored, "fingerprints", path, "bucket")
+        first = known.select("fingerprint", F.col("ticket_id").alias("survivor_ticket_id")).join(copies, "fingerprint")
+        met = skew.spread_join(df, first, F.col("fingerprint"), "fingerprint", "copies", F.col("bronze_id"))
+        _add(met.filter(F.col("ticket_id") != F.col("survivor_ticket_id")), out, epoch)
+        _add(new, path, epoch)
     return batch

@@ -534,9 +534,9 @@ def stream_upsert(spark, sf):
         keep.write.mode("overwrite").parquet(rows)
         _KEPT[(spark, sf, "written")] = True
     stream = spark.readStream.schema(keep.schema).option("maxFilesPerTrigger", 4).parquet(rows)
-    (stream.writeStream.foreachBatch(tables.upsert_batch(table, buckets=8)).option("checkpointLocation", mark)
+    (stream.writeStream.foreachBatch(tables.upsert_batch(table)).option("checkpointLocation", mark)
      .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(table).drop("bucket")
+    return tables.latest(spark, table)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -49,12 +49,20 @@ def test_incremental_landing(spark, tmp_path):
 
 def test_upsert_replay_and_fingerprints(spark, tmp_path):
     path = str(tmp_path / "t")
-    up = tables.upsert_batch(path, buckets=4)
+    up = tables.upsert_batch(path)
     schema = "ticket_id string, bronze_id long, status string"
     up(spark.createDataFrame([("a", 1, "open"), ("b", 2, "open")], schema), 0)
     for _ in range(2):  # a repeated batch changes nothing
         up(spark.createDataFrame([("a", 5, "closed"), ("a", 4, "x"), ("c", 6, "open"), ("b", 1, "late")], schema), 1)
-    assert {r.ticket_id: r.status for r in spark.read.parquet(path).collect()} == {"a": "closed", "b": "open", "c": "open"}
+    want = {"a": "closed", "b": "open", "c": "open"}
+    assert {r.ticket_id: r.status for r in tables.latest(spark, path).collect()} == want
+    # a batch writes what it holds, not the table again
+    assert {r.epoch: r["count"] for r in spark.read.parquet(path).groupBy("epoch").count().collect()} == {0: 2, 1: 3}
+    small = str(tmp_path / "compacted")
+    tables.compact(spark, path, small)
+    tables.upsert_batch(small)(spark.createDataFrame([("b", 9, "done")], schema), 2)
+    assert {r.ticket_id: r.status for r in tables.latest(spark, small).collect()} == {**want, "b": "done"}
+    assert spark.read.parquet(small).count() == 4
 
     out = str(tmp_path / "months")
     hist = spark.createDataFrame([("2024-01", 1), ("2024-01", 2), ("2024-02", 7)], "created_month string, x int")
@@ -64,9 +72,11 @@ def test_upsert_replay_and_fingerprints(spark, tmp_path):
     assert {r.created_month: r.x for r in spark.read.parquet(out).collect()} == {"2024-01": 3, "2024-02": 7}
 
     fp, found = str(tmp_path / "fp"), str(tmp_path / "found")
-    batch = tables.fingerprint_batch(fp, found, buckets=2)
+    batch = tables.fingerprint_batch(fp, found)
     cols = "bronze_id long, ticket_id string, ticket_number long, fingerprint string"
     batch(spark.createDataFrame([(1, "T1", 1, "f"), (2, "T2", 2, "g")], cols), 0)
-    batch(spark.createDataFrame([(3, "T9", 9, "f"), (4, "T4", 4, "h"), (5, "T5", 5, "h")], cols), 1)
+    for _ in range(2):  # a repeated batch changes nothing
+        batch(spark.createDataFrame([(3, "T9", 9, "f"), (4, "T4", 4, "h"), (5, "T5", 5, "h")], cols), 1)
     got = {(r.ticket_id, r.survivor_ticket_id) for r in spark.read.parquet(found).collect()}
-    assert got == {("T9", "T1"), ("T5", "T4")} and spark.read.parquet(fp).count() == 3
+    assert got == {("T9", "T1"), ("T5", "T4")} and spark.read.parquet(fp).select("fingerprint").distinct().count() == 3
+    assert spark.read.parquet(found).count() == 2
