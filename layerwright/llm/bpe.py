@@ -25,9 +25,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerwright import session
 from layerwright.llm.common import map_batches
 
-CHUNK = 32_768   # code points
+CHUNK = 65_536   # code points
 OVERLAP = 512
 # A boundary closer to the end of a chunk may be due to the cut: the pattern looks this far beyond a match.
 LOOK_AHEAD = 4
@@ -141,7 +142,9 @@ def _encode_long(rows: DataFrame, vocabulary: Vocabulary, kind: str, size: int,
         return {"id": batch.column(0), "text_key": batch.column(1), "chunk": batch.column(2), "start": batch.column(3),
                 "head": pa.array(heads, pa.list_(pa.int64())), "tail": pa.array(tails, pa.list_(pa.int64()))}
 
-    marks = map_batches(cuts, split, f"id {kind}, text_key string, chunk int, start long, head array<long>, tail array<long>")
+    # kept: two sides of a join read them
+    marks = session.staged(map_batches(cuts, split, f"id {kind}, text_key string, chunk int, start long, head array<long>, tail array<long>"),
+                           "bpe-marks")
     same = lambda a, b: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in ("id", "text_key")]
     # `from`: the shared boundary with the chunk before. Where there is none, the chunk's own split is not to be trusted,
     # nor what follows from it: the rest of the text is one piece.
