@@ -28,6 +28,19 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS
        CAST(coalesce(held.n, 0) AS BIGINT) AS n_items, sha256(coalesce(held.ids, '')) AS items_sha256,
        coalesce(hit.n, 0) > 0 AND {_SHARE} * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)""",
+    "op6_partenum_jaccard": """
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS s
+  FROM doc WHERE len(w) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+meet AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM meet JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * meet.n >= 85 * (x.n + y.n - meet.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT doc.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, least_id.b AS component_id
+FROM doc LEFT JOIN size USING (doc_id) JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) least_id ON least_id.a = doc.doc_id""",
     "op10_warc_index_first": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 r AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, html, max(page_id) OVER (PARTITION BY html) AS best FROM p)
