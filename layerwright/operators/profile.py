@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, NumericType, StringType, StructType
 from pyspark.sql.window import Window
 
 from layerwright import fixed_values as fv
@@ -213,31 +214,64 @@ def _number(raw: Column) -> Column:
     return F.regexp_replace(F.rtrim(raw, F.lit("%")), ",", "").try_cast("double")
 
 
+def _parts(value: Column, kind: DataType) -> tuple[list[Column], list[Column]]:
+    """Numbers (as arrays of doubles) and texts (as arrays) that a column of a profile holds, from its typed fields."""
+    if isinstance(kind, NumericType):
+        return [F.array(value.cast("double"))], []
+    if isinstance(kind, StringType):
+        return [], [F.array(value)]
+    numbers, texts = [], []
+    if isinstance(kind, StructType):
+        for field in kind.fields:
+            n, t = _parts(value[field.name], field.dataType)
+            numbers, texts = numbers + n, texts + t
+    elif isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
+        for field in kind.elementType.fields:
+            each = value[field.name]  # one field of all elements
+            if isinstance(field.dataType, NumericType):
+                numbers.append(each.cast("array<double>"))
+            elif isinstance(field.dataType, StringType):
+                texts.append(each)
+    return numbers, texts
+
+
 def profile_numbers(profile: DataFrame, table: dict[str, int]) -> DataFrame:
     """column, k: every number a column's compact profile or the table facts (one row) mention, 2 decimals."""
-    facts = profile.select("column", F.explode(F.regexp_extract_all(
-        F.to_json(F.struct(*[c for c in profile.columns if c != "column"])), F.lit(fv.CITED_NUMBER), F.lit(0))).alias("raw"))
-    own = facts.select("column", F.round(_number(F.col("raw")), 2).alias("k")).filter(F.col("k").isNotNull())
-    shared = profile.select("column", F.explode(F.array(*[F.lit(float(v)) for v in table.values()])).alias("k"))
-    return own.unionByName(shared).distinct()
+    numbers, texts = [F.array(*[F.lit(float(v)) for v in table.values()])], []
+    for field in profile.schema.fields:
+        if field.name != "column":
+            n, t = _parts(F.col(field.name), field.dataType)
+            numbers, texts = numbers + n, texts + t
+    none = F.array().cast("array<double>")
+    read = [F.flatten(F.transform(F.coalesce(t, F.array().cast("array<string>")), lambda x: F.coalesce(F.transform(
+        F.regexp_extract_all(x, F.lit(fv.CITED_NUMBER), F.lit(0)), _number), none))) for t in texts]
+    every = F.concat(*[F.coalesce(n, none) for n in numbers], *read)
+    return (profile.select("column", F.explode(every).alias("k")).filter(F.col("k").isNotNull())
+            .select("column", F.round("k", 2).alias("k")).distinct())
 
 
 def groundedness(claims: DataFrame, numbers: DataFrame, total_rows: Column) -> DataFrame:
-    """Share of the numbers cited in a claim (check_id, column, text) that its column's profile supports:
-    present, or a percentage of the row total. Small whole numbers are structure and are not counted."""
-    cited = (claims.select("check_id", "column", F.posexplode(F.regexp_extract_all(
-        F.col("text"), F.lit(fv.CITED_NUMBER), F.lit(0))).alias("pos", "raw"))
-        .withColumn("value", _number(F.col("raw"))).withColumn("pct", F.endswith(F.col("raw"), F.lit("%")))
-        .filter((F.abs("value") > 12) | F.col("pct")))
+    """Share of the numbers cited in a claim (check_id, column, text) that its column's profile supports: present, or a
+    percentage of the row total. Small whole numbers are structure and are not counted.
+
+    One row per claim; a claim that cites nothing has score NULL. A column that the profile does not have is judged
+    by the numbers of all columns. `numbers` is a profile's: bounded, however large the table.
+    """
     known = numbers.groupBy("column").agg(F.collect_set("k").alias("known"))
-    met = cited.join(known, "column", "left").withColumn("total", total_rows.cast("double"))
-    places = F.length(F.regexp_extract("raw", r"\.(\d+)", 1))
-    direct = F.array_contains("known", F.round("value", 2))
-    tolerance = 0.5 * F.pow(F.lit(10.0), -places) + 1e-9
-    share = F.col("pct") & F.exists("known", lambda k: (k > 0) & (k <= F.col("total"))
-                                    & (F.abs(100 * k / F.col("total") - F.col("value")) <= tolerance))
-    ok = F.coalesce(direct | share, F.lit(False))
-    return met.withColumn("ok", ok).groupBy("check_id", "column").agg(
-        F.count("*").alias("cited"), F.count_if("ok").alias("grounded"),
-        F.round(F.count_if("ok") / F.count("*"), 3).alias("score"),
-        F.transform(F.sort_array(F.collect_list(F.when(~F.col("ok"), F.struct("pos", "raw")))), lambda s: s["raw"]).alias("ungrounded"))
+    everything = numbers.agg(F.collect_set("k")).scalar()
+    met = claims.join(known, "column", "left").withColumn("known", F.coalesce("known", everything)).withColumn("total", total_rows.cast("double"))
+    cited = F.transform(F.coalesce(F.regexp_extract_all("text", F.lit(fv.CITED_NUMBER), F.lit(0)), F.array().cast("array<string>")),
+                        lambda r: F.struct(r.alias("raw"), _number(r).alias("value"), F.endswith(r, F.lit("%")).alias("pct")))
+    met = met.withColumn("said", F.filter(cited, lambda c: (F.abs(c["value"]) > 12) | c["pct"]))
+
+    def supported(c: Column) -> Column:
+        tolerance = 0.5 * F.pow(F.lit(10.0), -F.length(F.regexp_extract(c["raw"], r"\.(\d+)", 1))) + 1e-9
+        share = c["pct"] & F.exists("known", lambda k: (k > 0) & (k <= F.col("total"))
+                                    & (F.abs(100 * k / F.col("total") - c["value"]) <= tolerance))
+        return F.coalesce(F.array_contains("known", F.round(c["value"], 2)) | share, F.lit(False))
+
+    met = met.withColumn("marked", F.transform("said", lambda c: F.struct(c["raw"].alias("raw"), supported(c).alias("ok"))))
+    grounded, all_ = F.size(F.filter("marked", lambda m: m["ok"])), F.size("marked")
+    return met.select("check_id", "column", all_.cast("long").alias("cited"), grounded.cast("long").alias("grounded"),
+                      F.when(all_ > 0, F.round(grounded / all_, 3)).alias("score"),
+                      F.transform(F.filter("marked", lambda m: ~m["ok"]), lambda m: m["raw"]).alias("ungrounded"))

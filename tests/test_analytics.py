@@ -27,12 +27,16 @@ def test_similarity_against_brute_force(spark):
     texts += texts[:10] * 5
     data = [("k" + str(i % 2), t, rng.choice("xy")) for i, t in enumerate(texts)]
     df = spark.createDataFrame(data, "kind string, text string, answer string")
-    want = {}
+    # a decision holds two fields, a question asks for one; one question is about a text that is like nothing
+    decided = df.withColumn("answer", F.create_map(F.lit("a"), F.upper("answer"), F.lit("b"), F.lit("other")))
+    alone = spark.createDataFrame([("k0", "qqq zzz", "x"), ("k0", "", "x")], "kind string, text string, answer string")
+    asked = df.unionAll(alone).withColumn("answer", F.create_map(F.lit("a"), F.col("answer")))
+    want = {("k0", "qqq zzz", "x"): None, ("k0", "", "x"): None}
     for kind, text, answer in set(data):
         votes = [b == answer for k, t, b in data if k == kind and t != text and words(t) and words(text)
                  and len(words(t) & words(text)) / len(words(t) | words(text)) >= 0.5]
         want[kind, text, answer] = sum(votes) / len(votes) if votes else None
-    got = {(r.kind, r.text, r.answer): r.human_signal for r in similarity.human_signal(df, df).collect()}
+    got = {(r.kind, r.text, r.answer["a"]): r.human_signal for r in similarity.human_signal(asked, decided).collect()}
     assert {k: pytest.approx(v) if v is not None else None for k, v in want.items()} == got
     for t in (0.25, 0.6):
         s = similarity.token_sets(df, "text")
@@ -42,10 +46,25 @@ def test_similarity_against_brute_force(spark):
         assert pairs == brute
 
 
-def test_recall_leaves_the_own_text_out(spark):
+def test_recall_finds_the_same_text_unless_it_is_left_out(spark):
     eps = spark.createDataFrame([("t", "drain clogged in cleaner cupboard"), ("t", "paint peeling in lobby")], "kind string, text string")
     ask = spark.createDataFrame([(1, "t", "kitchen drain clogged again"), (2, "t", "drain clogged in cleaner cupboard")], "batch_id int, kind string, text string")
-    assert [(r.batch_id, r.episode) for r in similarity.recall(ask, eps).collect()] == [(1, "drain clogged in cleaner cupboard")]
+    same = "drain clogged in cleaner cupboard"
+    assert sorted((r.batch_id, r.episode, r.similarity == 1) for r in similarity.recall(ask, eps).collect()) == [(1, same, False), (2, same, True)]
+    assert [(r.batch_id, r.episode) for r in similarity.recall(ask, eps, exclude=ask.select("batch_id", "text")).collect()] == [(1, same)]
+
+
+def test_a_word_in_every_text_makes_no_pairs_of_all(spark):
+    rows = spark.createDataFrame([("k", f"common a{chr(97 + i % 26)} b{chr(97 + i // 26 % 26)}x{chr(97 + i % 7)}") for i in range(600)], "kind string, text string")
+    sets = similarity.distinct_sets(similarity.token_sets(rows, "text"))
+    found = similarity.similar_sets(sets, sets, 0.9)
+    assert found.count() == sets.count()
+
+
+def test_leak_anchor_is_the_rarest_inner_word(spark):
+    docs = spark.createDataFrame([(i, f"the longestcommonword of text number{i} ends") for i in range(50)], "doc_id int, text string")
+    items = spark.createDataFrame([(1, "longestcommonword of text number7 ends"), (2, "of TEXT  number8 ends"), (3, "a nowhere b")], "item_id int, text string")
+    assert sorted((r.item_id, r.doc_id) for r in similarity.leaked_items(items, docs).collect()) == [(1, 7), (2, 8)]
 
 
 def test_leakage_against_brute_force(spark):
@@ -96,6 +115,12 @@ def test_tags_and_groundedness(spark):
     got = {r.check_id: r for r in profile.groundedness(claims, numbers, F.lit(10280)).collect()}
     assert (got["a"].cited, got["a"].score) == (4, 1.0)
     assert got["b"].ungrounded == ["3,100"] and got["b"].score == 0.5
+    big = spark.createDataFrame([("size", 2.5e9, [("about 77", 40)])], "column string, total double, top array<struct<value:string,n:int>>")
+    said = spark.createDataFrame([("none", "size", "no numbers"), ("big", "size", "2,500,000,000 rows, 77 and 40 seen, 41 not"),
+                                  ("other", "nowhere", "40 of them"), ("null", "size", None)], "check_id string, column string, text string")
+    got = {r.check_id: (r.cited, r.score, r.ungrounded) for r in
+           profile.groundedness(said, profile.profile_numbers(big, {}), F.lit(100)).collect()}
+    assert got == {"none": (0, None, []), "big": (4, 0.75, ["41"]), "other": (1, 1.0, []), "null": (0, None, [])}
 
 
 def test_cost_and_latency(spark):
@@ -114,4 +139,4 @@ def test_policy(spark):
                                  "source string, confidence double, trust double, judge_p double")
     assert [r.approve for r in review.policy(rows, True).collect()] == [False, False, False, True]
     assert [r.approve for r in review.policy(rows, False).collect()] == [False, True, True, False]
-    assert "fail safe" in review.policy(rows, True).collect()[2].reason
+    assert "judge" in review.policy(rows, True).collect()[2].reason
