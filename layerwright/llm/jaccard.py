@@ -10,9 +10,12 @@ choice of m <= p - k partitions; two sets that link share one at least, and only
 * Empty partitions say nothing and would be shared by strangers. A scheme has some partitions more than it needs, and sets
   with no more empty ones than that only emit signatures of partitions that hold something. The few with more of them also
   emit the others, in a name space of their own, where only such sets meet.
-* Within a signature's sets no two need to be compared that are known to be connected. In each star round all sets of a signature
-  are compared with one of them; after `ROUNDS` rounds all pairs that are still unconnected and not compared yet are
-  compared, so no link is lost and a group of thousands of near copies costs a few comparisons for each.
+* Within a signature's sets not all pairs are compared. First all sets are compared with one of them, the pivot. Signatures of up to
+  `SMALL` sets that this leaves unconnected then give their remaining pairs. Larger ones are cut down by how their sets
+  differ from a common pivot (`difference_keys`): two sets that link share such a key. So no link is lost, and a group
+  of thousands of near copies costs a few comparisons for each, also where most of them do not link.
+* Before two sets are compared, their sketches are: 512 bits, each the parity of a share of the elements. Every bit that differs
+  stands for an element that only one set has, so too many of them rule a link out.
 
 Shingles are 64-bit hashes; copies (equal sets) are compared by a 128-bit digest and then stand for one.
 
@@ -30,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerwright import session
@@ -40,7 +43,8 @@ from layerwright.llm.components import components
 WORDS = 4
 NUM, DEN = 85, 100
 GROWTH = 1.3
-ROUNDS = 4
+SMALL = 32           # sets of one signature whose pairs are compared one by one
+SKETCH = 8           # longs
 _PAIRS_BELOW = 48    # sets this small sign choices of two partitions, larger ones single partitions
 _ENUMERATE = 3       # up to this difference all choices of p - k partitions are signed
 _TAIL = 1e-4         # share of sets that may have more empty partitions than the scheme has to spare
@@ -158,6 +162,44 @@ def signatures(grams: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([s for scheme in schemes(len(grams)) for s in scheme.sign(grams)])).view(np.int64)
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """Bit i of all is the parity of the elements that fall to i: sketches of two sets differ in no more bits than the sets do in elements."""
+    place = (mix(grams ^ _ODD[4]) >> np.uint64(40)).astype(np.int64) % (64 * SKETCH)
+    odd = np.bincount(place, minlength=64 * SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
+def most_different(size: int) -> int:
+    """How many elements can at most be in only one of two sets that link, if one has this size."""
+    return (size + size * DEN // NUM) * (DEN - NUM) // (DEN + NUM)
+
+
+def difference_keys(grams: np.ndarray, pivot_grams: np.ndarray, pivot: int) -> np.ndarray:
+    """Keys of a set by how it differs from a pivot.
+
+    Let X and Y be the differences of two sets from the pivot. The sets differ from each other in |X| + |Y| - 2 |X & Y| elements,
+    so if that is at most k, X and Y share at least t = (|X| + |Y| - k) / 2 elements and their sizes are at most k
+    apart. Then, in an order that both follow, the first |X| - t + 1 elements of X and the first |Y| - t + 1
+    of Y have one in common. What a set has beyond the pivot comes first, as few others will have it. The keys are those
+    elements for every class of sizes that Y may be in, and one for the class itself where t may be 0.
+    """
+    k = most_different(len(grams))
+    width = max(1, most_different(len(pivot_grams)) // 2)
+    beyond = np.setdiff1d(grams, pivot_grams, assume_unique=True)
+    lacking = np.setdiff1d(pivot_grams, grams, assume_unique=True)
+    own = np.concatenate((np.sort(beyond), np.sort(lacking)))
+    size, out = len(own), []
+    salt = mix(np.array([pivot], np.int64).view(np.uint64) * _ODD[1])[0]
+    for other in range(max(0, size - k) // width, (size + k) // width + 1):
+        shared = -((k - size - max(other * width, size - k)) // 2)  # t for the smallest Y of the class, rounded up
+        low, high = sorted((size // width, other))
+        place = mix(np.array([low * 1_000_003 + high], np.uint64) * _ODD[2] + salt)[0]
+        out.append(mix(own[:size - max(shared, 1) + 1] ^ place))
+        if shared <= 0:
+            out.append(mix(np.array([place], np.uint64) * _ODD[3]))
+    return np.unique(np.concatenate(out)).view(np.int64)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, parts)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
@@ -170,16 +212,21 @@ def join(docs: DataFrame, key: str, text: str) -> DataFrame:
     def sized(batch: pa.RecordBatch) -> dict[str, object]:
         sets = [shingles(t) for t in batch.column(1).to_pylist()]
         return {"id": batch.column(0), "n": pa.array([len(s) for s in sets], pa.int64()),
-                "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())}
+                "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                "sketch": _lists([sketch(s) for s in sets])}
 
     def signed(batch: pa.RecordBatch) -> dict[str, object]:
         return {"id": batch.column(0), "sigs": _lists([signatures(shingles(t)) for t in batch.column(1).to_pylist()])}
 
-    sizes = session.staged(map_batches(rows, sized, "id long, n long, digest binary"), "set-sizes")
+    sizes = session.staged(map_batches(rows, sized, "id long, n long, digest binary, sketch array<long>"), "set-sizes")
     known = sizes.filter(F.col("id").isNotNull() & (F.col("n") > 0))
     # equal sets stand for one: the smallest id among them
     first = known.groupBy("digest").agg(F.min("id").alias("rep"))
-    reps = session.staged(known.join(first, "digest").select("id", "rep", "n").distinct(), "set-reps")
+    reps = session.staged(known.select("id", "n", "digest").join(first, "digest").select("id", "rep", "n").distinct(), "set-reps")
+    # the sketch of a set is the same in all its copies: that of the smallest key with that set
+    info = session.staged(known.join(first, "digest").filter(F.col("id") == F.col("rep"))
+                          .select("rep", "n", "digest", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)])
+                          .dropDuplicates(["rep", "digest"]).drop("digest"), "set-sketches")
 
     each = map_batches(rows.filter(F.col("id").isNotNull()), signed, "id long, sigs array<long>").select("id", F.explode("sigs").alias("sig"))
     shared = each.withColumn("other", F.min("id").over(Window.partitionBy("sig"))).withColumn(
@@ -199,52 +246,105 @@ def join(docs: DataFrame, key: str, text: str) -> DataFrame:
     several = reps.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter(F.col("a") != F.col("b"))
     sets = session.staged(sets, "sets")
     own_links = reps.join(several.select("id", "a"), "id").select("a", F.col("rep").alias("b")).filter(F.col("a") != F.col("b"))
-    labels = _linked(met, sets, own_links)
+    labels = _linked(met, info, sets, own_links)
     done = (reps.select("id", "rep").join(labels, F.col("rep") == F.col("node"), "left")
             .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component_id")))
     return sizes.select("id", "n").join(done, "id", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
-def _linked(met: DataFrame, sets: DataFrame, own_links: DataFrame) -> DataFrame:
-    """Components of the representatives, from the signatures they share."""
-    edges, labels, tested = own_links, None, None
-    for turn in range(ROUNDS + 1):
-        here = met.withColumn("component", F.col("rep")) if labels is None else (
-            met.join(labels, F.col("rep") == F.col("node"), "left").select(
-                "sig", "rep", "n", F.coalesce("component", "rep").alias("component")))
-        if labels is not None:
-            open_ = here.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(F.col("x") != F.col("y"))
-            here = here.join(open_.select("sig"), "sig", "left_semi")
-        right = here.select("sig", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b"))
-        if turn < ROUNDS:  # one set of each signature, another one in each round
-            order = F.xxhash64("b", F.lit(turn)) if turn else F.col("b")
-            right = (right.withColumn("order", order).withColumn("least", F.min("order").over(Window.partitionBy("sig")))
-                     .filter(F.col("order") == F.col("least")).drop("order", "least"))
-        fit = (F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM) & (F.col("component") != F.col("of_b"))
-        pairs = here.join(right, "sig").filter(fit & (F.col("rep") != F.col("b"))).select(
-            F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = session.staged(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn and turn < ROUNDS:
-                continue
-            if labels is not None:
-                return labels
-        found = session.staged(_verified(pairs, sets), "links")
-        edges = edges.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = session.staged(components(edges), "components")
-    return labels
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sets are alike enough."""
+def _linked(met: DataFrame, info: DataFrame, sets: DataFrame, own_links: DataFrame) -> DataFrame:
+    """Components of the representatives, from the signatures they share: `met` (sig, rep, n)."""
+    stars = session.staged(_stars(met), "stars")
+    first = session.staged(_pair(stars, "rep", "pivot").distinct(), "pairs")
+    edges = session.staged(own_links.unionByName(_verified(first, info, sets)), "links")
+    labels = session.staged(components(edges), "components")
+    # signatures whose sets are not all connected yet
+    here = _with_component(met, labels)
+    open_ = here.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).filter(
+        F.col("low") != F.col("high")).select("sig", "m")
+    here = session.staged(here.join(open_, "sig"), "open-signatures")
+    other = here.filter(F.col("m") <= SMALL).select("sig", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b"))
+    fit = (F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM) & (F.col("component") != F.col("of_b")) & (F.col("rep") < F.col("b"))
+    small = here.filter(F.col("m") <= SMALL).join(other, "sig").filter(fit)
+    large = _by_differences(here.filter(F.col("m") > SMALL), stars, info, sets)
+    more = _pair(small, "rep", "b").unionByName(_pair(large, "rep", "b")).distinct().join(first, ["a", "b"], "left_anti")
+    found = _verified(session.staged(more, "pairs"), info, sets)
+    return session.staged(components(edges.unionByName(found)), "components")
+
+
+def _pair(rows: DataFrame, x: str, y: str) -> DataFrame:
+    return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
+def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _stars(met: DataFrame) -> DataFrame:
+    """sig, rep, pivot: in every signature the set that meets most others is the pivot of the rest."""
+    sizes = met.groupBy("sig").agg(F.count(F.lit(1)).alias("m"))
+    degree = met.select("sig", "rep").join(sizes, "sig").groupBy("rep").agg(F.sum("m").alias("degree"))
+    best = Window.partitionBy("sig").orderBy(F.desc("degree"), "rep")
+    pivots = (met.select("sig", "rep").join(degree, "rep").withColumn("place", F.row_number().over(best)).filter(F.col("place") == 1)
+              .select("sig", F.col("rep").alias("pivot")))
+    return met.select("sig", "rep").join(pivots, "sig").filter(F.col("rep") != F.col("pivot")).groupBy("rep", "pivot").agg(
+        F.count(F.lit(1)).alias("times"))
+
+
+def _bits_apart() -> Column:
+    return sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))) for i in range(SKETCH)), F.lit(0))
+
+
+def _may_link() -> Column:
+    """FALSE where the sketches rule it out that two sets of n and n_b elements link."""
+    return _bits_apart() * (DEN + NUM) <= (F.col("n") + F.col("n_b")) * (DEN - NUM)
+
+
+def _other_side(info: DataFrame) -> DataFrame:
+    return info.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
+
+
+def _by_differences(rows: DataFrame, stars: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
+    """rep, b: pairs of different components in large signatures that share a difference key and whose sketches allow a link.
+
+    The sets of a signature need one pivot; so that a set differs from few, that is the pivot which most sets of the signature
+    share most signatures with.
+    """
+    mine = Window.partitionBy("rep").orderBy(F.desc("times"), "pivot")
+    home = stars.withColumn("place", F.row_number().over(mine)).filter(F.col("place") == 1).select("rep", F.col("pivot").alias("home"))
+    at_home = rows.join(home, "rep", "left").withColumn("home", F.coalesce("home", "rep"))
+    most = Window.partitionBy("sig").orderBy(F.desc("times"), "home")
+    pivots = (at_home.groupBy("sig", "home").agg(F.count(F.lit(1)).alias("times")).withColumn("place", F.row_number().over(most))
+              .filter(F.col("place") == 1).select("sig", F.col("home").alias("pivot")))
+    members = rows.join(pivots, "sig").select("rep", "n", "component", "pivot").distinct()
+
+    def run(batch: pa.RecordBatch) -> dict[str, object]:
+        x, c = ([np.array(v.as_py(), np.int64).view(np.uint64) for v in batch.column(i)] for i in (3, 4))
+        keys = [difference_keys(*args) for args in zip(x, c, batch.column(2).to_pylist(), strict=True)]
+        return {"rep": batch.column(0), "component": batch.column(1), "keys": _lists(keys)}
+
+    own, center = sets.toDF("rep", "grams"), sets.toDF("pivot", "grams_pivot")
+    both = members.join(own, "rep").join(center, "pivot").select("rep", "component", "pivot", "grams", "grams_pivot")
+    keyed = map_batches(both, run, "rep long, component long, keys array<long>").select("rep", "component", F.explode("keys").alias("key"))
+    per = Window.partitionBy("key")
+    shared = (keyed.withColumn("low", F.min("component").over(per)).withColumn("high", F.max("component").over(per))
+              .filter(F.col("low") != F.col("high")).select("key", "rep", "component").distinct())
+    shared = session.staged(shared, "difference-keys").join(info, "rep")
+    other = shared.select("key", F.col("rep").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"),
+                          *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
+    fit = (F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM) & (F.col("component") != F.col("of_b")) & (F.col("rep") < F.col("b"))
+    return shared.join(other, (shared["key"] == other["key"]) & fit & _may_link()).select("rep", "b")
+
+
+def _verified(pairs: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose sets are alike enough; the sketches say which need to be compared."""
+    near = (pairs.join(info.withColumnRenamed("rep", "a"), "a").join(_other_side(info), "b").filter(_may_link())
+            .select("a", "b").distinct())
     left, right = sets.toDF("a", "grams_a"), sets.toDF("b", "grams_b")
     both = F.size(F.array_intersect("grams_a", "grams_b"))
     alike = both * DEN >= (F.size("grams_a") + F.size("grams_b") - both) * NUM
-    return pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b").distinct()
+    return near.join(left, "a").join(right, "b").filter(alike).select("a", "b").distinct()
 
 
 def keep_one(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -98,6 +98,44 @@ def test_a_large_group_of_near_copies_stays_linear(spark):
     assert sorted((str(r.k), r.n_shingles, str(r.component_id)) for r in got) == _brute(rows)
 
 
+def _changed(rnd, base, share):
+    out = int(rnd.uniform(0, share) * len(base))
+    more = rnd.integers(0, 2**63, int(rnd.uniform(0, share) * len(base))).astype(np.uint64)
+    return np.unique(np.concatenate((rnd.permutation(base)[out:], more)))
+
+
+def test_difference_keys_and_sketches_lose_no_link():
+    rnd = np.random.default_rng(6)
+    linked = 0
+    for _ in range(3000):
+        pivot = np.unique(rnd.integers(0, 2**63, int(2 ** rnd.uniform(0, 9))).astype(np.uint64))
+        a = _changed(rnd, pivot, rnd.choice([0.05, 0.3, 1.0]))
+        b = _changed(rnd, a if rnd.random() < 0.7 else pivot, 0.1)
+        both = len(np.intersect1d(a, b))
+        apart = int(np.bitwise_count((jaccard.sketch(a) ^ jaccard.sketch(b)).view(np.uint64)).sum())
+        assert apart <= len(a) + len(b) - 2 * both
+        if len(a) and len(b) and 100 * both >= 85 * (len(a) + len(b) - both):
+            linked += 1
+            assert len(np.intersect1d(jaccard.difference_keys(a, pivot, -5), jaccard.difference_keys(b, pivot, -5)))
+            assert apart * 185 <= (len(a) + len(b)) * 15
+    assert linked > 1000
+
+
+@pytest.mark.parametrize("small", [1, 4, 32])
+def test_many_near_copies_that_mostly_do_not_link(spark, monkeypatch, small):
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for _ in range(rnd.choice([0, 1, 2, 4, 6, 9])):
+            words[rnd.randrange(90)] = f"x{rnd.randrange(60)}"
+        rows.append((i, " ".join(words)))
+    got = jaccard.join(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()
+    assert sorted((str(r.k), r.n_shingles, str(r.component_id)) for r in got) == _brute(rows)
+
+
 def test_repeated_keys_are_one_document(spark):
     a, b = "one two three four five six", "seven eight nine ten eleven twelve"
     rows = [(5, a), (5, b), (5, a), (7, a), (6, b), (9, "other words here now")]
