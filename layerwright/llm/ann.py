@@ -3,7 +3,8 @@
 Every curve projects the vectors to a few random directions, shifts them at random and orders them along a Hilbert curve.
 Points that are near each other are close in at least some of the orders. An order is range-partitioned and cut into
 blocks of `SPREAD` times the square root of the number of points; a query meets its own block and the two beside it
-on every curve, all by exact distance, and the best of all curves are merged. Blocks grow with the square root, so work grows
+on every curve, all by exact distance, and the best of all curves are merged. Places have 50 bits a direction over a range that
+holds every point, so vectors of a crowd stand in an order of their own however close they are or far out. Blocks grow with the square root, so work grows
 with the power 1.5 of the points and no block outgrows a task. Recall falls as points grow without any structure; more
 curves or a larger `SPREAD` raise it (figures in the README).
 
@@ -28,12 +29,14 @@ from layerwright import session
 CURVES = 24
 SPREAD = 4.0
 DIMENSIONS, BITS = 6, 10   # of the projection; together at most 62 bits
+LEVELS = 5                 # numbers of BITS bits a direction that make up a place
 LEAST_BLOCK = 64
+GATHERED = 500_000         # components of the vectors that a task places at a time
 MOST_LENGTHS = 32
 
 
-def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Place of each row of cell numbers (n x d, each below 2**bits) on the Hilbert curve (Skilling's transform)."""
+def _along(cells: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Skilling's transform of cell numbers: the bits of all directions, highest first, make up the place on the curve."""
     x = [c.astype(np.uint64) for c in cells.T]
     one, zero = np.uint64(1), np.uint64(0)
     for b in range(bits - 1, 0, -1):
@@ -49,22 +52,34 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     for b in range(bits - 1, 0, -1):
         bit = one << np.uint64(b)
         turn = np.where((x[-1] & bit) != 0, turn ^ (bit - one), turn)
+    return [c ^ turn for c in x]
+
+
+def _place(x: list[np.ndarray], high: int, low: int) -> np.ndarray:
+    """The bits below `high` and from `low` on of all directions, as one number."""
     place = np.zeros_like(x[0])
-    for b in range(bits - 1, -1, -1):
+    for b in range(high - 1, low - 1, -1):
         for c in x:
-            place = (place << one) | (((c ^ turn) >> np.uint64(b)) & one)
+            place = (place << np.uint64(1)) | ((c >> np.uint64(b)) & np.uint64(1))
     return place.astype(np.int64)
 
 
-def curve_keys(vectors: np.ndarray, mean: np.ndarray, scale: float, curve: int) -> np.ndarray:
-    """Place of each vector on one curve; the curve's number fixes its directions and its shift."""
-    size = vectors.shape[1]
+def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each row of cell numbers (n x d, each below 2**bits) on the Hilbert curve."""
+    return _place(_along(cells, bits), bits, 0)
+
+
+def curve_keys(vectors: np.ndarray, mean: np.ndarray, reach: float, curve: int) -> list[np.ndarray]:
+    """Place of each vector on one curve, as LEVELS numbers, coarse to fine; the curve's number fixes its directions and
+    its shift. No vector is further than `reach` from the mean, so none leaves the cells."""
+    size, bits = vectors.shape[1], BITS * LEVELS
     rng = np.random.default_rng([curve, size])
     wide = min(DIMENSIONS, size)
     directions = np.linalg.qr(rng.normal(size=(size, wide)))[0]
     shift = rng.uniform(0.25, 0.75, wide)
-    cells = ((vectors - mean) @ directions / (4 * scale) + shift) * (1 << BITS)
-    return hilbert(np.clip(cells, 0, (1 << BITS) - 1).astype(np.int64), BITS)
+    cells = (((vectors - mean) / (4 * reach)) @ directions + shift) * float(1 << bits)
+    along = _along(np.clip(cells, 0, (1 << bits) - 1).astype(np.int64), bits)  # the clip is for rounding
+    return [_place(along, high, high - BITS) for high in range(bits, 0, -BITS)]
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -74,6 +89,18 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and vectors of several small batches at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), _matrix(batch.column(1), size)))
+        if sum(v.size for _, v in held) >= GATHERED:
+            yield np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held])
+            held = []
+    if held:
+        yield np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held])
+
+
 def search(vectors: DataFrame, key: str, vector: str, asked: Column, k: int = 10, curves: int = CURVES,
            spread: float = SPREAD) -> DataFrame:
     """`query_id`, `rank`, `vec_id` and `score` (Euclidean distance) of the `k` nearest found for each row where `asked`
@@ -119,16 +146,16 @@ def _copies(named: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 def _nearest(points: DataFrame, asked: DataFrame, size: int, k: int, curves: int, spread: float) -> DataFrame:
     """`size`, `point`, `found` and `score`: the k nearest other points found for each asked point."""
-    count, mean, scale = _moments(points, size)
+    count, mean, reach = _moments(points, size)
+    levels = [f"place{i}" for i in range(LEVELS)]
     block = max(LEAST_BLOCK, int(np.ceil(spread * np.sqrt(count))))
     last = max(0, (count - 1) // block)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = _matrix(batch.column(1), size)
+        for ids, own in _gathered(batches, size):
             for curve in range(curves):
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(own), curve, np.int32)),
-                                                  pa.array(curve_keys(own, mean, scale, curve))], names=["point", "curve", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(own), curve, np.int32)),
+                                                  *map(pa.array, curve_keys(own, mean, reach, curve))], names=["point", "curve", *levels])
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, at = TaskContext.get().partitionId(), 0
@@ -138,9 +165,11 @@ def _nearest(points: DataFrame, asked: DataFrame, size: int, k: int, curves: int
                                              names=["point", "curve", "task", "at"])
             at += n
 
-    ordered = session.staged(points.select("point", "v").mapInArrow(places, "point long, curve int, place long")
-                             .repartitionByRange("curve", "place", "point").sortWithinPartitions("curve", "place", "point")
-                             .select("point", "curve").mapInArrow(numbered, "point long, curve int, task int, at long"), "ann-order")
+    # what even the finest cells do not tell apart stands in another order on each curve
+    order = ["curve", *levels, F.xxhash64("point", "curve"), "point"]
+    ordered = session.staged(points.select("point", "v")
+                             .mapInArrow(places, "point long, curve int, " + ", ".join(f"{c} long" for c in levels))
+                             .repartitionByRange(*order).sortWithinPartitions(*order).select("point", "curve").mapInArrow(numbered, "point long, curve int, task int, at long"), "ann-order")
     # one row for each task of the sort
     ends = sorted((r.task, r.n) for r in ordered.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect())
     starts, total = [], 0
@@ -190,18 +219,19 @@ def _least(away: np.ndarray, k: int) -> np.ndarray:
 
 
 def _moments(points: DataFrame, size: int) -> tuple[int, np.ndarray, float]:
-    """Number of points, mean vector, and the mean deviation of a component from it."""
+    """Number of points, mean vector, and a distance from it that no point exceeds."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, first, second = 0, np.zeros(size), np.zeros(size)
+        n, first, most = 0, np.zeros(size), 0.0
         for batch in batches:
             own = _matrix(batch.column(0), size)
-            n, first, second = n + len(own), first + own.sum(axis=0), second + (own ** 2).sum(axis=0)
+            if len(own):
+                n, first, most = n + len(own), first + own.sum(axis=0), max(most, float(np.abs(own).max()))
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([first]), pa.array([second])], names=["n", "first", "second"])
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([first]), pa.array([most])], names=["n", "first", "most"])
 
-    parts = points.select("v").mapInArrow(sums, "n long, first array<double>, second array<double>")
-    n, first, second = 0, np.zeros(size), np.zeros(size)
+    parts = points.select("v").mapInArrow(sums, "n long, first array<double>, most double")
+    n, first, most = 0, np.zeros(size), 0.0
     for row in parts.toLocalIterator():  # one row for each task
-        n, first, second = n + row.n, first + np.array(row.first), second + np.array(row.second)
+        n, first, most = n + row.n, first + np.array(row.first), max(most, row.most)
     mean = first / n
-    return n, mean, max(float(np.sqrt(max(0.0, (second / n - mean ** 2).mean()))), 1e-300)
+    return n, mean, max(float(np.sqrt(size) * (most + np.abs(mean).max())), 1e-300)
