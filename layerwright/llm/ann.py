@@ -2,11 +2,15 @@
 
 Every curve projects the vectors to a few random directions, shifts them at random and orders them along a Hilbert curve.
 Points that are near each other are close in at least some of the orders. An order is range-partitioned and cut into
-blocks of `SPREAD` times the square root of the number of points; a query meets its own block and the two beside it
-on every curve, all by exact distance, and the best of all curves are merged. Places have 50 bits a direction over a range that
-holds every point, so vectors of a crowd stand in an order of their own however close they are or far out. Blocks grow with the square root, so work grows
-with the power 1.5 of the points and no block outgrows a task. Recall falls as points grow without any structure; more
-curves or a larger `SPREAD` raise it (figures in the README).
+blocks of `SPREAD` times the square root of the number of points; a query meets its own block and those beside it
+on every curve, all by exact distance, and the best of all curves are merged. No block outgrows a task. Places have 50 bits a
+direction over a range that holds every point, so vectors of a crowd stand in an order of their own however close they are
+or far out.
+
+How many blocks on either side a query meets is measured: the true neighbours of up to `SAMPLE` queries are found by brute
+force, and the window is the smallest, one block at least, that holds `RECALL` of them. Points with structure need the least
+window, and work that grows with the power 1.5 of the points; points without any need a wider one as they grow, up to the
+whole table.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do null keys. Equal vectors are
 one point on the curves, with the smallest keys of its copies; a query's own key is never among its results. If a key
@@ -31,6 +35,7 @@ SPREAD = 4.0
 DIMENSIONS, BITS = 6, 10   # of the projection; together at most 62 bits
 LEVELS = 5                 # numbers of BITS bits a direction that make up a place
 LEAST_BLOCK = 64
+SAMPLE, RECALL = 200, 0.95  # asked points whose neighbours are found by brute force, and the share a window must hold of them
 GATHERED = 500_000         # components of the vectors that a task places at a time
 MOST_LENGTHS = 32
 
@@ -182,10 +187,12 @@ def _nearest(points: DataFrame, asked: DataFrame, size: int, k: int, curves: int
     # a point has one place on each curve
     along = blocked.groupBy("point").agg(F.collect_list("place").alias("places"))
     placed = points.select("point", "v").join(along, "point").join(asked.withColumn("asks", F.lit(True)), "point", "left")
+    window = _window(points, asked, blocked, size, k)
     own = placed.select("point", "v", F.lit(False).alias("asks"), F.explode("places").alias("p"))
     asks = (placed.filter("asks").select("point", "v", F.lit(True).alias("asks"), F.explode("places").alias("p"))
             .select("point", "v", "asks", F.explode(F.transform(
-                F.sequence(F.greatest(F.lit(0).cast("long"), F.col("p.block") - 1), F.least(F.lit(last).cast("long"), F.col("p.block") + 1)),
+                F.sequence(F.greatest(F.lit(0).cast("long"), F.col("p.block") - window),
+                           F.least(F.lit(last).cast("long"), F.col("p.block") + window)),
                 lambda b: F.struct(F.col("p.curve").alias("curve"), b.alias("block")))).alias("p")))
 
     def compared(table: pa.Table) -> pa.Table:
@@ -213,6 +220,45 @@ def _nearest(points: DataFrame, asked: DataFrame, size: int, k: int, curves: int
             .filter(F.col("nr") <= k).select(F.lit(size).alias("size"), "point", "found", "score"))
 
 
+def _window(points: DataFrame, asked: DataFrame, blocked: DataFrame, size: int, k: int) -> int:
+    """Blocks on either side that a query meets: the fewest with which `RECALL` of the true neighbours of a sample of queries
+    are in reach on some curve. The sample is bounded, and compared with every point."""
+    chosen = asked.orderBy(F.xxhash64("point", F.lit(1)), "point").limit(SAMPLE)
+    sample = points.select("point", "v").join(F.broadcast(chosen), "point").toArrow()
+    if not sample.num_rows:
+        return 1
+    names, vectors = sample.column("point").to_numpy(), _matrix(sample.column("v"), size)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, scores = np.zeros((len(names), 0), np.int64), np.zeros((len(names), 0))
+        for batch in batches:
+            ids, there = batch.column(0).to_numpy(), _matrix(batch.column(1), size)
+            away = np.stack([np.sqrt(((there - v) ** 2).sum(axis=1)) for v in vectors])
+            away[names[:, None] == ids] = np.inf
+            scores, found = np.concatenate((scores, away), axis=1), np.concatenate((found, np.broadcast_to(ids, away.shape)), axis=1)
+            best = np.argsort(scores, axis=1)[:, :k]
+            scores, found = np.take_along_axis(scores, best, 1), np.take_along_axis(found, best, 1)
+        flat = scores.reshape(-1)
+        there = np.isfinite(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(x[there]) for x in (np.repeat(names, scores.shape[1]), found.reshape(-1), flat)],
+                                         names=["point", "found", "score"])
+
+    order = Window.partitionBy("point").orderBy("score", "found")
+    true = (points.select("point", "v").mapInArrow(nearest, "point long, found long, score double")
+            .withColumn("nr", F.row_number().over(order)).filter(F.col("nr") <= k).select("point", "found").toArrow())
+    if not true.num_rows:
+        return 1
+    pairs = np.stack([true.column(i).to_numpy() for i in range(2)])
+    members, at = np.unique(pairs, return_inverse=True)
+    wanted = points.sparkSession.createDataFrame(pa.table({"point": members}))
+    seen = blocked.join(F.broadcast(wanted), "point").select("point", "place.curve", "place.block").toArrow()
+    blocks = np.zeros((len(members), seen.column("curve").to_numpy().max() + 1), np.int64)
+    blocks[np.searchsorted(members, seen.column("point").to_numpy()), seen.column("curve").to_numpy()] = seen.column("block").to_numpy()
+    query, found = at.reshape(2, -1)
+    apart = np.abs(blocks[query] - blocks[found]).min(axis=1)
+    return max(1, int(np.quantile(apart, RECALL, method="inverted_cdf")))
+
+
 def _least(away: np.ndarray, k: int) -> np.ndarray:
     """Indices of the k smallest and of all that tie with the k-th."""
     return np.flatnonzero(away <= np.partition(away, k - 1)[k - 1])

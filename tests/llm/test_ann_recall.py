@@ -44,3 +44,23 @@ def test_neighbours_within_a_crowd(spark):
     recall = _recall(spark, x, range(0, 3000, 60), curves=8, spread=1.0)
     print("crowd recall", recall)
     assert recall >= 0.9
+
+
+def test_recall_is_held_without_structure(spark):
+    x = np.random.default_rng(5).normal(size=(6000, 16))
+    recall = _recall(spark, x, range(0, 6000, 40), curves=4, spread=0.5)
+    print("unstructured recall", recall)
+    assert recall >= 0.9
+
+
+def test_recall_where_little_is_compared(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.sin(rng.uniform(0, 2, size=(24_000, 3)) @ rng.normal(size=(3, 24)))
+    windows, measured = [], ann._window
+    monkeypatch.setattr(ann, "_window", lambda *a: windows.append(measured(*a)) or windows[-1])
+    curves, spread = 6, 0.5
+    recall = _recall(spark, x, range(0, len(x), 120), curves=curves, spread=spread)
+    block = int(np.ceil(spread * np.sqrt(len(x))))
+    share = curves * (2 * windows[0] + 1) * block / len(x)  # counts what several curves share more than once
+    print("recall", recall, "window", windows, "at most compared", share)
+    assert recall >= 0.9 and share < 0.2
