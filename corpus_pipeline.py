@@ -33,7 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data, and terms that give it away, in the texts; n_chars follows the text."""
-    out = pii.sanitise(docs, "doc_id", "text")
+    out = pii.sanitise(docs, "doc_id", "text", everywhere=True)
     if "n_chars" not in docs.columns:
         return out
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))

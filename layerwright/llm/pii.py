@@ -8,8 +8,10 @@ information content of the entity, the share of it that the term gives away: 1 i
 to their kind, those beyond a higher one are removed. Both need `SUPPORT` rows that hold term and entity together, as
 fewer say nothing about the corpus.
 
-A term is a run of at least `TERM_LETTERS` letters, as written, among the `WINDOW` terms on either side of an entity; only
-such occurrences become spans. Base spans are never changed by the method.
+A term is a run of at least `TERM_LETTERS` letters, as written. The `WINDOW` terms on either side of an entity stand near it;
+disclosure is estimated from these. With `everywhere`, a term that gives away too much is a span wherever it stands in any text,
+also in rows without an entity, with its largest disclosure; without, only where it stands near the entity. Base
+spans are never changed by the method.
 
 Cases: a null text is empty and has no spans. Equal rows have equal spans; rows that share a key but not the text are kept
 apart. Rows are counted as they come, repeated ones too. Further columns of the input are ignored by `find`
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 import regex
@@ -90,15 +93,20 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     return [(KINDS[k], s, e) for s, k, e in sorted(out)]
 
 
-def contexts(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the terms near each span that do not touch a span."""
-    out: list[tuple[str, str, int, int]] = []
-    ordered = sorted((s, e) for _, s, e in found)
+def _free(found: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Tells whether a stretch of the text touches none of the spans."""
+    ordered = sorted(found)
     starts, reach, furthest = [s for s, _ in ordered], [], 0
     for _, e in ordered:
         furthest = max(furthest, e)
         reach.append(furthest)
-    free = lambda s, e: not (i := bisect.bisect_left(starts, e)) or reach[i - 1] <= s
+    return lambda s, e: not (i := bisect.bisect_left(starts, e)) or reach[i - 1] <= s
+
+
+def contexts(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(entity, term, start, end) for the terms near each span that do not touch a span."""
+    out: list[tuple[str, str, int, int]] = []
+    free = _free([(s, e) for _, s, e in found])
     for kind, start, end in found:
         low, high = max(0, start - REACH), min(len(text), end + REACH)
         before = [m.span() for m in _TERM.finditer(text, low, start)]
@@ -113,6 +121,7 @@ def contexts(text: str, found: list[tuple[str, int, int]]) -> list[tuple[str, st
 
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 _NEAR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+_TERMS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("disclosure", pa.float64())]))
 _SPAN_SQL = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
@@ -120,10 +129,12 @@ def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.text_key") == F.col(f"{b}.text_key"))
 
 
-def find(docs: DataFrame, key: str, text: str, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+def find(docs: DataFrame, key: str, text: str, support: int = SUPPORT, generalise: float = GENERALISE,
+         everywhere: bool = False) -> DataFrame:
     """Every row's key, `text_key`, `base` spans and `terms`: spans of the method with the `disclosure` of each.
 
-    The texts are read twice, for the patterns and for the counts of terms; they are never shuffled.
+    The texts are read twice, for the patterns and for the counts of terms, and are not shuffled. `everywhere` reads them
+    twice more, to look for the terms and to mark them, and may shuffle them once for that.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -148,22 +159,50 @@ def find(docs: DataFrame, key: str, text: str, support: int = SUPPORT, generalis
     entities = (scanned.filter(F.size("near") > 0)
                 .select(F.explode(F.array_distinct(F.transform("near", lambda n: F.xxhash64(n["entity"])))).alias("entity"))
                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
-    words = (rows.select(F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0)), lambda w: F.xxhash64(w)))).alias("term"))
+    held = F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0)), lambda w: F.xxhash64(w)))).alias("term")
+    words = (rows.select(held)
         .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
     asked = pairs.join(entities, "entity").join(words, "term").withColumn("n_all", F.lit(float(scanned.count())))
     told = asked.filter(F.col("n_all") > F.col("n_entity")).withColumn(
         "disclosure", F.log(F.col("n_both") * F.col("n_all") / F.col("n_entity") / F.col("n_term"))
         / F.log(F.col("n_all") / F.col("n_entity")))
     risky = told.filter(F.col("disclosure") >= generalise).select("entity", "term", "disclosure")
-    hits = (near.join(risky, ["entity", "term"]).groupBy("id", "text_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-            .groupBy("id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")))
+    if everywhere:
+        hits = _occurrences(rows, scanned, risky, held, kind)
+    else:
+        hits = (near.join(risky, ["entity", "term"]).groupBy("id", "text_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+                .groupBy("id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms")))
     return (scanned.select("id", "text_key", "base").alias("s").join(hits.alias("h"), _same("s", "h"), "left")
             .select("s.id", "s.text_key", "s.base", F.coalesce(F.col("h.terms"), F.expr(
                 "cast(array() as array<struct<start:bigint,end:bigint,disclosure:double>>)")).alias("terms"))
             .withColumnRenamed("id", key))
 
 
+def _occurrences(rows: DataFrame, scanned: DataFrame, risky: DataFrame, held: Column, kind: str) -> DataFrame:
+    """`id`, `text_key` and `terms` of the rows that hold a risky term: all places of such terms that touch no base span."""
+    named = scanned.filter(F.size("near") > 0).select(F.explode("near").alias("n")).select(
+        F.xxhash64("n.term").alias("term"), F.col("n.term").alias("word"))
+    worst = risky.groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    # one row for each term, written so that its size is known before the join
+    listed_ = session.staged(worst.join(named.groupBy("term").agg(F.min("word").alias("word")), "term"), "pii-terms")
+    holding = (rows.select("id", "text_key", held).join(listed_, "term").groupBy("id", "text_key")
+               .agg(F.collect_set(F.struct("word", "disclosure")).alias("found")))
+    # equal rows have equal spans: one of them is enough
+    texts = (rows.alias("r").join(holding.alias("h"), _same("r", "h")).select("r.id", "r.text_key", "r.text", "h.found")
+             .dropDuplicates(["id", "text_key"]))
+
+    def mark(batch: pa.RecordBatch) -> dict[str, object]:
+        out = []
+        for value, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            told = {f["word"]: f["disclosure"] for f in found}
+            free = _free([(s, e) for _, s, e in spans(value)])
+            out.append([{"start": m.start(), "end": m.end(), "disclosure": told[m[0]]} for m in _TERM.finditer(value)
+                        if m[0] in told and free(*m.span())])
+        return {"id": batch.column(0), "text_key": batch.column(1), "terms": pa.array(out, _TERMS)}
+
+    return map_batches(texts, mark, f"id {kind}, text_key long, terms array<struct<start:bigint,end:bigint,disclosure:double>>")
+
+
 def listed(base: Column, terms: Column) -> Column:
     """kind:start:end of all spans by start, then kind (those of the method last), joined by commas."""
     order = {k: i for i, k in enumerate((*KINDS, TERM))}
@@ -190,13 +229,14 @@ def cleaned(text: str, base: list, terms: list, remove: float = REMOVE) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, key: str, text: str, remove: float = REMOVE, **limits: float) -> DataFrame:
-    """`docs` with `text` sanitised and all other columns as they are. Rows without spans do not move."""
-    found = find(docs, key, text, **limits).filter(F.size("base") > 0).select(F.col(key).alias("id"), "text_key", "base", "terms").distinct()
+def sanitise(docs: DataFrame, key: str, text: str, remove: float = REMOVE, everywhere: bool = False, **limits: float) -> DataFrame:
+    """`docs` with `text` sanitised and all other columns as they are. Rows without any text that could be a span do not move."""
+    found = find(docs, key, text, everywhere=everywhere, **limits).filter((F.size("base") > 0) | (F.size("terms") > 0)).select(F.col(key).alias("id"), "text_key", "base", "terms").distinct()
     at, columns = docs.columns.index(text), [f"c{i}" for i in range(len(docs.columns))]
     own = docs.toDF(*columns)
     body, id_ = f"c{at}", f"c{docs.columns.index(key)}"
-    may = F.coalesce(F.col(body).rlike("[0-9@]"), F.lit(False))  # every base kind holds one of these
+    # every base kind holds one of these characters, every term a run of letters
+    may = F.coalesce(F.col(body).rlike(f"[0-9@]|{_WORDS}" if everywhere else "[0-9@]"), F.lit(False))
     wide = own.filter(may).withColumn("text_key", F.xxhash64(F.col(body).cast("string")))
     joined = wide.alias("w").join(found.alias("f"), F.col(f"w.{id_}").eqNullSafe(F.col("f.id"))
                                   & (F.col("w.text_key") == F.col("f.text_key")), "left").select(*columns, "f.base", "f.terms")

@@ -18,7 +18,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 def op1_information_theoretic_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that give it away, in every document."""
-    found = pii.find(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = pii.find(table(spark, sf_dir, "documents"), "doc_id", "text", everywhere=True)
     of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,disclosure:double>>)")
     return found.select("doc_id", *[of(k) for k in pii.KINDS], F.sha2(pii.listed(F.col("base"), none), 256).alias("base_sha256"),
