@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright import session
-from layerwright.llm import ann, bpe, decontam, jaccard, langid, lmscore, packing, pii, quality, warc
+from layerwright.llm import ann, bpe, decontam, jaccard, langid, packing, pii, quality, warc, wordlm
 from layerwright.llm.common import held_out, learnable, table
 from layerwright.llm.sql import SQLS
 
@@ -39,8 +39,7 @@ def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = (table(spark, sf_dir, "labels").filter((F.col("quality") == 1) & learnable(F.col("doc_id")))
             .select("doc_id").distinct().withColumn("good", F.lit(True)))
     # one plan for labels of any number: texts and labels meet by a sort, whatever their sizes
-    counts = lmscore.count(docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left"), "text", F.col("good"))
-    return lmscore.score(docs, lmscore.differences(counts), "doc_id", "text")
+    return wordlm.score(docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left"), "doc_id", "text", F.col("good"))
 
 
 def op4_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
