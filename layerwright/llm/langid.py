@@ -143,11 +143,13 @@ def detect(docs: DataFrame, learned: Profiles, key: str, text: str) -> DataFrame
 
 
 def keep_known(docs: DataFrame, learned: Profiles, text: str) -> DataFrame:
-    """The rows of `docs` that `detect` does not call `und`, with all their columns."""
+    """The rows of `docs` that `detect` does not call `und`, with all their columns. Where nothing could be learned, every text
+    with a letter stays."""
     at = docs.columns.index(text)
+    known = (lambda t: learned.compare(t)[0] != UNKNOWN) if learned.names else lambda t: len(grams(t)) > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([learned.compare(t)[0] != UNKNOWN for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([known(t) for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
