@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright import session
-from layerwright.llm import ann, bpe, decontam, jaccard, langid, packing, pii, quality, warc, wordlm
+from layerwright.llm import ann, bpe, decontam, jaccard, langid, packing, pii, quality, repair, warc, whiten, wordlm
 from layerwright.llm.common import held_out, learnable, table
 from layerwright.llm.sql import SQLS
 
@@ -94,11 +94,22 @@ def op10_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index, folder).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector in the eight strongest components of all, scaled to unit variance."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whiten.whiten(vectors, whiten.fit(vectors, "embedding"), "vec_id", "embedding")
+
+
+def op13_survivor_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired at least cost."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_information_theoretic_pii, op2_compression_quality, op3_cross_entropy_difference, op4_suffix_automaton_decontamination,
         op5_hilbert_neighbours, op6_partenum_jaccard, op7_best_fit_packing, op8_rank_order_profiles, op9_chunked_bpe,
-        op10_warc_index_first)}
+        op10_warc_index_first, op11_incremental_whitening, op13_survivor_viterbi_repair)}
 
 
 def sqls() -> dict[str, str]:
