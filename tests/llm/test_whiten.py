@@ -30,8 +30,8 @@ def test_roots_lie_between_poles():
     squares = rng.random(26) ** 6 + 1e-12
     away, roots = whiten.secular(poles, squares / squares.sum(), 2.5)
     assert (np.diag(away) < 0).all() and (np.diag(away, -1) > 0).all() and (roots[:-1] <= poles[1:]).all()
-    value = 1 + 2.5 * ((squares / squares.sum())[:, None] / away)
-    assert (np.abs(value.sum(axis=0)) <= 1e-9 * np.abs(value).sum(axis=0)).all()
+    share = 2.5 * ((squares / squares.sum())[:, None] / away)
+    assert (np.abs(1 + share.sum(axis=0)) <= 1e-9 * np.abs(share).sum(axis=0)).all()
 
 
 def _reference(vectors):
