@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright import session
-from layerwright.llm import ann, bpe, decontam, jaccard, langid, packing, pii, quality, repair, warc, whiten, wordlm
+from layerwright.llm import ann, bpe, decontam, jaccard, langid, mainhtml, packing, pii, quality, repair, warc, whiten, wordlm
 from layerwright.llm.common import held_out, learnable, table
 from layerwright.llm.sql import SQLS
 
@@ -100,6 +100,12 @@ def op11_incremental_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(vectors, whiten.fit(vectors, "embedding"), "vec_id", "embedding")
 
 
+def op12_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = mainhtml.extract(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op13_survivor_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged and repaired at least cost."""
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
@@ -109,7 +115,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_information_theoretic_pii, op2_compression_quality, op3_cross_entropy_difference, op4_suffix_automaton_decontamination,
         op5_hilbert_neighbours, op6_partenum_jaccard, op7_best_fit_packing, op8_rank_order_profiles, op9_chunked_bpe,
-        op10_warc_index_first, op11_incremental_whitening, op13_survivor_viterbi_repair)}
+        op10_warc_index_first, op11_incremental_whitening, op12_host_suffix_array,
+        op13_survivor_viterbi_repair)}
 
 
 def sqls() -> dict[str, str]:
