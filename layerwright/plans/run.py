@@ -29,9 +29,7 @@ def run(spark: SparkSession, paths: list[str], source: str, root: str, run_id: s
         templates: DataFrame, checks: list[tuple] | None = None, as_of: str = "timestamp_ntz '2100-01-01 00:00:00'",
         pending: DataFrame | None = None) -> RunResult:
     """Land the files, rebuild silver, run the gate and publish gold under `root`."""
-    alerts: list[str] = []
-    for path in paths:
-        alerts += landing.land(spark, path, source, root, run_id).alerts
+    alerts = [a for f in landing.land_files(spark, paths, source, root, run_id) for a in f.alerts]
     raw = landing.flat_view(spark.read.schema(landing.BRONZE).parquet(f"{root}/bronze"), silver.SOURCE_COLUMNS)
     built = silver.build(raw, labels, templates, run_id)
     before = _rates_of_last_good_run(spark, root, run_id)

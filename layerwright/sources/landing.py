@@ -1,29 +1,27 @@
-"""Landing: files as they are, with content hash, lineage, row hash, manifest and schema drift."""
+"""Landing: files as they are, with content hash, lineage, row hash, manifest and schema drift.
+
+All files of a batch land together, in the same few jobs whatever their number: one pass surveys them (headers, row numbers,
+content keys), the manifest is looked at once, one write adds their rows, each file to a partition of its own, and one entry for
+each file ends the batch. A table of the 128-bit hashes that each batch brought tells which rows landed before, so that older
+rows are not read. A batch that broke off is repeated under the same numbers and replaces what it left.
+"""
 
 from __future__ import annotations
 
-import csv
-import io
-import json
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from layerwright import session
+from layerwright.sources import delimited
 
-_CSV = {"multiLine": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False,
-        "ignoreTrailingWhiteSpace": False, "encoding": "UTF-8"}
-_BAD = "_malformed"
 EXTRA = "_extra_fields"
-# bronze_id is landing_seq * SEQ_STEP + row_no: a task numbers at most 2^33 records, so files cannot meet
+# bronze_id is landing_seq * SEQ_STEP + row_no, so files cannot meet
 SEQ_STEP, MOST_FILES = 2**40, 2**23
 MANIFEST = ("source string, file_sha256 string, path string, header array<string>, header_fingerprint string, "
             "row_count bigint, drift_added array<string>, drift_removed array<string>, run_id string, "
             "landing_seq bigint, ingested_at timestamp")
+_HASHES = "h binary, landing_seq bigint, rows bigint, part_source string, batch bigint"
 
 
 @dataclass
@@ -37,62 +35,20 @@ class Landed:
     alerts: list[str] = field(default_factory=list)
 
 
-def content_key(rows: DataFrame, header: list[str]) -> str:
-    """One key for files of any size: header, number of rows, and sums over all rows of hashes of place and content."""
-    digest = F.sha2(F.concat_ws(":", "row_no", row_hash(F.col("payload"))), 256)
-    parts = [F.conv(F.substring(digest, i, 15), 16, 10).cast("decimal(38,0)") for i in (1, 16, 31, 46)]
-    sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(p).alias(f"s{i}") for i, p in enumerate(parts)])
-    whole = F.concat_ws(":", header_fingerprint(header), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sums.columns])
-    return sums.select(F.sha2(whole, 256)).first()[0]
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    return next(iter(delimited.survey(spark, [path]).values())).header
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.options(**_CSV).csv(path, header=False).limit(1).collect()
-    names = [("" if v is None else v) for v in first[0]] if first else []
-    return [n.lstrip("﻿") if i == 0 else n for i, n in enumerate(names)]
+def read_rows(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """row_no, payload MAP: every value as text, nothing trimmed, empty text kept apart from missing."""
+    rows = delimited.records(spark, delimited.survey(spark, [path]))
+    return rows.select("row_no", delimited.payload(F.array(*[F.lit(h) for h in header]), F.col("fields"), F.col("surplus"), EXTRA).alias("payload"))
 
 
 def header_fingerprint(header: list[str]) -> Column:
     return F.substring(F.sha2(F.to_json(F.array(*[F.lit(h) for h in header])), 256), 1, 16)
 
 
-def _resplit(header: list[str]):
-    """Rows that are too short or too long: missing fields become NULL, surplus ones a JSON list."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for i, line in zip(pdf["row_id"], pdf[_BAD], strict=True):
-                fields = next(csv.reader(io.StringIO(line, newline="")), [])
-                row = dict(zip(header, fields, strict=False))
-                row = {h: row.get(h) for h in header}
-                extra = json.dumps(fields[len(header):]) if len(fields) > len(header) else None
-                out.append((i, *row.values(), extra))
-            yield pd.DataFrame(out, columns=["row_id", *header, EXTRA])
-    return run
-
-
-def read_rows(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
-    """row_no, payload MAP: every value as text, nothing trimmed, empty text kept apart from missing."""
-    schema = StructType([StructField(h, StringType()) for h in header] + [StructField(_BAD, StringType())])
-    rows = (spark.read.options(**_CSV, columnNameOfCorruptRecord=_BAD, enforceSchema=True)
-            .csv(path, header=True, schema=schema)
-            .withColumn("row_id", F.monotonically_increasing_id()))
-    good = rows.filter(F.col(_BAD).isNull()).select(
-        "row_id", *[F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(h) for h in header], F.lit(None).cast("string").alias(EXTRA))
-    out = StructType([StructField("row_id", rows.schema["row_id"].dataType)]
-                     + [StructField(h, StringType()) for h in [*header, EXTRA]])
-    # the reader refuses to give the raw record alone, hence the parsed columns beside it
-    bad = rows.filter(F.col(_BAD).isNotNull()).select("row_id", _BAD, *[F.col(f"`{h}`") for h in header]).mapInPandas(_resplit(header), out)
-    names = F.array(*[F.lit(h) for h in header])
-    values = F.array(*[F.col(f"`{h}`") for h in header])
-    payload = F.map_from_arrays(names, values)
-    extra = F.when(F.col(EXTRA).isNotNull(), F.create_map(F.lit(EXTRA), F.col(EXTRA)))
-    whole = F.when(F.col(EXTRA).isNull(), payload).otherwise(F.map_concat(payload, extra))
-    # one multi-line file is read by one task in file order: the low 33 bits of the id count its records
-    row_no = F.col("row_id").bitwiseAND(F.lit(2**33 - 1)) + 1
-    return good.unionByName(bad).select(row_no.alias("row_no"), whole.alias("payload"))
-
-
 def row_hash(payload: Column) -> Column:
     """sha256 over the key-sorted entries; NULL and empty text stay different."""
     return F.sha2(F.to_json(F.array_sort(F.map_entries(payload))), 256)
@@ -112,55 +68,88 @@ BRONZE = ("bronze_id bigint, source string, source_file string, file_sha256 stri
 
 
 def land(spark: SparkSession, path: str, source: str, root: str, run_id: str) -> Landed:
-    """Append one file to `root`/bronze unless its content is already there; keep the manifest.
-
-    The rows are written before the manifest entry, to a partition of their own that a repeat replaces.
-    """
-    bronze_path, manifest_path = f"{root}/bronze", f"{root}/manifest"
-    header = read_header(spark, path)
-    rows = session.staged(read_rows(spark, path, header), "landing")  # parsed once: for the key and for the table
-    sha = content_key(rows, header)
-    manifest = _table(spark, manifest_path, MANIFEST).filter(F.col("source") == source)
-    known = manifest.filter(F.col("file_sha256") == sha).select("row_count").first()
-    if known:
-        return Landed(known["row_count"], 0, sha, skipped=True)
-    last = manifest.agg(F.max_by(F.struct("header", "landing_seq"), "landing_seq").alias("l"), F.max("landing_seq").alias("seq")).first()
-    seq = (last["seq"] or 0) + 1
+    """Append one file to `root`/bronze unless its content is already there; keep the manifest."""
+    return land_files(spark, [path], source, root, run_id)[0]
+
+
+def land_files(spark: SparkSession, paths: list[str], source: str, root: str, run_id: str) -> list[Landed]:
+    """Append files to `root`/bronze in the order given, but for content that has landed from this source before, or earlier
+    in the list. What is said of a file is as if they had landed one after the other. At most MOST_FILES files of a source."""
+    bronze_path, manifest_path, hashes_path = (f"{root}/{name}" for name in ("bronze", "manifest", "hashes"))
+    surveyed = delimited.survey(spark, paths)
+    files = [surveyed[delimited.plain(p)] for p in paths]
+    known, header, seq = _landed(_table(spark, manifest_path, MANIFEST).filter(F.col("source") == source), [f.key for f in files])
+    batch, out, new = seq + 1, [], []
+    for path, f in zip(paths, files, strict=True):
+        if f.key in known:
+            out.append(Landed(known[f.key], 0, f.key, skipped=True))
+            continue
+        drift = None
+        if header is not None and header != f.header:
+            drift = {"added": [c for c in f.header if c not in header], "removed": [c for c in header if c not in f.header]}
+        name, header, seq, known[f.key] = path.rsplit("/", 1)[-1], f.header, seq + 1, f.rows
+        alerts = [f"{name}: columns new {drift['added']}, gone {drift['removed']}"] if drift else []
+        out.append(Landed(f.rows, f.rows, f.key, drift=drift, alerts=alerts))
+        new.append((f, name, seq, out[-1]))
     if seq >= MOST_FILES:
         raise ValueError(f"{MOST_FILES} files of {source} have landed: begin a new source")
-    drift = None
-    if last["l"] is not None and last["l"]["header"] != header:
-        before = last["l"]["header"]
-        drift = {"added": [c for c in header if c not in before], "removed": [c for c in before if c not in header]}
+    if not new:
+        return out
+    # one row for each file of the batch
+    about = spark.createDataFrame([(delimited.plain(f.path), name, f.key, f.header, number) for f, name, number, _ in new],
+                                  "path string, source_file string, file_sha256 string, header array<string>, landing_seq bigint")
+    rows = delimited.records(spark, {delimited.plain(f.path): f for f, *_ in new}).join(F.broadcast(about), "path")
+    rows = rows.withColumn("payload", delimited.payload(F.col("header"), F.col("fields"), F.col("surplus"), EXTRA))
     stamped = rows.select(
-        (F.lit(seq) * F.lit(SEQ_STEP) + F.col("row_no")).alias("bronze_id"), F.lit(source).alias("source"),
-        F.lit(path.rsplit("/", 1)[-1]).alias("source_file"), F.lit(sha).alias("file_sha256"), "row_no", "payload",
-        row_hash(F.col("payload")).alias("row_hash"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ingested_at"),
-        F.lit(source).alias("part_source"), F.lit(seq).cast("bigint").alias("landing_seq"))
-    # one partition per file: a repeat of a broken attempt replaces what that left behind, and no other file is read
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_source", "landing_seq").parquet(bronze_path)
-    bronze = _table(spark, bronze_path, BRONZE)
-    mine = bronze.filter((F.col("part_source") == source) & (F.col("landing_seq") == seq))
-    n = mine.count()
-    others = bronze.filter((F.col("part_source") != source) | (F.col("landing_seq") != seq))
-    repeated = landed_before(mine, others).count()
-    entry = spark.range(1).select(
-        F.lit(source).alias("source"), F.lit(sha).alias("file_sha256"), F.lit(path).alias("path"),
-        F.array(*[F.lit(h) for h in header]).alias("header"), header_fingerprint(header).alias("header_fingerprint"),
-        F.lit(n).cast("bigint").alias("row_count"),
-        F.array(*[F.lit(c) for c in drift["added"]]).cast("array<string>").alias("drift_added") if drift else F.lit(None).cast("array<string>").alias("drift_added"),
-        F.array(*[F.lit(c) for c in drift["removed"]]).cast("array<string>").alias("drift_removed") if drift else F.lit(None).cast("array<string>").alias("drift_removed"),
-        F.lit(run_id).alias("run_id"), F.lit(seq).cast("bigint").alias("landing_seq"), F.current_timestamp().alias("ingested_at"))
-    entry.write.mode("append").parquet(manifest_path)
-    alerts = [f"{path.rsplit('/', 1)[-1]}: columns new {drift['added']}, gone {drift['removed']}"] if drift else []
-    return Landed(n, n, sha, repeated=repeated, drift=drift, alerts=alerts)
-
-
-def landed_before(rows: DataFrame, others: DataFrame) -> DataFrame:
-    """Rows whose content is among `others`. Only hashes that `rows` has go into the second join, each once."""
-    asked = rows.select("row_hash").distinct()
-    known = others.select("row_hash").join(asked, "row_hash", "left_semi").distinct()
-    return rows.join(known, "row_hash", "left_semi")
+        (F.col("landing_seq") * F.lit(SEQ_STEP) + F.col("row_no")).alias("bronze_id"), F.lit(source).alias("source"), "source_file", "file_sha256",
+        "row_no", "payload", row_hash(F.col("payload")).alias("row_hash"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("ingested_at"),
+        F.lit(source).alias("part_source"), "landing_seq")
+    _replace(stamped, bronze_path, "part_source", "landing_seq")
+    numbers = [number for *_, number, _ in new]
+    mine = _table(spark, bronze_path, BRONZE).filter((F.col("part_source") == source) & F.col("landing_seq").between(numbers[0], numbers[-1]))
+    older = _table(spark, hashes_path, _HASHES).filter((F.col("part_source") != source) | (F.col("batch") < batch))
+    own = mine.groupBy(_short(F.col("row_hash")).alias("h"), "landing_seq").agg(F.count("*").alias("rows"))
+    _replace(own.select("h", "landing_seq", "rows", F.lit(source).alias("part_source"), F.lit(batch).alias("batch")), hashes_path, "part_source", "batch")
+    own = _table(spark, hashes_path, _HASHES).filter((F.col("part_source") == source) & (F.col("batch") == batch))
+    repeated = {r["landing_seq"]: r["n"] for r in _repeated(own, older).collect()}
+    for _, _, number, done in new:
+        done.repeated = repeated.get(number, 0)
+    entries = spark.createDataFrame(
+        [(source, f.key, f.path, f.header, f.rows, (d.drift or {}).get("added"), (d.drift or {}).get("removed"), run_id, number) for f, _, number, d in new],
+        "source string, file_sha256 string, path string, header array<string>, row_count bigint, drift_added array<string>, "
+        "drift_removed array<string>, run_id string, landing_seq bigint")
+    fingerprint = F.substring(F.sha2(F.to_json("header"), 256), 1, 16)
+    (entries.withColumns({"header_fingerprint": fingerprint, "ingested_at": F.current_timestamp()}).coalesce(1).write.mode("append").parquet(manifest_path))
+    return out
+
+
+def _landed(manifest: DataFrame, keys: list[str]) -> tuple[dict[str, int], list[str] | None, int]:
+    """What the manifest of a source knows: rows of the given contents, the newest header, the last number."""
+    asked = F.when(F.col("file_sha256").isin(keys), F.struct("file_sha256", "row_count"))
+    row = manifest.agg(F.collect_list(asked).alias("known"), F.max_by("header", "landing_seq").alias("header"), F.max("landing_seq").alias("seq")).first()
+    return {r["file_sha256"]: r["row_count"] for r in row["known"]}, row["header"], row["seq"] or 0
+
+
+def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Write the partitions that the rows have; a repeat of a broken attempt replaces what that left behind."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def _short(row_hash: Column) -> Column:
+    """The first 128 bits of a row hash, which no two rows share by chance."""
+    return F.unhex(F.substring(row_hash, 1, 32))
+
+
+def _repeated(own: DataFrame, older: DataFrame) -> DataFrame:
+    """(landing_seq, n): how many rows of each file have content that an older batch or an earlier file of this one brought.
+
+    `own` has a row for each content and file, so that a content delivered very often weighs one row; the other side of the
+    joins has one row for each content.
+    """
+    first = own.groupBy("h").agg(F.min("landing_seq").alias("first"))
+    before = older.select("h").join(first.select("h"), "h", "left_semi").distinct().withColumn("before", F.lit(True))
+    met = own.join(first, "h").join(before, "h", "left").filter((F.col("first") < F.col("landing_seq")) | F.col("before"))
+    return met.groupBy("landing_seq").agg(F.sum("rows").alias("n"))
 
 
 def seen_before(rows: DataFrame, all_rows: DataFrame, file: str = "file_sha256") -> DataFrame:

@@ -25,15 +25,16 @@ def _overwrite(df: DataFrame, name: str, path: str, partition: str) -> None:
 
 def incremental_landing(spark: SparkSession, folder: str, source: str, root: str, checkpoint: str,
                         pattern: str = "*.csv") -> StreamingQuery:
-    """Land every new file of a folder once. The stream carries paths only; content is read by `land`,
-    whose manifest makes a repeated batch harmless."""
+    """Land every new file of a folder once, the files of a batch together. The stream carries paths only; content is read
+    by `land_files`, whose manifest makes a repeated batch harmless."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    files = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 100)
+    files = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", 1000)
              .load(folder).select("path"))
 
     def batch(df: DataFrame, epoch: int) -> None:
-        for row in df.orderBy("path").collect():  # at most maxFilesPerTrigger names
-            landing.land(df.sparkSession, row["path"], source, root, f"stream-{epoch}")
+        paths = sorted(r["path"] for r in df.collect())  # at most maxFilesPerTrigger names
+        if paths:
+            landing.land_files(df.sparkSession, paths, source, root, f"stream-{epoch}")
 
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

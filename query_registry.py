@@ -330,11 +330,31 @@ def lake(spark: SparkSession, sf: str) -> tuple[str, list[tuple]]:
             files[name] = sorted(r[0] for r in spark.read.format("binaryFile").load(folder).select("path").collect())
         done = [(step, f.rows_in, f.rows_out, f.repeated, f.skipped) for step, name in
                 (("first", "first"), ("again", "first"), ("half", "half"), ("other", "other"))
-                for path in files[name] for f in [landing.land(spark, path, "customers", root, step)]]
+                for f in landing.land_files(spark, files[name], "customers", root, step)]
         return root, done
     return _once(spark, sf, "lake", make)
 
 
+def landed_text_rows(spark, sf):
+    """Documents, with the line breaks and quotes in their texts, landed from one CSV file: row numbers and lineage."""
+    def make() -> str:
+        root, folder = session.fresh_folder(spark, "text-lake"), session.fresh_folder(spark, "csv-text")
+        docs = T.table(spark, sf, "documents").select("doc_id", "text", "lang").repartition(1).sortWithinPartitions("doc_id")
+        docs.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+        paths = [r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path").collect()]
+        landing.land_files(spark, paths, "documents", root, "first")
+        landing.land_files(spark, paths, "documents", root, "again")
+        return root
+    root = _once(spark, sf, "text-lake", make)
+    rows = spark.read.schema(landing.BRONZE).parquet(f"{root}/bronze")
+    files = spark.read.schema(landing.MANIFEST).parquet(f"{root}/manifest").select("file_sha256", "header_fingerprint", "row_count", "path")
+    field = lambda name: F.try_element_at("payload", F.lit(name))
+    return rows.join(F.broadcast(files), "file_sha256").select(
+        field("doc_id").cast("long").alias("doc_id"), "row_no", (F.col("bronze_id") - F.col("landing_seq") * landing.SEQ_STEP).alias("number_in_file"),
+        F.md5(field("text")).alias("text_md5"), field("lang").alias("lang"), "source", "run_id", "landing_seq", "header_fingerprint", "row_count",
+        F.endswith("path", "source_file").alias("named"), F.col("ingested_at").isNotNull().alias("dated"))
+
+
 def _bronze(spark, sf):
     return spark.read.schema(landing.BRONZE).parquet(f"{lake(spark, sf)[0]}/bronze")
 
@@ -646,6 +666,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cleaning_preview": cleaning_preview,
         # landing, reference data
         "landed_rows": landed_rows,
+        "landed_text_rows": landed_text_rows,
         "landing_manifest": landing_manifest,
         "landing_repeat": landing_repeat,
         "bronze_summary": bronze_summary,
