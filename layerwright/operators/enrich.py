@@ -8,10 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwright import fixed_values as fv
+from layerwright import session
 from layerwright.functions import clean
 from layerwright.operators import skew
 
 
+# letters of the pieces by which names are found in texts
+ANCHOR = 5
+
+
 # ------------------------------------------------------------------ building names
 def known_buildings(raw: DataFrame) -> DataFrame:
     """Distinct cleaned names over all landed rows, without junk."""
@@ -47,35 +52,53 @@ def _longest_first(entries: Column) -> Column:
     return F.transform(F.array_sort(entries), lambda e: e["pattern"])
 
 
-def _entry(name: Column) -> Column:
-    return F.struct((-F.length(name)).alias("rank"), name.alias("name"), _quoted(name).alias("pattern"))
+def _entry(name: Column, needed: Column) -> Column:
+    return F.struct((-F.length(name)).alias("rank"), name.alias("name"), _quoted(name).alias("pattern"), needed.alias("needed"))
+
+
+def _pieces(text: Column, sizes: list[int]) -> Column:
+    """The different pieces of a text that have one of the sizes."""
+    def cut(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
+        return F.transform(places, lambda i: F.substring(text, i, F.lit(n)))
+    # a text shorter than a size gives itself, which is no anchor of that size
+    return F.array_distinct(F.concat(*map(cut, sizes)))
+
+
+def _anchors(names: DataFrame) -> DataFrame:
+    """anchor, name, needed: each name under the piece of what a text needs that the fewest names have."""
+    whole = F.length("needed") < ANCHOR
+    pieces = names.select("name", "needed", F.explode(F.when(whole, F.array("needed")).otherwise(_pieces(F.col("needed"), [ANCHOR]))).alias("anchor"))
+    uses = pieces.groupBy("anchor").agg(F.count("*").alias("uses"))
+    return (pieces.join(uses, "anchor").groupBy("name", "needed").agg(F.min(F.struct("uses", "anchor"))["anchor"].alias("anchor"))
+            .select("anchor", "name", "needed"))
 
 
 def with_template(rows: DataFrame, names: DataFrame, text: str = "description", out: str = "description_template",
                   row_id: str = "bronze_id") -> DataFrame:
     """Add the masked template of a text; '' when there is no text. The same way for any number of names.
 
-    Each distinct text is cut into the substrings that have the length of some name; an equality join finds the
-    names it contains, so work grows with the text and never with text x names. The names found are then masked
-    one after the other, longest first.
+    Each name stands in an index under one anchor: the piece of ANCHOR letters that the fewest names have. Each distinct
+    text asks for its pieces of that length, whatever lengths the names have, and the names found are looked for in the
+    text itself. So work grows with the text and never with text x names or text x lengths. The names that are there
+    are then masked one after the other, longest first.
     """
     texts = (rows.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count("*").alias("uses"))
              .withColumn("text_id", F.sha2("text", 256)))
-    keyed = names.filter(F.length("name") > 0).select("name", _needed(F.col("name")).alias("gram")).distinct()
-    # one number per different length of a name
-    lengths = [r[0] for r in keyed.filter("gram <> ''").select(F.length("gram")).distinct().collect()]
+    keyed = session.staged(_anchors(names.filter(F.length("name") > 0).select("name", _needed(F.col("name")).alias("needed")).distinct()), "names")
     # names that are pieces of the placeholder itself: their letters bound how many there can be of a length
-    always = [r[0] for r in keyed.filter("gram = ''").select("name").distinct().orderBy("name").collect()]
-    entry_type = "array<struct<rank:int,name:string,pattern:string>>"
-    fixed = F.array(*[_entry(F.lit(n)) for n in always]) if always else F.array().cast(entry_type)
-    start = F.explode(F.sequence(F.lit(1), F.length("low")))
-    grams = (texts.select("text_id", F.lower("text").alias("low")).filter(F.length("low") > 0).select("text_id", "low", start.alias("start"))
-             .select("text_id", "low", "start", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("len"))
-             .filter(F.col("start") + F.col("len") - 1 <= F.length("low"))
-             .select("text_id", F.col("low").substr(F.col("start"), F.col("len")).alias("gram")).distinct())
-    found = grams.join(keyed.filter("gram <> ''"), "gram").select("text_id", "name").distinct()
-    per_text = found.groupBy("text_id").agg(F.collect_set(_entry(F.col("name"))).alias("entries"))
-    entries = F.array_distinct(F.concat(F.coalesce("entries", F.array().cast(entry_type)), fixed))
+    always = sorted(r[0] for r in keyed.filter("needed = ''").select("name").collect())
+    entry_type = "array<struct<rank:int,name:string,pattern:string,needed:string>>"
+    fixed = F.array(*[_entry(F.lit(n), F.lit("")) for n in always]) if always else F.array().cast(entry_type)
+    anchors = keyed.filter("needed <> ''")
+    # at most ANCHOR numbers: shorter names are their own anchor
+    sizes = [r[0] for r in anchors.select(F.length("anchor")).distinct().collect()]
+    pieces = (texts.select("text_id", F.explode(_pieces(F.lower("text"), sizes)).alias("anchor")) if sizes
+              else texts.limit(0).select("text_id", F.lit("").alias("anchor")))
+    met = pieces.join(F.broadcast(anchors) if skew.fits(anchors) else anchors, "anchor")
+    per_text = met.groupBy("text_id").agg(F.collect_set(_entry(F.col("name"), F.col("needed"))).alias("entries"))
+    there = F.filter(F.coalesce("entries", F.array().cast(entry_type)), lambda e: F.contains(F.lower("text"), e["needed"]))
+    entries = F.array_distinct(F.concat(there, fixed))
     masked = (texts.join(per_text, "text_id", "left")
               .select("text", "uses", clean.mask_variables(_mask(F.col("text"), _longest_first(entries))).alias(out)))
     joined = skew.spread_join(rows, masked, F.col(text), "text", "uses", F.col(row_id))
