@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from layerwright import fixed_values as fv
 from layerwright.functions import clean
+from layerwright.operators import ranks
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -67,11 +68,10 @@ def numeric_stats(counts: DataFrame) -> DataFrame:
         filled.alias("filled"), F.sum(F.when(v.rlike(fv.NUMERIC_LIKE), n).otherwise(0)).alias("numeric_like"),
         F.min("x").alias("min"), F.max("x").alias("max"),
         F.sum(F.when(F.col("x") < 0, n).otherwise(0)).alias("negative"),
-        F.sum(F.when(F.col("x") == 0, n).otherwise(0)).alias("zero"),
-        F.percentile("x", F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)), n).alias("q"))
+        F.sum(F.when(F.col("x") == 0, n).otherwise(0)).alias("zero"))
     enough = (F.col("numeric_like") > 0) & (F.col("numeric_like") >= fv.NUMERIC_SHARE * F.greatest(F.col("filled"), F.lit(1)))
-    return stats.filter(enough).select("column", "min", "max", "negative", "zero", F.col("q")[0].alias("p01"),
-                                       F.col("q")[1].alias("p50"), F.col("q")[2].alias("p99"))
+    stats = stats.filter(enough).select("column", "min", "max", "negative", "zero")
+    return stats.join(ranks.quantiles(rows, ["column"], "x", "n", {"p01": 0.01, "p50": 0.5, "p99": 0.99}), "column", "left")
 
 
 def day_month_evidence(counts: DataFrame) -> DataFrame:

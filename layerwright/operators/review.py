@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwright import fixed_values as fv
+from layerwright.operators import ranks
 
 
 def trust_score(agent: Column, judge: Column, human: Column, weights: dict[str, float] | None = None) -> Column:
@@ -93,6 +94,12 @@ def queue(proposals: DataFrame) -> DataFrame:
     return current(proposals).filter(F.col("status") == "proposed").orderBy(F.asc_nulls_last("trust"), "created_at", "proposal_id")
 
 
+def queue_places(proposals: DataFrame) -> DataFrame:
+    """The queue with the place of each proposal, for pages of it."""
+    rows = current(proposals).filter(F.col("status") == "proposed")
+    return ranks.numbered(rows, F.asc_nulls_last("trust"), F.col("created_at"), F.col("proposal_id"))
+
+
 _DECIDED = ("proposal", "status", "source", "overridden", "agent_original", "reviewed_by", "seq")
 
 

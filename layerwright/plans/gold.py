@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from layerwright import fixed_values as fv
 from layerwright.functions import clean
+from layerwright.operators import ranks
 
 
 def as_of_date(tickets: DataFrame) -> Column:
@@ -59,11 +60,14 @@ def pct(part: Column, whole: Column, places: int = 1) -> Column:
     return F.round(ratio, places).cast("decimal(12,%d)" % places)
 
 
-def hours_quantile(p: float) -> Column:
-    """Interpolated quantile over work that was really done. Counts per distinct value are combined
-    on the map side, so a heavy group ships its distinct values and not its rows."""
-    worked = F.when(~F.col("is_duplicate_closure"), F.col("resolution_hours"))
-    return F.round(F.percentile(worked, p).cast("decimal(18,6)"), 1).cast("decimal(12,1)")
+def with_hours(mart: DataFrame, fct: DataFrame, group: dict[str, Column]) -> DataFrame:
+    """Median and 90 % quantile of the hours of work that was really done, per group of a mart."""
+    worked = fct.filter(~F.col("is_duplicate_closure") & F.col("resolution_hours").isNotNull())
+    hours = worked.groupBy(*[c.alias(name) for name, c in group.items()], "resolution_hours").agg(F.count("*").alias("n"))
+    wanted = {"median_resolution_hours": 0.5, "p90_resolution_hours": 0.9}
+    found = ranks.quantiles(hours, list(group), "resolution_hours", "n", wanted)
+    rounded = {name: F.round(F.col(name).cast("decimal(18,6)"), 1).cast("decimal(12,1)") for name in wanted}
+    return ranks.with_quantiles(mart, found.withColumns(rounded), list(group))
 
 
 def _resolved() -> Column:
@@ -77,31 +81,33 @@ def _sla_met() -> Column:
 # ------------------------------------------------------------------ marts
 def mart_sla_performance(fct: DataFrame) -> DataFrame:
     measurable = F.count_if(F.col("sla_measurable"))
-    return (fct.filter(F.col("created_date").isNotNull())
-            .groupBy(F.trunc("created_date", "MM").alias("month"), "category",
-                     F.coalesce("priority", F.lit("unspecified")).alias("priority"))
-            .agg(F.count("*").alias("tickets_created"), _resolved().alias("tickets_resolved"),
-                 measurable.alias("sla_measurable"), _sla_met().alias("sla_met"),
-                 pct(_sla_met(), measurable).alias("sla_compliance_pct"),
-                 hours_quantile(0.5).alias("median_resolution_hours"),
-                 hours_quantile(0.9).alias("p90_resolution_hours"),
-                 pct(measurable, F.count("*")).alias("metric_coverage_pct")))
+    fct = fct.filter(F.col("created_date").isNotNull())
+    group = {"month": F.trunc("created_date", "MM"), "category": F.col("category"), "priority": F.coalesce("priority", F.lit("unspecified"))}
+    mart = fct.groupBy(*[c.alias(name) for name, c in group.items()]).agg(
+        F.count("*").alias("tickets_created"), _resolved().alias("tickets_resolved"),
+        measurable.alias("sla_measurable"), _sla_met().alias("sla_met"),
+        pct(_sla_met(), measurable).alias("sla_compliance_pct"), pct(measurable, F.count("*")).alias("metric_coverage_pct"))
+    return with_hours(mart, fct, group).select(
+        *group, "tickets_created", "tickets_resolved", "sla_measurable", "sla_met", "sla_compliance_pct",
+        "median_resolution_hours", "p90_resolution_hours", "metric_coverage_pct")
 
 
 def mart_vendor_scorecard(fct: DataFrame) -> DataFrame:
     measurable, n = F.count_if(F.col("sla_measurable")), F.count("*")
-    return (fct.filter(F.col("assignee").isNotNull()).groupBy("assignee", "assignee_type")
-            .agg(n.alias("tickets_assigned"), F.count_if(F.col("is_open")).alias("open_now"),
-                 _resolved().alias("resolved"),
-                 hours_quantile(0.5).alias("median_resolution_hours"),
-                 hours_quantile(0.9).alias("p90_resolution_hours"),
-                 pct(_sla_met(), measurable).alias("sla_compliance_pct"), measurable.alias("sla_measurable"),
-                 F.sum("cost_usd").alias("total_cost_usd"),
-                 F.round(F.sum("cost_usd") / F.nullif(F.count("cost_usd"), F.lit(0)), 2).cast("decimal(14,2)").alias("avg_cost_usd"),
-                 F.count("cost_usd").alias("tickets_with_cost"),
-                 pct(F.count_if(F.col("resolution_outcome") == "temporary_fix"), n).alias("temporary_fix_pct"),
-                 pct(F.count_if(F.col("resolution_outcome") == "not_reproduced"), n).alias("not_reproduced_pct"),
-                 F.count_if(F.col("is_safety_hazard")).alias("safety_tickets")))
+    fct = fct.filter(F.col("assignee").isNotNull())
+    group = {"assignee": F.col("assignee"), "assignee_type": F.col("assignee_type")}
+    mart = fct.groupBy(*group).agg(
+        n.alias("tickets_assigned"), F.count_if(F.col("is_open")).alias("open_now"), _resolved().alias("resolved"),
+        pct(_sla_met(), measurable).alias("sla_compliance_pct"), measurable.alias("sla_measurable"),
+        F.sum("cost_usd").alias("total_cost_usd"),
+        F.round(F.sum("cost_usd") / F.nullif(F.count("cost_usd"), F.lit(0)), 2).cast("decimal(14,2)").alias("avg_cost_usd"),
+        F.count("cost_usd").alias("tickets_with_cost"),
+        pct(F.count_if(F.col("resolution_outcome") == "temporary_fix"), n).alias("temporary_fix_pct"),
+        pct(F.count_if(F.col("resolution_outcome") == "not_reproduced"), n).alias("not_reproduced_pct"),
+        F.count_if(F.col("is_safety_hazard")).alias("safety_tickets"))
+    return with_hours(mart, fct, group).select(
+        *group, "tickets_assigned", "open_now", "resolved", "median_resolution_hours", "p90_resolution_hours", "sla_compliance_pct",
+        "sla_measurable", "total_cost_usd", "avg_cost_usd", "tickets_with_cost", "temporary_fix_pct", "not_reproduced_pct", "safety_tickets")
 
 
 def mart_open_backlog(fct: DataFrame, as_of: Column) -> DataFrame:
@@ -136,6 +142,11 @@ def underprioritised_hazards(tickets: DataFrame, as_of: Column) -> DataFrame:
         F.round(age / 24, 1).cast("decimal(12,1)").alias("open_days"), "description")
 
 
+def hazards_in_order(hazards: DataFrame) -> DataFrame:
+    """Hazards with their place, the most severe first, then the oldest: a page is a range of `rank`."""
+    return ranks.numbered(hazards, F.col("inferred_severity"), F.col("open_days").desc_nulls_last(), F.col("ticket_id"))
+
+
 def kg_edges(tickets: DataFrame) -> DataFrame:
     """Edges (subject, predicate, object): five facts per ticket from one scan, two distinct relations,
     and the ontology."""

@@ -643,6 +643,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_vendor_scorecard": fact(gold.mart_vendor_scorecard),
         "mart_open_backlog": lambda s, d: _plain(backlog(s, d)),
         "underprioritised_hazards": lambda s, d: _plain(hazard(s, d)),
+        "hazards_in_order": lambda s, d: _plain(gold.hazards_in_order(hazard(s, d)).select("rank", "inferred_severity", "open_days", "ticket_id")),
         "kg_edges": of(gold.kg_edges),
         # reports
         "report_silver": parts(reports.silver_summary),
@@ -691,6 +692,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "episodes": episodes,
         "trust_scores": lambda s, d: scored(s, d).select("proposal_id", F.round("trust", 9).alias("trust"), F.round("trust_no_human", 9).alias("trust_no_human")),
         "auto_approve_policy": auto_approve_policy,
+        "review_queue_places": lambda s, d: review.queue_places(scored(s, d)).select("proposal_id", "rank"),
         "review_queue": lambda s, d: review.queue(scored(s, d)).select("proposal_id", F.round("trust", 9).alias("trust")),
         "policy_replay": lambda s, d: evaluate.policy_results(scored(s, d)),
         "precision_at_k": lambda s, d: evaluate.queue_ranking(scored(s, d), "proposal_id"),
