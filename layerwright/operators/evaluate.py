@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from layerwright import fixed_values as fv
 from layerwright.functions import clean
+from layerwright.operators import review, similarity
 
 
 def with_truth(labelled: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
@@ -93,6 +94,31 @@ def queue_ranking(scored: DataFrame, item: str, depths: list[int] | None = None)
         F.round(hits / F.nullif(wrong_total, F.lit(0)), 3).alias("recall"))
 
 
+def replay(decisions: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Recorded decisions with the scores of all policies, ready for `policy_results` and `queue_ranking`.
+
+    decisions: kind, subject, confidence, original and final MAP, correct, one row per (kind, subject). verdicts: kind, subject,
+    p_correct, agrees; where there is none the judge stays silent. The human signal of a decision comes from all
+    others of its kind with similar text, its own left out, in one pass over counted votes.
+    """
+    asked = decisions.select("kind", F.col("subject").alias("text"), F.col("original").alias("answer"))
+    given = decisions.select("kind", F.col("subject").alias("text"), F.col("final").alias("answer"))
+    signal = similarity.human_signal(asked, given).select("kind", F.col("text").alias("subject"), "human_signal", "votes")
+    rows = decisions.join(verdicts, ["kind", "subject"], "left").join(signal, ["kind", "subject"], "left").withColumn(
+        "judge_p", review.judge_probability(F.col("p_correct"), F.col("agrees")))
+    agent, nobody = F.col("confidence"), F.lit(None).cast("double")
+    return rows.select("kind", "subject", F.concat_ws(":", "kind", "subject").alias("item"), "correct", agent.alias("agent_conf"), "judge_p", "human_signal",
+                       "votes", review.trust_score(agent, F.col("judge_p"), F.col("human_signal")).alias("trust"),
+                       review.trust_score(agent, F.col("judge_p"), nobody).alias("trust_no_human"))
+
+
+def ranking_with_base(scored: DataFrame, item: str = "item", depths: list[int] | None = None) -> DataFrame:
+    """`queue_ranking` beside what a random order would give: items, wrong ones and their share."""
+    items, wrong = scored.agg(F.count("*")).scalar(), scored.agg(F.count_if(~F.col("correct"))).scalar()
+    return queue_ranking(scored, item, depths).withColumns({
+        "items": items, "wrong": wrong, "random_precision": F.round(wrong / F.nullif(items, F.lit(0)), 3)})
+
+
 # ------------------------------------------------------------------ result against truth
 def truth_score(truth: DataFrame, tickets: DataFrame, quarantine: DataFrame, duplicates: DataFrame) -> DataFrame:
     """One row: what the run did against what it should have done.

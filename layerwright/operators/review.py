@@ -22,8 +22,8 @@ def trust_score(agent: Column, judge: Column, human: Column, weights: dict[str,
 
 
 def judge_probability(p_correct: Column, agrees: Column) -> Column:
-    """A judge that disagrees cannot vouch for more than one half."""
-    return F.when(agrees, p_correct).otherwise(F.least(p_correct, F.lit(0.5)))
+    """A judge that disagrees cannot vouch for more than one half; NULL without a verdict."""
+    return F.when(agrees, p_correct).when(p_correct.isNotNull(), F.least(p_correct, F.lit(0.5)))
 
 
 def policy(rows: DataFrame, with_judge: bool, threshold: float = fv.AUTO_APPROVE) -> DataFrame:

@@ -10,10 +10,15 @@ from layerwright import fixed_values as fv
 from layerwright import session
 from layerwright.functions import clean
 
+# sets of one token that meet in one cell of its grid
+SPLIT = 5_000
+
 
 def token_sets(df: DataFrame, text: str) -> DataFrame:
     """Add `tokens` (sorted distinct words) and `set_id`, equal for equal sets of one kind."""
-    return (df.withColumn("tokens", F.array_sort(clean.tokens(F.col(text)))).filter(F.size("tokens") > 0)
+    # the generator keeps the optimizer from copying the search for words into everything that reads `tokens`
+    once = F.explode(F.array(F.array_sort(clean.tokens(F.col(text)))))
+    return (df.withColumn("tokens", once).filter(F.size("tokens") > 0)
             .withColumn("set_id", F.sha2(F.concat_ws("\u001f", F.col("kind"), F.array_join("tokens", " ")), 256)))
 
 
@@ -22,14 +27,26 @@ def distinct_sets(df: DataFrame) -> DataFrame:
     return df.groupBy("set_id").agg(F.min("kind").alias("kind"), F.min("tokens").alias("tokens"))
 
 
+def _narrow(sets: DataFrame) -> DataFrame:
+    """Sets by a short id, with 64-bit token ids."""
+    ids = F.transform("tokens", lambda t: F.xxhash64(t))  # noqa: PLW0108
+    return sets.select("set_id", "kind", F.unhex(F.substring("set_id", 1, 32)).alias("id"), F.size("tokens").alias("n"), ids.alias("ids"))
+
+
 def _prefix(sets: DataFrame, rarity: DataFrame, threshold: float) -> DataFrame:
     """The rarest tokens of each set, enough that two sets with the wanted overlap must share one."""
-    n = F.size("tokens")
-    words = sets.select("set_id", "kind", n.alias("n"), F.explode("tokens").alias("token"))
+    words = sets.select("id", "kind", "n", F.explode("ids").alias("token"))
     ranked = words.join(rarity, ["kind", "token"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("set_id").orderBy("df", "token"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "token"))
     keep = F.col("n") - F.ceil(F.col("n") * threshold - F.lit(1e-9)) + 1
-    return ranked.withColumn("r", rank).filter(F.col("r") <= keep).select("set_id", "kind", "n", "r", "token")
+    return ranked.withColumn("r", rank).filter(F.col("r") <= keep).select("id", "kind", "n", "r", "token", "df")
+
+
+def _cells(rows: DataFrame, own: str, other: str) -> DataFrame:
+    """Deal the rows of a frequent token over a grid: both sides fall into parts of some SPLIT rows, and every part of one side
+    meets every part of the other in a cell of its own. How many parts there are follows from the token's count alone."""
+    parts = F.ceil(F.greatest("df", F.lit(1)) / SPLIT)
+    return rows.withColumn(own, F.pmod(F.xxhash64("id"), parts)).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("df")
 
 
 def similar_sets(probe: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
@@ -37,21 +54,24 @@ def similar_sets(probe: DataFrame, index: DataFrame, threshold: float) -> DataFr
 
     Pairs come from an equality join on rare tokens (prefix filter) with two conditions: the lengths can
     reach the threshold, and so can the tokens left from the match on (both sides are in the same order,
-    so the first common token of a wanted pair always passes). Each candidate is then measured exactly.
+    so the first common token of a wanted pair always passes). A token that many sets hold is split over a grid of
+    tasks. Each candidate is then measured by its token ids.
     """
-    words = index.select("kind", F.explode("tokens").alias("token"))
-    rarity = words.groupBy("kind", "token").agg(F.count("*").alias("df"))
-    p = _prefix(probe, rarity, threshold).select(F.col("set_id").alias("probe_id"), "kind", "token", F.col("n").alias("pn"), F.col("r").alias("pr"))
-    i = _prefix(index, rarity, threshold).select(F.col("set_id").alias("index_id"), "kind", "token", F.col("n").alias("i_n"), F.col("r").alias("ir"))
+    probe, index = _narrow(probe), _narrow(index)
+    rarity = index.select("kind", F.explode("ids").alias("token")).groupBy("kind", "token").agg(F.count("*").alias("df"))
+    p = _cells(_prefix(probe, rarity, threshold), "a", "b").select(
+        F.col("id").alias("pid"), "kind", "token", "a", "b", F.col("n").alias("pn"), F.col("r").alias("pr"))
+    i = _cells(_prefix(index, rarity, threshold), "b", "a").select(
+        F.col("id").alias("iid"), "kind", "token", "a", "b", F.col("n").alias("i_n"), F.col("r").alias("ir"))
     lengths = (F.col("pn") >= F.col("i_n") * threshold) & (F.col("i_n") >= F.col("pn") * threshold)
     needed = F.ceil((F.col("pn") + F.col("i_n")) * (threshold / (1 + threshold)) - F.lit(1e-9))
     left_over = 1 + F.least(F.col("pn") - F.col("pr"), F.col("i_n") - F.col("ir"))
-    pairs = p.join(i, ["kind", "token"]).filter(lengths & (left_over >= needed)).select("probe_id", "index_id").distinct()
-    left = probe.select(F.col("set_id").alias("probe_id"), F.col("tokens").alias("pt"))
-    right = index.select(F.col("set_id").alias("index_id"), F.col("tokens").alias("it"))
-    met = pairs.join(left, "probe_id").join(right, "index_id")
-    common = F.size(F.array_intersect("pt", "it"))
-    similarity = common / (F.size("pt") + F.size("it") - common)
+    pairs = p.join(i, ["kind", "token", "a", "b"]).filter(lengths & (left_over >= needed)).select("pid", "iid").distinct()
+    left = probe.select(F.col("id").alias("pid"), F.col("set_id").alias("probe_id"), F.col("ids").alias("pt"))
+    right = index.select(F.col("id").alias("iid"), F.col("set_id").alias("index_id"), F.col("ids").alias("it"))
+    common = F.explode(F.array(F.size(F.array_intersect("pt", "it")))).alias("common")  # measured once, see token_sets
+    met = pairs.join(left, "pid").join(right, "iid").select("probe_id", "index_id", (F.size("pt") + F.size("it")).alias("both"), common)
+    similarity = F.col("common") / (F.col("both") - F.col("common"))
     return met.select("probe_id", "index_id", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 

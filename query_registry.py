@@ -471,6 +471,23 @@ def recorded_decisions(spark, sf):
                        F.element_at("final", "category").alias("final"), "correct")
 
 
+def replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Recorded decisions with a judge's verdict on most of them and the signal of all other decisions of their kind."""
+    def make() -> DataFrame:
+        rows = review.recorded_decisions(decided(spark, sf), _mapping(spark, sf), {
+            "category_label": ["category", "label_kind"], "description_template": ["category", "is_safety_hazard"]})
+        n, last = F.count("*"), F.max("proposal_id")
+        verdicts = (ledger(spark, sf).groupBy("kind", "subject").agg(n.alias("n"), (last % 100 / 100).alias("p_correct"), (n % 2 == 0).alias("agrees"))
+                    .filter("n % 5 <> 0").drop("n"))
+        return session.staged(evaluate.replay(session.staged(rows, "decisions"), verdicts), "replayed")
+    return _once(spark, sf, "replayed", make)
+
+
+def recorded_replay(spark, sf):
+    return replayed(spark, sf).select("kind", "subject", "correct", "judge_p", F.round("human_signal", 9).alias("human_signal"), "votes",
+                                      F.round("trust", 9).alias("trust"), F.round("trust_no_human", 9).alias("trust_no_human"))
+
+
 def episodes(spark, sf):
     rows = review.episodes(decided(spark, sf))
     return rows.groupBy("kind", "text", F.element_at("agent_answer", "category").alias("agent"),
@@ -692,6 +709,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "episodes": episodes,
         "trust_scores": lambda s, d: scored(s, d).select("proposal_id", F.round("trust", 9).alias("trust"), F.round("trust_no_human", 9).alias("trust_no_human")),
         "auto_approve_policy": auto_approve_policy,
+        "recorded_replay": recorded_replay,
+        "recorded_policies": lambda s, d: evaluate.policy_results(replayed(s, d)),
+        "recorded_ranking": lambda s, d: evaluate.ranking_with_base(replayed(s, d)),
         "review_queue_places": lambda s, d: review.queue_places(scored(s, d)).select("proposal_id", "rank"),
         "review_queue": lambda s, d: review.queue(scored(s, d)).select("proposal_id", F.round("trust", 9).alias("trust")),
         "policy_replay": lambda s, d: evaluate.policy_results(scored(s, d)),
