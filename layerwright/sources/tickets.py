@@ -67,6 +67,24 @@ ROWS = {
                  " WHEN 0 THEN '24' WHEN 1 THEN '48' WHEN 2 THEN '8' WHEN 3 THEN '72' WHEN 4 THEN '999' ELSE 'x' END END",
     "source_file": "'batch_' || CAST(o_custkey % 3 AS VARCHAR(20)) || '.csv'",
 }
+# What was meant by a row, from the order alone; t is the time of the ticket. These never look at the texts above.
+_TOLD = ("CASE n % 9 WHEN 0 THEN 'electrical' WHEN 1 THEN 'it_network' WHEN 2 THEN 'hvac' WHEN 3 THEN 'plumbing' WHEN 4 THEN 'electrical'"
+         " WHEN 5 THEN 'electrical' WHEN 6 THEN 'elevator' ELSE 'unknown' END")
+_UNUSABLE = "(n % 401 = 0 OR n % 397 = 0 OR n % 389 = 0)"
+TRUTH = {
+    "outcome": f"CASE WHEN n % 509 = 0 OR (v <> 1 AND {_UNUSABLE}) THEN 'quarantine' WHEN v = 1 AND NOT {_UNUSABLE} THEN 'duplicate' ELSE 'ticket' END",
+    "ticket_id": "CASE WHEN v = 1 THEN 'TKT-' || CAST(n + 10000000 AS VARCHAR(20)) ELSE 'TKT-' || CAST(n + 1000 AS VARCHAR(20)) END",
+    "survivor": "'TKT-' || CAST(n + 1000 AS VARCHAR(20))",
+    "category": "CASE WHEN n % 101 = 0 THEN CASE WHEN n % 3 = 2 THEN 'pest_control' ELSE 'hvac' END"
+                " WHEN n % 12 IN (0, 1) THEN 'hvac' WHEN n % 12 IN (2, 3, 11) THEN 'pest_control' WHEN n % 12 IN (4, 5) THEN 'electrical'"
+                f" WHEN n % 12 = 7 THEN 'plumbing' WHEN n % 12 = 8 THEN 'elevator' WHEN n % 12 = 9 THEN 'it_network' ELSE {_TOLD} END",
+    "created_at": "CASE WHEN n % 503 = 0 OR n % 499 = 0 THEN NULL"
+                  " ELSE CASE CASE WHEN v = 1 THEN (n + 3) % 8 ELSE n % 8 END WHEN 2 THEN date_trunc('day', t) WHEN 4 THEN date_trunc('day', t)"
+                  " WHEN 3 THEN date_trunc('minute', t) WHEN 6 THEN date_trunc('minute', t) ELSE t END END",
+    "cost_usd": "CASE WHEN n % 101 = 0 OR n % 23 = 0 OR n % 29 = 0 OR n % 31 = 0 OR n % 37 = 0 THEN NULL"
+                " WHEN n % 3 = 0 THEN 1000.5 + n % 1000 ELSE 0.25 + n % 5000 END",
+    "drift": "n % 101 <> 0 AND n % 12 = 10",
+}
 CREATED_JUNK = "CASE WHEN n % 503 = 0 THEN 'asap' WHEN n % 499 = 0 THEN '13/45/2024' END"
 RESOLVED_JUNK = "CASE WHEN o_orderstatus = 'O' OR n % 101 = 0 THEN '' WHEN n % 47 = 0 THEN '???' END"
 FORMATS = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy hh:mm a", "MM/dd/yyyy",
@@ -108,17 +126,31 @@ def _write_time(t, k):
     return cases.otherwise(epoch)
 
 
-def raw_tickets(orders: DataFrame) -> DataFrame:
-    """bronze_id, the 13 source columns, row_hash, source_file. One scan; copies come from an explode."""
+def _copies(orders: DataFrame) -> DataFrame:
+    """Orders with the number of the copy and the times they name: t0 of the first delivery, t of this one."""
     copies = F.array_compact(F.array(
         F.lit(0), F.expr("CASE WHEN n % 33 = 0 AND n % 101 <> 0 THEN 1 END"), F.expr("CASE WHEN n % 211 = 0 THEN 2 END")))
     base = (orders.select(F.col("o_orderkey").alias("n"), "o_custkey", "o_orderstatus", "o_orderpriority",
                           F.col("o_orderdate").cast("timestamp_ntz").alias("d"))
             .withColumn("v", F.explode(copies)))
-    days = F.expr("CASE WHEN n % 211 = 3 THEN 0 ELSE 10000 END") + F.expr("CASE WHEN v = 1 THEN 9 ELSE 0 END")
-    t0 = F.col("d") + F.make_dt_interval(F.expr("CASE WHEN n % 211 = 3 THEN 0 ELSE 10000 END"), F.lit(0), F.lit(0),
-                                         F.expr("CAST(n * 7919 % 86400 AS DECIMAL(18,6))"))
-    t = F.col("d") + F.make_dt_interval(days, F.lit(0), F.lit(0), F.expr("CAST(n * 7919 % 86400 AS DECIMAL(18,6))"))
+    seconds = F.expr("CAST(n * 7919 % 86400 AS DECIMAL(18,6))")
+    shift = F.expr("CASE WHEN n % 211 = 3 THEN 0 ELSE 10000 END")
+    later = shift + F.expr("CASE WHEN v = 1 THEN 9 ELSE 0 END")
+    return base.withColumns({"t0": F.col("d") + F.make_dt_interval(shift, F.lit(0), F.lit(0), seconds),
+                             "t": F.col("d") + F.make_dt_interval(later, F.lit(0), F.lit(0), seconds)})
+
+
+def truth(orders: DataFrame) -> DataFrame:
+    """What every row of `raw_tickets` should become; a corrected re-delivery is the same ticket. Rows to be quarantined have no id."""
+    rows = _copies(orders).select("n", "v", *[F.expr(x.replace("VARCHAR(20)", "STRING")).alias(c) for c, x in TRUTH.items()])
+    key = F.when(F.col("outcome") == "quarantine", F.concat_ws(" ", F.lit("row"), "n", "v")).otherwise(F.col("ticket_id"))
+    return (rows.filter((F.col("v") < 2) | (F.col("outcome") == "quarantine")).withColumn("ticket_id", key)
+            .withColumns({"created_at": F.col("created_at").cast("timestamp_ntz"), "cost_usd": F.col("cost_usd").cast("double")}).drop("n", "v"))
+
+
+def raw_tickets(orders: DataFrame) -> DataFrame:
+    """bronze_id, the 13 source columns, row_hash, source_file. One scan; copies come from an explode."""
+    base, t0, t = _copies(orders), F.col("t0"), F.col("t")
     resolved = t0 + F.make_dt_interval(F.lit(0), F.expr("CAST(n * 31 % 2000 - 400 AS INT)"), F.lit(0), F.lit(0).cast("decimal(18,6)"))
     k = F.expr("CASE WHEN v = 1 THEN (n + 3) % 8 ELSE n % 8 END")
     created_text = F.coalesce(F.expr(CREATED_JUNK), _write_time(t, k))

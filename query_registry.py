@@ -510,22 +510,9 @@ def usage_rollup(spark, sf):
 
 
 def truth_score(spark, sf):
-    """Outcome of the run against the outcome that follows from the order number.
-
-    Only the outcome counts are independent: category, time and cost of the truth are read from the run.
-    """
-    n = F.col("bronze_id") % 1000000000000
-    copy = F.floor(F.col("bronze_id") / 1000000000000)
-    raw = landed(spark, sf).withColumn("tid", clean.ticket_id(F.col("ticket_id")))
-    junk = ~clean.usable_id(F.col("ticket_id")) | (F.col("description") == "DELETE ME")
-    outcome = F.when(junk, "quarantine").when(copy == 1, "duplicate").when(copy == 0, "ticket")
-    truth = (raw.withColumn("outcome", outcome).filter(F.col("outcome").isNotNull())
-             .select(F.when(F.col("outcome") == "quarantine", F.concat(F.lit("row "), F.col("bronze_id").cast("string"))).otherwise(F.col("tid")).alias("ticket_id"),
-                     "outcome", F.concat(F.lit("TKT-"), (n + 1000).cast("string")).alias("survivor")))
-    got = _tickets(spark, sf)
-    truth = truth.join(got.select("ticket_id", "category", "created_at", "cost_usd"), "ticket_id", "left").withColumn("drift", F.lit(False))
+    """What the run made of the tickets against what was meant by the orders."""
     dups = built(spark, sf).duplicates.filter(F.col("match_rule") == fv.RULE_SAME_CONTENT)
-    return _plain(evaluate.truth_score(truth, got, built(spark, sf).quarantine, dups))
+    return _plain(evaluate.truth_score(T.truth(T.table(spark, sf, "orders")), _tickets(spark, sf), built(spark, sf).quarantine, dups))
 
 
 def row_hashes(spark, sf):
