@@ -7,7 +7,7 @@ two such places is a piece; pieces are encoded in parallel and their ids joined
 passed over, as the pattern treats white space at an end differently. Where an overlap holds no shared boundary (a run
 of letters longer than the overlap, say), the rest of the text is one piece.
 
-Cases: a null text counts as empty and has no ids. Equal rows are answered as often as they occur; rows that share a
+Cases: runs of white space of any length are encoded as the pattern splits them. A null text counts as empty and has no ids. Equal rows are answered as often as they occur; rows that share a
 key but not the text are kept apart. Further columns of the input are ignored. The vocabulary file is a parameter.
 """
 
@@ -32,6 +32,8 @@ CHUNK = 65_536   # code points
 OVERLAP = 512
 # A boundary closer to the end of a chunk may be due to the cut: the pattern looks this far beyond a match.
 LOOK_AHEAD = 4
+# Runs of white space (by the Unicode property) that are encoded on their own.
+_SPACES = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}+")
 
 
 class Vocabulary:
@@ -99,8 +101,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str, text: str, size: i
     return short.unionByName(long).withColumnRenamed("id", key)
 
 
+def _ids(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Ids of a text. A long run of white space is taken out first, as the library's search for it goes too deep: the pattern
+    makes one pre-token of all of the run at the end of a text, else of all but its last character, which may join what follows."""
+    out, at = [], 0
+    for run in _SPACES.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += [encoder.encode_to_numpy(text[at:run.start()], disallowed_special=()),
+                np.array(encoder._encode_single_piece(text[run.start():end]), np.uint32)]
+        at = end
+    return np.concatenate([*out, encoder.encode_to_numpy(text[at:], disallowed_special=())]) if out else (
+        encoder.encode_to_numpy(text, disallowed_special=()))
+
+
 def _encoded(encoder: tiktoken.Encoding, texts: list[str]) -> pa.Array:
-    found = [encoder.encode_to_numpy(t, disallowed_special=()) for t in texts]
+    found = [_ids(encoder, t) for t in texts]
     ends = np.cumsum([0, *map(len, found)])
     flat = np.concatenate([np.empty(0, np.uint32), *found]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))

@@ -60,3 +60,15 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "k long, t string")
     words = vocabulary(spark)
     assert bpe.decode(bpe.encode(docs, words, "k", "t"), words, "ids").count() == 0
+
+
+@pytest.mark.parametrize("run", [" ", "\n", " \n", "　\t"])
+def test_long_white_space(spark, run):
+    words = bpe.Vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = [run * (1_200_000 // len(run)), "a" + run * 600_000 + "b", run * 4096 + "'s", "x" * 70_000 + run * 4100 + " y"]
+    got = bpe.decode(bpe.encode(spark.createDataFrame(list(enumerate(texts)), "k long, t string"), words, "k", "t"), words, "ids").collect()
+    assert {r.k: bytes(r.bytes).decode() for r in got} == dict(enumerate(texts))
+    encoder = words.encoder()
+    for r in got:
+        if len(texts[r.k]) < 100_000:
+            assert r.ids == encoder.encode(texts[r.k], disallowed_special=())
