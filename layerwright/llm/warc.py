@@ -32,6 +32,7 @@ from layerwright.llm.common import map_batches
 SMALLEST = 1000             # bytes; smaller payloads are never revisits
 ARCHIVE_BYTES = 1 << 30     # a task begins another archive beyond this
 GAP, READ_BYTES = 64 << 10, 8 << 20  # join ranges up to this gap, into reads of up to this size
+TASK_BYTES = 64 << 20       # of the archives that one task reads
 LEVEL = 4
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -145,7 +146,10 @@ def ranges(rows: list[tuple[str, int, int]]) -> Iterator[list[tuple[str, int, in
 
 
 def read(index: DataFrame, folder: str) -> DataFrame:
-    """The records that the rows of `index` point to; any filter on the index selects records."""
+    """The records that the rows of `index` point to; any filter on the index selects records.
+
+    An index row is small whatever the record it points to, so the number of tasks follows the bytes that are to be read.
+    """
     names = [part.split() for part in _RECORD.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,4 +164,6 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                                                  names=[n for n, _ in names])
 
     places = index.select("file", "offset", "length")
-    return places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, _RECORD)
+    wanted = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, wanted // TASK_BYTES + 1)
+    return places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, _RECORD)
