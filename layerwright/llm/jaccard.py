@@ -44,6 +44,7 @@ WORDS = 4
 NUM, DEN = 85, 100
 GROWTH = 1.3
 SMALL = 32           # sets of one signature whose pairs are compared one by one
+VOTES = 3            # rounds in which large signatures agree on pivots
 SKETCH = 8           # longs
 _PAIRS_BELOW = 48    # sets this small sign choices of two partitions, larger ones single partitions
 _ENUMERATE = 3       # up to this difference all choices of p - k partitions are signed
@@ -174,29 +175,30 @@ def most_different(size: int) -> int:
     return (size + size * DEN // NUM) * (DEN - NUM) // (DEN + NUM)
 
 
+def difference(grams: np.ndarray, pivot_grams: np.ndarray) -> np.ndarray:
+    """What only one of a set and a pivot has, in an order that all sets with this pivot follow.
+
+    What a set has beyond the pivot comes first, as few others will have it.
+    """
+    beyond = np.setdiff1d(grams, pivot_grams, assume_unique=True)
+    lacking = np.setdiff1d(pivot_grams, grams, assume_unique=True)
+    return np.concatenate((np.sort(beyond), np.sort(lacking)))
+
+
 def difference_keys(grams: np.ndarray, pivot_grams: np.ndarray, pivot: int) -> np.ndarray:
     """Keys of a set by how it differs from a pivot.
 
     Let X and Y be the differences of two sets from the pivot. The sets differ from each other in |X| + |Y| - 2 |X & Y| elements,
-    so if that is at most k, X and Y share at least t = (|X| + |Y| - k) / 2 elements and their sizes are at most k
-    apart. Then, in an order that both follow, the first |X| - t + 1 elements of X and the first |Y| - t + 1
-    of Y have one in common. What a set has beyond the pivot comes first, as few others will have it. The keys are those
-    elements for every class of sizes that Y may be in, and one for the class itself where t may be 0.
+    so if that is at most k, |Y| is at least |X| - k, and X and Y share at least t = (|X| + |Y| - k) / 2 >= |X| - k
+    elements. In an order that both follow, the first |X| - t + 1 elements of X and the first |Y| - t + 1 of Y have one in common if t
+    is positive; the first k + 1 of each hold these. If t is not, X and Y have at most k elements each; sets that differ so
+    little from the pivot have one more key, the same for all.
     """
-    k = most_different(len(grams))
-    width = max(1, most_different(len(pivot_grams)) // 2)
-    beyond = np.setdiff1d(grams, pivot_grams, assume_unique=True)
-    lacking = np.setdiff1d(pivot_grams, grams, assume_unique=True)
-    own = np.concatenate((np.sort(beyond), np.sort(lacking)))
-    size, out = len(own), []
-    salt = mix(np.array([pivot], np.int64).view(np.uint64) * _ODD[1])[0]
-    for other in range(max(0, size - k) // width, (size + k) // width + 1):
-        shared = -((k - size - max(other * width, size - k)) // 2)  # t for the smallest Y of the class, rounded up
-        low, high = sorted((size // width, other))
-        place = mix(np.array([low * 1_000_003 + high], np.uint64) * _ODD[2] + salt)[0]
-        out.append(mix(own[:size - max(shared, 1) + 1] ^ place))
-        if shared <= 0:
-            out.append(mix(np.array([place], np.uint64) * _ODD[3]))
+    k, own = most_different(len(grams)), difference(grams, pivot_grams)
+    salt = mix(np.array([pivot], np.int64).view(np.uint64) * _ODD[1])
+    out = [mix(own[:k + 1] ^ salt)]
+    if len(own) <= k:
+        out.append(mix(salt * _ODD[3]))
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
@@ -305,36 +307,53 @@ def _other_side(info: DataFrame) -> DataFrame:
     return info.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
 
 
-def _by_differences(rows: DataFrame, stars: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
-    """rep, b: pairs of different components in large signatures that share a difference key and whose sketches allow a link.
+def _first_by(*order: str) -> Column:
+    """The pivot that is largest in `order`."""
+    return F.max(F.struct(*order, "pivot"))["pivot"].alias("pivot")
+
+
+def _few_pivots(rows: DataFrame, stars: DataFrame) -> DataFrame:
+    """sig, pivot: one pivot for each signature, such that a set meets few of them.
 
-    The sets of a signature need one pivot; so that a set differs from few, that is the pivot which most sets of the signature
-    share most signatures with.
+    Any pivot is right, as all sets of a signature take the same. Sets vote: a signature takes the pivot that most of its sets name. At
+    first a set names the pivot with which it shares most signatures, then the one of its signatures that most sets have, so
+    signatures with many sets in common come to share one.
     """
-    mine = Window.partitionBy("rep").orderBy(F.desc("times"), "pivot")
-    home = stars.withColumn("place", F.row_number().over(mine)).filter(F.col("place") == 1).select("rep", F.col("pivot").alias("home"))
-    at_home = rows.join(home, "rep", "left").withColumn("home", F.coalesce("home", "rep"))
-    most = Window.partitionBy("sig").orderBy(F.desc("times"), "home")
-    pivots = (at_home.groupBy("sig", "home").agg(F.count(F.lit(1)).alias("times")).withColumn("place", F.row_number().over(most))
-              .filter(F.col("place") == 1).select("sig", F.col("home").alias("pivot")))
-    members = rows.join(pivots, "sig").select("rep", "n", "component", "pivot").distinct()
+    names = stars.groupBy("rep").agg(_first_by("times"))
+    for vote in range(VOTES):
+        named = rows.select("sig", "rep").join(names, "rep", "left").withColumn("pivot", F.coalesce("pivot", "rep"))
+        counts = named.groupBy("sig", "pivot").agg(F.count(F.lit(1)).alias("times"))
+        chosen = session.staged(counts.groupBy("sig").agg(_first_by("times")), "pivots")
+        if vote + 1 < VOTES:
+            each = rows.select("sig", "rep").join(chosen, "sig").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("times"))
+            sets = each.groupBy("pivot").agg(F.count(F.lit(1)).alias("sets"))
+            names = session.staged(each.join(sets, "pivot").groupBy("rep").agg(_first_by("sets", "times")), "named-pivots")
+    return chosen
+
+
+def _by_differences(rows: DataFrame, stars: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
+    """rep, b: pairs of different components in large signatures that share a difference key and whose sketches allow a link."""
+    members = rows.join(_few_pivots(rows, stars), "sig").select("rep", "n", "component", "pivot").distinct()
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         x, c = ([np.array(v.as_py(), np.int64).view(np.uint64) for v in batch.column(i)] for i in (3, 4))
         keys = [difference_keys(*args) for args in zip(x, c, batch.column(2).to_pylist(), strict=True)]
-        return {"rep": batch.column(0), "component": batch.column(1), "keys": _lists(keys)}
+        return {"rep": batch.column(0), "component": batch.column(1), "apart": pa.array([len(difference(*pair)) for pair in zip(x, c, strict=True)], pa.int32()),
+                "keys": _lists(keys)}
 
     own, center = sets.toDF("rep", "grams"), sets.toDF("pivot", "grams_pivot")
     both = members.join(own, "rep").join(center, "pivot").select("rep", "component", "pivot", "grams", "grams_pivot")
-    keyed = map_batches(both, run, "rep long, component long, keys array<long>").select("rep", "component", F.explode("keys").alias("key"))
+    keyed = map_batches(both, run, "rep long, component long, apart int, keys array<long>").select("rep", "component", "apart", F.explode("keys").alias("key"))
     per = Window.partitionBy("key")
     shared = (keyed.withColumn("low", F.min("component").over(per)).withColumn("high", F.max("component").over(per))
-              .filter(F.col("low") != F.col("high")).select("key", "rep", "component").distinct())
+              .filter(F.col("low") != F.col("high")).select("key", "rep", "component", "apart").distinct())
     shared = session.staged(shared, "difference-keys").join(info, "rep")
-    other = shared.select("key", F.col("rep").alias("b"), F.col("component").alias("of_b"), F.col("n").alias("n_b"),
+    other = shared.select("key", F.col("rep").alias("b"), F.col("component").alias("of_b"), F.col("apart").alias("apart_b"), F.col("n").alias("n_b"),
                           *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
     fit = (F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM) & (F.col("component") != F.col("of_b")) & (F.col("rep") < F.col("b"))
-    return shared.join(other, (shared["key"] == other["key"]) & fit & _may_link()).select("rep", "b")
+    # sets that differ from the pivot by numbers too far apart differ from each other by more than links allow
+    size = F.abs(F.col("apart") - F.col("apart_b")) * (DEN + NUM) <= (F.col("n") + F.col("n_b")) * (DEN - NUM)
+    return shared.join(other, (shared["key"] == other["key"]) & fit & size & _may_link()).select("rep", "b")
 
 
 def _verified(pairs: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
