@@ -26,6 +26,26 @@ def publish(tables: dict[str, DataFrame], root: str, run_id: str) -> None:
     point(spark, root, version)
 
 
+def replace(tables: dict[str, DataFrame], root: str, run_id: str) -> None:
+    """Publish `tables` in place of those of the same names; the other tables of the current version go on as they are.
+
+    All of them change at once. A table may be derived from its own current version, as that stays where it is.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    kept = {name: read(spark, root, name) for name in table_names(spark, root) if name not in tables}
+    publish({**kept, **tables}, root, run_id)
+
+
+def table_names(spark: SparkSession, root: str) -> list[str]:
+    """The tables of the current version; none before the first publication."""
+    version = current_version(spark, root)
+    if version is None:
+        return []
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{version}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def fresh_version(run_id: str) -> str:
     """A folder name for this attempt of a run."""
     return f"{run_id}.{uuid.uuid4().hex[:12]}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ _LABELS = "label string, label_kind string, category string, confidence double,
 _TEMPLATES = ("template string, category string, issue_type string, severity string, is_safety_hazard boolean, "
               "confidence double, source string")
 
+_RULES = "check_id string, severity string, predicate string, threshold double"
+MOST_RULES = 10_000
+
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=_LABELS, escape='"', multiLine=True)
@@ -27,9 +32,29 @@ def read_labelled(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, escape='"', multiLine=True)
 
 
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Rule list: check_id, severity, predicate, threshold. A rule whose threshold is no number has none and is refused by `rule_list`."""
+    return spark.read.csv(path, header=True, schema=_RULES, escape='"', multiLine=True)
+
+
+def rule_list(rules: DataFrame) -> list[tuple[str, str, str, float]]:
+    """Rules as the gate takes them, by id. Rules are written by people; more than `MOST_RULES`, one id twice or an empty field are errors."""
+    rows = [tuple(r) for r in rules.select("check_id", "severity", "predicate", "threshold").limit(MOST_RULES + 1).collect()]
+    wrong = sorted({str(r[0]) for r in rows if None in r})
+    twice = sorted(n for n, k in Counter(r[0] for r in rows).items() if k > 1 and n is not None)
+    if wrong or twice or len(rows) > MOST_RULES:
+        raise ValueError(f"rules with empty fields {wrong}, listed twice {twice}, {len(rows)} rules read, {MOST_RULES} allowed")
+    return sorted(rows)
+
+
+def rule_frame(spark: SparkSession, checks: list[tuple]) -> DataFrame:
+    """A rule list as a table, to be exported."""
+    return spark.createDataFrame([(c, s, p, float(t)) for c, s, p, t in checks], _RULES)
+
+
 def read_episodes(spark: SparkSession, path: str) -> DataFrame:
-    schema = "task string, text string, agent_answer map<string,string>, human_answer map<string,string>"
-    return spark.read.schema(schema).json(path)
+    """Precedents as JSON lines: what was asked, what the agent said and what a person said."""
+    return spark.read.schema("task string, text string, agent_answer map<string,string>, human_answer map<string,string>").json(path)
 
 
 def taxonomy(spark: SparkSession) -> dict[str, DataFrame]:
@@ -62,4 +87,5 @@ def export_csv(df: DataFrame, key: str, path: str) -> None:
 
 
 def export_json(df: DataFrame, key: str, path: str) -> None:
-    df.orderBy(key).coalesce(1).write.mode("overwrite").json(path)
+    """JSON lines in order of the key, over as many files as the rows need: episodes and decisions grow with use."""
+    df.orderBy(key).write.mode("overwrite").json(path)

@@ -382,15 +382,36 @@ def bronze_summary(spark, sf):
 
 
 def reference_tables(spark, sf):
-    """The taxonomy, replaced as one set of tables; read by the pointer."""
+    """Who supplied which brand and which brands were returned together: first both from returned lines, then who supplied
+    replaced from all lines. What was not replaced stays."""
+    lines = T.table(spark, sf, "lineitem").join(T.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    supplied = lambda rows: rows.select(F.col("l_suppkey").cast("string").alias("a"), F.col("p_brand").alias("b")).distinct()
+    returned = lines.filter("l_returnflag = 'R'")
+    brands = returned.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("brands")).select("brands").distinct()
+    related = (brands.select("brands", F.explode("brands").alias("a")).select("a", F.explode("brands").alias("b")).filter("a < b").distinct())
     root = session.fresh_folder(spark, "reference")
-    for version in ("first", "second"):
-        publish.publish(refdata.taxonomy(spark), root, version)
-    parts = [publish.read(spark, root, name).select(F.lit(name).alias("name")) for name in ("categories", "keywords", "assignees", "related", "qualified")]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionAll(part)
-    return rows.groupBy("name").agg(F.count("*").alias("n"))
+    publish.publish({"supplied": supplied(returned), "related": related}, root, "first")
+    publish.replace({"supplied": supplied(lines)}, root, "second")
+    parts = [publish.read(spark, root, name).select(F.lit(name).alias("name"), "a", "b") for name in publish.table_names(spark, root)]
+    return parts[0].unionByName(parts[1])
+
+
+def gate_from_file(spark, sf):
+    """The gate with rules that were written to a file and read again."""
+    path = session.fresh_folder(spark, "rules")
+    refdata.export_csv(refdata.rule_frame(spark, fv.DQ_CHECKS), "check_id", path)
+    return _plain(rules.gate_results(_tickets(spark, sf), refdata.rule_list(refdata.read_rules(spark, path)), AS_OF))
+
+
+def episode_files(spark, sf):
+    """Documents as precedents, written as JSON lines and read again: texts with any character, answers with gaps."""
+    path = session.fresh_folder(spark, "episodes")
+    answer = lambda name: F.create_map(F.lit(name), F.col(name))
+    docs = T.table(spark, sf, "documents")
+    refdata.export_json(docs.select(F.lit("origin").alias("task"), "text", answer("lang").alias("agent_answer"), answer("source").alias("human_answer")), "text", path)
+    rows = refdata.read_episodes(spark, path).select("task", F.md5("text").alias("text_md5"), F.try_element_at("agent_answer", F.lit("lang")).alias("lang"),
+                                                     F.try_element_at("human_answer", F.lit("source")).alias("source"))
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
 
 
 def gate_latest(spark, sf):
@@ -676,6 +697,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landing_repeat": landing_repeat,
         "bronze_summary": bronze_summary,
         "reference_tables": reference_tables,
+        "gate_from_file": gate_from_file,
+        "episode_files": episode_files,
         "row_hashes": row_hashes,
         "repeated_rows": repeated_rows,
         # text, similarity
