@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerwright.operators import metrics
+
 
 def _context(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -13,27 +15,31 @@ def _context(spark: SparkSession, path: str):
     return jvm, jvm.org.apache.hadoop.fs.FileContext.getFileContext(jvm.java.net.URI(path) if "://" in path else jvm.java.net.URI("file:///"), conf)
 
 
-def publish(tables: dict[str, DataFrame], root: str, run_id: str) -> None:
+def publish(tables: dict[str, DataFrame], root: str, run_id: str) -> dict[str, int]:
     """Write all tables to a folder that nobody has read yet, then move root/CURRENT there in one rename.
 
     Readers see the old set until the rename; a failure before it leaves them untouched. A repeat of a published run
-    gets a folder of its own, so nobody who still reads the first one is disturbed.
+    gets a folder of its own, so nobody who still reads the first one is disturbed. Returns the rows of each table, as written.
     """
     spark = next(iter(tables.values())).sparkSession
     version = fresh_version(run_id)
+    counts = {}
     for name, df in tables.items():
-        df.write.parquet(f"{root}/{version}/{name}")
+        out, seen = metrics.watched(df, name)
+        out.write.parquet(f"{root}/{version}/{name}")
+        counts[name] = seen.get["rows"]
     point(spark, root, version)
+    return counts
 
 
-def replace(tables: dict[str, DataFrame], root: str, run_id: str) -> None:
+def replace(tables: dict[str, DataFrame], root: str, run_id: str) -> dict[str, int]:
     """Publish `tables` in place of those of the same names; the other tables of the current version go on as they are.
 
     All of them change at once. A table may be derived from its own current version, as that stays where it is.
     """
     spark = next(iter(tables.values())).sparkSession
     kept = {name: read(spark, root, name) for name in table_names(spark, root) if name not in tables}
-    publish({**kept, **tables}, root, run_id)
+    return publish({**kept, **tables}, root, run_id)
 
 
 def table_names(spark: SparkSession, root: str) -> list[str]:

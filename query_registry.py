@@ -17,7 +17,7 @@ from layerwright import fixed_values as fv
 from layerwright import session
 from layerwright.functions import clean, guard
 from layerwright.operators import dedup, enrich, evaluate, metrics, people, profile, review, rules, similarity
-from layerwright.plans import gold, publish, reports, silver
+from layerwright.plans import gold, publish, reports, run, silver
 from layerwright.sources import landing, refdata
 from layerwright.sources import tickets as T
 from layerwright.streaming import relay, tables
@@ -396,6 +396,15 @@ def reference_tables(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def stage_runs(spark, sf):
+    """Null rates of the silver tickets and their rows, noted by the write and logged; read from the log."""
+    root = session.fresh_folder(spark, "stage")
+    out, seen = metrics.watched(built(spark, sf).tickets, "tickets", fv.NULL_RATE_COLUMNS)
+    out.write.parquet(f"{root}/tickets")
+    run.log(spark, root, "stage_runs", "r1", "silver", "succeeded", {**metrics.watched_rates(seen.get), "rows": float(seen.get["rows"])})
+    return spark.read.parquet(f"{root}/stage_runs").select("run_id", "stage", "status", F.explode("metrics").alias("metric", "value"))
+
+
 def gate_from_file(spark, sf):
     """The gate with rules that were written to a file and read again."""
     path = session.fresh_folder(spark, "rules")
@@ -698,6 +707,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_summary": bronze_summary,
         "reference_tables": reference_tables,
         "gate_from_file": gate_from_file,
+        "stage_runs": stage_runs,
         "episode_files": episode_files,
         "row_hashes": row_hashes,
         "repeated_rows": repeated_rows,

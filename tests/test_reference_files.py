@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from layerwright.operators import metrics
 from layerwright.plans import publish
 from layerwright.sources import refdata
 
@@ -36,3 +38,16 @@ def test_episodes_come_back_in_order(spark, tmp_path):
     assert set(back) == {None, "a", rows[0][1]} and back["a"].agent_answer is None
     assert back[rows[0][1]].agent_answer == {"k": "1"} and not (back[rows[0][1]].human_answer or {}).get("k")
     assert back[None].agent_answer == {"k": ""} and back[None].human_answer == {"l": "é"}
+
+
+def test_numbers_come_from_the_write(spark, tmp_path):
+    rows = spark.createDataFrame([(i, None if i % 3 == 0 else "x", None) for i in range(40)], "k long, a string, b string").repartition(7)
+    out, seen = metrics.watched(rows, "t", ["a", "b"], even=F.col("k") % 2 == 0)
+    out.write.parquet(str(tmp_path / "t"))
+    assert seen.get["rows"] == 40 and seen.get["even"] == 20
+    want = {r["column"]: r.null_rate for r in metrics.null_rates(spark.read.parquet(str(tmp_path / "t")), ["a", "b"]).collect()}
+    assert metrics.watched_rates(seen.get) == want == {"a": 0.35, "b": 1.0}
+    out, seen = metrics.watched(rows.filter("k < 0"), "none", ["a"])
+    out.write.parquet(str(tmp_path / "none"))
+    assert seen.get["rows"] == 0 and metrics.watched_rates(seen.get) == {"a": 0.0}
+    assert publish.publish({"x": rows, "y": rows.limit(0)}, str(tmp_path / "p"), "r") == {"x": 40, "y": 0}
