@@ -82,6 +82,19 @@ def replay_batch(path: str, derive: Callable[[DataFrame], DataFrame], history: C
     return batch
 
 
+def landed_replay_batch(landed: str, path: str, derive: Callable[[DataFrame], DataFrame], month: str = "created_month") -> Callable:
+    """foreachBatch: land the batch, then re-derive the months it touches from all rows landed so far.
+
+    Landed rows lie in one folder per month and batch, so the filter on months prunes folders: a replay reads the touched
+    months alone, however long the history. A repeated batch replaces its own folders.
+    """
+    def batch(df: DataFrame, epoch: int) -> None:
+        rows = df.withColumn("epoch", F.lit(epoch))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month, "epoch").parquet(landed))
+        replay_batch(path, derive, lambda spark: spark.read.schema(rows.schema).parquet(landed).drop("epoch"), month)(df, epoch)
+    return batch
+
+
 def fingerprint_batch(path: str, out: str) -> Callable:
     """foreachBatch: known content points to its first ticket; new content is remembered.
 

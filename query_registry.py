@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DecimalType
 
@@ -593,6 +593,36 @@ def stream_upsert(spark, sf):
     return tables.latest(spark, table)
 
 
+def _delivered(spark: SparkSession, name: str, rows: DataFrame, lot: Column, lots: int, batch: Callable) -> None:
+    """Hand `rows` to `batch` in lots that arrive one after the other; the stream resumes from its checkpoint for each."""
+    source, mark = session.fresh_folder(spark, name), session.fresh_folder(spark, f"{name}-checkpoint")
+    for i in range(lots):
+        rows.filter(lot == i).write.mode("append").parquet(source)
+        (spark.readStream.schema(rows.schema).parquet(source).writeStream.foreachBatch(batch).option("checkpointLocation", mark)
+         .trigger(availableNow=True).start().awaitTermination())
+
+
+def stream_replay(spark, sf):
+    """Monthly figures of events of which a tenth arrives late; late rows change the months they belong to."""
+    landed_, out = session.fresh_folder(spark, "landed-by-month"), session.fresh_folder(spark, "months")
+    events = T.table(spark, sf, "events").select("event_id", "user_id", "ts", F.date_format("ts", "yyyyMM").cast("int").alias("created_month"))
+    derive = lambda rows: rows.groupBy("created_month").agg(
+        F.count("*").alias("events"), F.countDistinct("user_id").alias("users"), F.max("event_id").alias("last_event"))
+    _delivered(spark, "late-events", events, F.when(F.col("event_id") % 10 == 3, 1).otherwise(0), 2,
+               tables.landed_replay_batch(landed_, out, derive))
+    return spark.read.parquet(out)
+
+
+def stream_fingerprints(spark, sf):
+    """Documents in three lots; each copy points to the lowest document of its content that had arrived by then."""
+    seen, out = session.fresh_folder(spark, "fingerprints"), session.fresh_folder(spark, "fingerprint-copies")
+    docs = T.table(spark, sf, "documents").filter(F.col("text").isNotNull()).select(
+        F.col("doc_id").alias("bronze_id"), F.col("doc_id").cast("string").alias("ticket_id"), F.col("doc_id").alias("ticket_number"),
+        F.sha2("text", 256).alias("fingerprint"))
+    _delivered(spark, "documents", docs, F.col("bronze_id") % 3, 3, tables.fingerprint_batch(seen, out))
+    return spark.read.schema("ticket_id string, survivor_ticket_id string, fingerprint string").parquet(out)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def of(fn):  # a query over the silver tickets
         return lambda spark, sf: _plain(fn(_tickets(spark, sf)))
@@ -754,6 +784,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_relay": stream_relay,
         "stream_dedup": stream_dedup,
         "stream_upsert": stream_upsert,
+        "stream_replay": stream_replay,
+        "stream_fingerprints": stream_fingerprints,
     }
 
 

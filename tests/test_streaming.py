@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from layerwright.sources import landing
@@ -80,3 +82,19 @@ def test_upsert_replay_and_fingerprints(spark, tmp_path):
     got = {(r.ticket_id, r.survivor_ticket_id) for r in spark.read.parquet(found).collect()}
     assert got == {("T9", "T1"), ("T5", "T4")} and spark.read.parquet(fp).select("fingerprint").distinct().count() == 3
     assert spark.read.parquet(found).count() == 2
+
+
+def test_replay_reads_the_touched_months_only(spark, tmp_path):
+    landed, out = str(tmp_path / "landed"), str(tmp_path / "months")
+    batch = tables.landed_replay_batch(landed, out, lambda d: d.groupBy("created_month").agg(F.sum("x").alias("x")))
+    cols = "created_month string, x int"
+    batch(spark.createDataFrame([("2024-01", 1), ("2024-01", 2), ("2024-02", 7), (None, 5)], cols), 0)
+    assert {r.created_month: r.x for r in spark.read.parquet(out).collect()} == {"2024-01": 3, "2024-02": 7}
+    for _ in range(2):  # a repeated batch changes nothing
+        batch(spark.createDataFrame([("2024-01", 10), ("2024-03", 4)], cols), 1)
+    assert {r.created_month: r.x for r in spark.read.parquet(out).collect()} == {"2024-01": 13, "2024-02": 7, "2024-03": 4}
+    batch(spark.createDataFrame([], cols), 2)
+    assert spark.read.parquet(out).count() == 3
+    # the filter of a replay selects folders, not rows
+    plan = spark.read.schema(cols).parquet(landed).filter(F.col("created_month").isin("2024-01", "2024-03"))._jdf.queryExecution().executedPlan()
+    assert re.search(r"PartitionFilters: \[[^]]*created_month#\d+ IN", plan.toString())
