@@ -620,7 +620,7 @@ def stream_fingerprints(spark, sf):
         F.col("doc_id").alias("bronze_id"), F.col("doc_id").cast("string").alias("ticket_id"), F.col("doc_id").alias("ticket_number"),
         F.sha2("text", 256).alias("fingerprint"))
     _delivered(spark, "documents", docs, F.col("bronze_id") % 3, 3, tables.fingerprint_batch(seen, out))
-    return spark.read.schema("ticket_id string, survivor_ticket_id string, fingerprint string").parquet(out)
+    return spark.read.schema("ticket_id string, survivor_ticket_id string, fingerprint string").parquet(out).drop("epoch")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
