@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,6 +14,8 @@ from layerwright.functions import clean
 
 # sets of one token that meet in one cell of its grid
 SPLIT = 5_000
+# 64-bit words of the parity maps that bound an overlap before a pair leaves the join
+WORDS = 32
 
 
 def token_sets(df: DataFrame, text: str) -> DataFrame:
@@ -27,19 +31,32 @@ def distinct_sets(df: DataFrame) -> DataFrame:
     return df.groupBy("set_id").agg(F.min("kind").alias("kind"), F.min("tokens").alias("tokens"))
 
 
+def _parity(ids: Column, word: int) -> Column:
+    """One word of a set's parity map: each token flips one bit of one word."""
+    own = F.filter(ids, lambda t: F.pmod(F.shiftright(t, 6), F.lit(WORDS)) == word)
+    return F.aggregate(own, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(t, F.lit(64)).cast("int"))))
+
+
 def _narrow(sets: DataFrame) -> DataFrame:
-    """Sets by a short id, with 64-bit token ids."""
+    """Sets by a short id, with 64-bit token ids and their parity map."""
     ids = F.transform("tokens", lambda t: F.xxhash64(t))  # noqa: PLW0108
-    return sets.select("set_id", "kind", F.unhex(F.substring("set_id", 1, 32)).alias("id"), F.size("tokens").alias("n"), ids.alias("ids"))
+    rows = sets.select("set_id", "kind", F.unhex(F.substring("set_id", 1, 32)).alias("id"), F.size("tokens").alias("n"),
+                       F.explode(F.array(ids)).alias("ids"))  # hashed once, see token_sets
+    return rows.select("*", F.struct(*[_parity(F.col("ids"), w).alias(f"m{w}") for w in range(WORDS)]).alias("map"))
+
+
+def _apart(a: str, b: str) -> Column:
+    """At most as many as the tokens that only one of two sets has: a bit differs only where one of those flipped it."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(a)[f"m{w}"].bitwiseXOR(F.col(b)[f"m{w}"])) for w in range(WORDS)])
 
 
 def _prefix(sets: DataFrame, rarity: DataFrame, threshold: float) -> DataFrame:
     """The rarest tokens of each set, enough that two sets with the wanted overlap must share one."""
-    words = sets.select("id", "kind", "n", F.explode("ids").alias("token"))
+    words = sets.select("id", "kind", "n", "map", F.explode("ids").alias("token"))
     ranked = words.join(rarity, ["kind", "token"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "token"))
     keep = F.col("n") - F.ceil(F.col("n") * threshold - F.lit(1e-9)) + 1
-    return ranked.withColumn("r", rank).filter(F.col("r") <= keep).select("id", "kind", "n", "r", "token", "df")
+    return ranked.withColumn("r", rank).filter(F.col("r") <= keep).select("id", "kind", "n", "map", "r", "token", "df")
 
 
 def _cells(rows: DataFrame, own: str, other: str) -> DataFrame:
@@ -49,24 +66,33 @@ def _cells(rows: DataFrame, own: str, other: str) -> DataFrame:
     return rows.withColumn(own, F.pmod(F.xxhash64("id"), parts)).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("df")
 
 
+def _candidates(probe: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
+    """pid, iid: the pairs that lengths, places and parity maps leave, each once."""
+    rarity = index.select("kind", F.explode("ids").alias("token")).groupBy("kind", "token").agg(F.count("*").alias("df"))
+    p = _cells(_prefix(probe, rarity, threshold), "a", "b").select(
+        F.col("id").alias("pid"), "kind", "token", "a", "b", F.col("n").alias("pn"), F.col("r").alias("pr"), F.col("map").alias("pm"))
+    i = _cells(_prefix(index, rarity, threshold), "b", "a").select(
+        F.col("id").alias("iid"), "kind", "token", "a", "b", F.col("n").alias("i_n"), F.col("r").alias("ir"), F.col("map").alias("im"))
+    lengths = (F.col("pn") >= F.col("i_n") * threshold) & (F.col("i_n") >= F.col("pn") * threshold)
+    needed = F.ceil((F.col("pn") + F.col("i_n")) * (threshold / (1 + threshold)) - F.lit(1e-9))
+    left_over = 1 + F.least(F.col("pn") - F.col("pr"), F.col("i_n") - F.col("ir"))
+    # |both| - 2 |common| tokens stand on one side only, so the maps prove of most pairs that too few are common
+    enough = (F.col("pn") + F.col("i_n") - _apart("pm", "im")) >= 2 * needed
+    met = p.join(i, ["kind", "token", "a", "b"]).filter(lengths & (left_over >= needed) & enough)
+    return met.select("pid", "iid").distinct()
+
+
 def similar_sets(probe: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
     """probe_id, index_id, similarity for all pairs of distinct sets of one kind with Jaccard >= threshold.
 
     Pairs come from an equality join on rare tokens (prefix filter) with two conditions: the lengths can
     reach the threshold, and so can the tokens left from the match on (both sides are in the same order,
     so the first common token of a wanted pair always passes). A token that many sets hold is split over a grid of
-    tasks. Each candidate is then measured by its token ids.
+    tasks. Parity maps, which every prefix row carries, drop most pairs inside the join, before anything is written for them. Each
+    pair left is then measured by its token ids.
     """
     probe, index = _narrow(probe), _narrow(index)
-    rarity = index.select("kind", F.explode("ids").alias("token")).groupBy("kind", "token").agg(F.count("*").alias("df"))
-    p = _cells(_prefix(probe, rarity, threshold), "a", "b").select(
-        F.col("id").alias("pid"), "kind", "token", "a", "b", F.col("n").alias("pn"), F.col("r").alias("pr"))
-    i = _cells(_prefix(index, rarity, threshold), "b", "a").select(
-        F.col("id").alias("iid"), "kind", "token", "a", "b", F.col("n").alias("i_n"), F.col("r").alias("ir"))
-    lengths = (F.col("pn") >= F.col("i_n") * threshold) & (F.col("i_n") >= F.col("pn") * threshold)
-    needed = F.ceil((F.col("pn") + F.col("i_n")) * (threshold / (1 + threshold)) - F.lit(1e-9))
-    left_over = 1 + F.least(F.col("pn") - F.col("pr"), F.col("i_n") - F.col("ir"))
-    pairs = p.join(i, ["kind", "token", "a", "b"]).filter(lengths & (left_over >= needed)).select("pid", "iid").distinct()
+    pairs = _candidates(probe, index, threshold)
     left = probe.select(F.col("id").alias("pid"), F.col("set_id").alias("probe_id"), F.col("ids").alias("pt"))
     right = index.select(F.col("id").alias("iid"), F.col("set_id").alias("index_id"), F.col("ids").alias("it"))
     common = F.explode(F.array(F.size(F.array_intersect("pt", "it")))).alias("common")  # measured once, see token_sets

@@ -22,6 +22,17 @@ def test_hot_tokens_lose_no_pair(spark, monkeypatch, split, threshold):
     assert got == want
 
 
+def test_pairs_with_too_few_common_tokens_stay_inside_the_join(spark):
+    """Long sets of one vocabulary share rare tokens, but no two of them enough; only planted near copies come out."""
+    rng = random.Random(5)
+    words = ["w" + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(1500)]
+    texts = [rng.sample(words, 300) for _ in range(60)]
+    texts += [t[:290] + rng.sample(words, 5) for t in texts[:4]]
+    df = spark.createDataFrame([(" ".join(t), "x") for t in texts], "text string, kind string")
+    sets = similarity._narrow(similarity.distinct_sets(similarity.token_sets(df, "text")))
+    assert similarity._candidates(sets, sets, 0.5).count() == len(texts) + 2 * 4
+
+
 def test_cells_bound_what_meets(spark, monkeypatch):
     monkeypatch.setattr(similarity, "SPLIT", 50)
     rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit("hot").alias("token"), F.lit(3000).alias("df"))
