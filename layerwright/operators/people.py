@@ -28,8 +28,9 @@ def people_map(rows: DataFrame, name: str = "submitted_by", row_id: str = "bronz
                  .withColumn("expanded", clean.expand_nickname(F.col("first")))
                  .withColumn("display", F.when(F.col("first").isNotNull(), F.initcap("text"))))
     person = F.concat_ws("\u001f", F.substring("expanded", 1, 1), F.lower(F.element_at("parts", -1)))
-    keyed = spellings.withColumn("key", F.when(F.col("first").isNotNull(), person)
-                                 .otherwise(F.concat(F.lit("\u0000"), F.col("raw_name"))))
+    # the key mentions the count too: the join below wants it not null, which would be asked of every row
+    keyed = spellings.withColumn("key", F.when(used & F.col("first").isNotNull(), person)
+                                 .when(used, F.concat(F.lit("\u0000"), F.col("raw_name"))))
     displays = (keyed.filter(F.when(used, F.length("first")) > 1).groupBy("key", "display")
                 .agg(F.sum("uses").alias("n"), F.min("first_row").alias("first_row"),
                      F.min("expanded").alias("lo"), F.max("expanded").alias("hi")))

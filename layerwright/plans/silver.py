@@ -167,6 +167,8 @@ def build(raw: DataFrame, labels: DataFrame, templates: DataFrame, run_id: str =
 
     names = people.people_map(valid).select("raw_name", F.col("submitted_by").alias("submitter"),
                                             "submitter_flag", "uses")
+    # a row for each spelling: the look at its size and the join both read it
+    names = session.staged(names, "people") if stage else names
     rows = _typed(enriched(valid, raw, labels, templates))
     rows = skew.lookup_join(rows, names, F.col("submitted_by"), "raw_name", "uses", F.col("bronze_id"),
                             skew.fits(names))

@@ -47,7 +47,7 @@ def _plain(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ derived tables
 def landed(spark: SparkSession, sf: str) -> DataFrame:
     return _once(spark, sf, "landed", lambda: session.staged(
-        session.spread(T.raw_tickets(T.table(spark, sf, "orders"))), "landed"))
+        T.raw_tickets(session.spread(T.table(spark, sf, "orders"))), "landed"))
 
 
 def built(spark: SparkSession, sf: str) -> silver.Silver:
