@@ -70,7 +70,7 @@ def _anchors(names: DataFrame) -> DataFrame:
     whole = F.length("needed") < ANCHOR
     pieces = names.select("name", "needed", F.explode(F.when(whole, F.array("needed")).otherwise(_pieces(F.col("needed"), [ANCHOR]))).alias("anchor"))
     uses = pieces.groupBy("anchor").agg(F.count("*").alias("uses"))
-    return (pieces.join(uses, "anchor").groupBy("name", "needed").agg(F.min(F.struct("uses", "anchor"))["anchor"].alias("anchor"))
+    return (pieces.join(uses.hint("merge"), "anchor").groupBy("name", "needed").agg(F.min(F.struct("uses", "anchor"))["anchor"].alias("anchor"))
             .select("anchor", "name", "needed"))
 
 
@@ -85,6 +85,8 @@ def with_template(rows: DataFrame, names: DataFrame, text: str = "description",
     """
     texts = (rows.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count("*").alias("uses"))
              .withColumn("text_id", F.sha2("text", 256)))
+    # the pieces and the masking both read the distinct texts: found once
+    texts = session.staged(texts, "texts")
     keyed = session.staged(_anchors(names.filter(F.length("name") > 0).select("name", _needed(F.col("name")).alias("needed")).distinct()), "names")
     # names that are pieces of the placeholder itself: their letters bound how many there can be of a length
     always = sorted(r[0] for r in keyed.filter("needed = ''").select("name").collect())
@@ -95,12 +97,15 @@ def with_template(rows: DataFrame, names: DataFrame, text: str = "description",
     sizes = [r[0] for r in anchors.select(F.length("anchor")).distinct().collect()]
     pieces = (texts.select("text_id", F.explode(_pieces(F.lower("text"), sizes)).alias("anchor")) if sizes
               else texts.limit(0).select("text_id", F.lit("").alias("anchor")))
-    met = pieces.join(F.broadcast(anchors) if skew.fits(anchors) else anchors, "anchor")
+    met = pieces.join(F.broadcast(anchors) if skew.fits(anchors) else anchors.hint("merge"), "anchor")
     per_text = met.groupBy("text_id").agg(F.collect_set(_entry(F.col("name"), F.col("needed"))).alias("entries"))
     there = F.filter(F.coalesce("entries", F.array().cast(entry_type)), lambda e: F.contains(F.lower("text"), e["needed"]))
     entries = F.array_distinct(F.concat(there, fixed))
-    masked = (texts.join(per_text, "text_id", "left")
+    # merge: a table that is small when packed is many times that as a list of names in one process
+    masked = (texts.join(per_text.hint("merge"), "text_id", "left")
               .select("text", "uses", clean.mask_variables(_mask(F.col("text"), _longest_first(entries))).alias(out)))
+    # three steps of the join read it: masked once
+    masked = session.staged(masked, "masked")
     joined = skew.spread_join(rows, masked, F.col(text), "text", "uses", F.col(row_id))
     return joined.withColumn(out, F.coalesce(out, F.lit("")))
 
