@@ -72,3 +72,9 @@ def test_long_white_space(spark, run):
     for r in got:
         if len(texts[r.k]) < 100_000:
             assert r.ids == encoder.encode(texts[r.k], disallowed_special=())
+
+
+def test_encoding_and_decoding_are_not_stages_of_one_task(spark):
+    from layerwright.llm import queries
+    plan = queries.op9_chunked_bpe(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # each one is a Python process beside the others of its task
