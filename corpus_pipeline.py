@@ -42,7 +42,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of the ids and of the bytes they decode to."""
     words = vocabulary(prepared(spark))
-    decoded = bpe.decode(bpe.encode(docs, words, "doc_id", "text"), words, "ids")
+    # kept in between: a task then has one Python process at a time, not one that encodes and one that decodes
+    coded = session.staged(bpe.encode(docs, words, "doc_id", "text"), "token-ids")
+    decoded = bpe.decode(coded, words, "ids")
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2(F.col("bytes"), 256).alias("decoded_sha256"))

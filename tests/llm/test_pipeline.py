@@ -101,3 +101,10 @@ def test_unusual_rows_pass_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_tokens_are_kept_before_they_are_decoded(spark):
+    docs = spark.createDataFrame([(1, "one text"), (2, None)], "doc_id long, text string")
+    coded = corpus_pipeline.tokens(spark, docs, SF)
+    assert coded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: r.n_tokens for r in coded.collect()}[2] == 0
