@@ -215,12 +215,10 @@ def join(docs: DataFrame, key: str, text: str) -> DataFrame:
         sets = [shingles(t) for t in batch.column(1).to_pylist()]
         return {"id": batch.column(0), "n": pa.array([len(s) for s in sets], pa.int64()),
                 "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                "sketch": _lists([sketch(s) for s in sets])}
+                "sketch": _lists([sketch(s) for s in sets]), "sigs": _lists([signatures(s) for s in sets])}
 
-    def signed(batch: pa.RecordBatch) -> dict[str, object]:
-        return {"id": batch.column(0), "sigs": _lists([signatures(shingles(t)) for t in batch.column(1).to_pylist()])}
-
-    sizes = session.staged(map_batches(rows, sized, "id long, n long, digest binary, sketch array<long>"), "set-sizes")
+    # one pass over the texts: sizes and signatures come from the same sets
+    sizes = session.staged(map_batches(rows, sized, "id long, n long, digest binary, sketch array<long>, sigs array<long>"), "set-sizes")
     known = sizes.filter(F.col("id").isNotNull() & (F.col("n") > 0))
     # equal sets stand for one: the smallest id among them
     first = known.groupBy("digest").agg(F.min("id").alias("rep"))
@@ -230,7 +228,7 @@ def join(docs: DataFrame, key: str, text: str) -> DataFrame:
                           .select("rep", "n", "digest", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)])
                           .dropDuplicates(["rep", "digest"]).drop("digest"), "set-sketches")
 
-    each = map_batches(rows.filter(F.col("id").isNotNull()), signed, "id long, sigs array<long>").select("id", F.explode("sigs").alias("sig"))
+    each = sizes.filter(F.col("id").isNotNull()).select("id", F.explode("sigs").alias("sig"))
     shared = each.withColumn("other", F.min("id").over(Window.partitionBy("sig"))).withColumn(
         "last", F.max("id").over(Window.partitionBy("sig"))).filter(F.col("other") != F.col("last")).select("sig", "id")
     met = session.staged(shared, "shared-signatures")

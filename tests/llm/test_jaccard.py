@@ -152,3 +152,13 @@ def test_empty_table_and_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99), (7, 7)], "a long, b long")
     found = {r.node: r.component for r in components(chain).collect()}
     assert found == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
+
+
+def test_texts_are_hashed_once_for_sizes_and_signatures(spark, monkeypatch):
+    """The texts are read by one pass over all of them and one over those that share a signature."""
+    seen, plain = [], jaccard.map_batches
+    monkeypatch.setattr(jaccard, "map_batches", lambda df, fn, schema: seen.append(schema) or plain(df, fn, schema))
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(docs, "doc_id", "text").collect()}
+    assert found == {1: (2, 1), 2: (2, 1), 3: (0, 3)}
+    assert sum("sigs" in s or "sketch" in s for s in seen) == 1
