@@ -6,10 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwright import fixed_values as fv
+from layerwright import session
 from layerwright.functions import clean
 from layerwright.operators import skew
 
 
+# Up to this many 64-bit hashes of repeated keys, rows of all other keys are told apart before anything wide is sorted.
+REPEATED_KEYS = 2_000_000
+
+
+def _repeated(rows: DataFrame, key: str) -> DataFrame | None:
+    """Hashes of the keys that several rows have, to be broadcast; None if there are too many. A key that only one row has
+    may share such a hash, so what is taken for repeated is still to be counted by the key itself."""
+    codes = rows.select(F.xxhash64(key).alias("_code")).groupBy("_code").agg(F.count("*").alias("n")).filter("n > 1").select("_code")
+    codes = session.staged(codes, f"repeated-{key.replace('_', '-')}")
+    return codes if codes.limit(REPEATED_KEYS + 1).count() <= REPEATED_KEYS else None
+
+
+def _of_repeated(rows: DataFrame, key: str, codes: DataFrame, how: str = "left_semi") -> DataFrame:
+    return rows.withColumn("_code", F.xxhash64(key)).join(F.broadcast(codes), "_code", how).drop("_code")
+
+
 def fingerprint(values: Column) -> Column:
     return F.sha2(F.array_join(values, "\u001f"), 256)
 
@@ -27,9 +44,15 @@ def narrow(valid: DataFrame) -> DataFrame:
 
 def latest_per_id(slim: DataFrame) -> DataFrame:
     """D1: the row that landed last per ticket id. A plain maximum, so the map side already reduces an id
-    that was delivered very often to one row per task."""
-    newest = F.max(F.struct("bronze_id", "ticket_number", "fingerprint", "content")).alias("w")
-    return slim.groupBy("ticket_id").agg(newest).select("ticket_id", "w.*")
+    that was delivered very often to one row per task. A maximum of whole rows sorts them, so ids that came once
+    are left out of it."""
+    columns = ["bronze_id", "ticket_number", "fingerprint", "content"]
+    codes = _repeated(slim, "ticket_id")
+    several = slim if codes is None else _of_repeated(slim, "ticket_id", codes)
+    newest = several.groupBy("ticket_id").agg(F.max(F.struct(*columns)).alias("w")).select("ticket_id", "w.*")
+    if codes is None:
+        return newest
+    return newest.unionByName(_of_repeated(slim, "ticket_id", codes, "left_anti").select("ticket_id", *columns))
 
 
 def superseded(slim: DataFrame, latest: DataFrame) -> DataFrame:
@@ -46,7 +69,10 @@ def value_frequencies(latest: DataFrame) -> DataFrame:
 
 
 def repeated_content(latest: DataFrame) -> DataFrame:
-    """One row per fingerprint that occurs more than once, with the survivor (lowest number, then row)."""
+    """One row per fingerprint that occurs more than once, with the survivor (lowest number, then row). Content that
+    occurs once stays out of the sort behind the minimum."""
+    codes = _repeated(latest, "fingerprint")
+    latest = latest if codes is None else _of_repeated(latest, "fingerprint", codes)
     keep = F.min(F.struct("ticket_number", "bronze_id", "ticket_id")).alias("keep")
     return (latest.groupBy("fingerprint").agg(F.count("*").alias("copies"), keep, F.min("content").alias("content"))
             .filter(F.col("copies") > 1))
