@@ -134,18 +134,20 @@ def hours_2dp(seconds: Column) -> Column:
 
 
 # ------------------------------------------------------------------ numbers
-def _bare(text: Column) -> Column:
+def bare_amount(text: Column) -> Column:
+    """Without currency sign and separators."""
     return strip(F.regexp_replace(text, r"[$,_]", ""))
 
 
-def cost_value(text: Column) -> Column:
-    """DECIMAL(12,2), half to even; NULL for sentinels, implausible amounts and other text."""
-    amount = F.when(_bare(text).rlike(_PLAIN_NUMBER), _bare(text)).try_cast("decimal(38,10)")
+def cost_value(text: Column, bare: Column | None = None) -> Column:
+    """DECIMAL(12,2), half to even; NULL for sentinels, implausible amounts and other text. `bare`: the bare amount, if it is a column."""
+    bare = bare_amount(text) if bare is None else bare
+    amount = F.when(bare.rlike(_PLAIN_NUMBER), bare).try_cast("decimal(38,10)")
     return F.when(amount.between(0, fv.MAX_PLAUSIBLE_COST), F.bround(amount, 2)).cast("decimal(12,2)")
 
 
-def cost_flag(text: Column) -> Column:
-    bare = _bare(text)
+def cost_flag(text: Column, bare: Column | None = None) -> Column:
+    bare = bare_amount(text) if bare is None else bare
     return (
         F.when(text.isNull(), F.lit(None).cast("string"))
         .when(bare.rlike(_INFINITE), F.when(F.startswith(bare, F.lit("-")), "cost_negative_sentinel")
@@ -206,7 +208,9 @@ def mask_variables(text: Column) -> Column:
 
 
 def floor_number(text: Column) -> Column:
-    return F.regexp_substr(F.regexp_substr(text, F.lit(fv.FLOOR)), F.lit(r"\d{1,3}")).cast("int")
+    # the plain search goes first: most texts name no floor
+    named = F.when(F.contains(F.lower(text), F.lit("floor")), text)
+    return F.regexp_substr(F.regexp_substr(named, F.lit(fv.FLOOR)), F.lit(r"\d{1,3}")).cast("int")
 
 
 def room_name(text: Column) -> Column:

@@ -32,13 +32,13 @@ def fingerprint(values: Column) -> Column:
 
 
 def narrow(valid: DataFrame) -> DataFrame:
-    """What the decisions need of a valid row: id, number, and the cleaned lower-case values of the
-    fields a re-submission does not change."""
+    """What the decisions need of a valid row: id, number, the ticket that its note names, and the cleaned lower-case
+    values of the fields a re-submission does not change."""
     fields = {f"c_{f}": f for f in fv.FINGERPRINT_FIELDS}
     rows = clean.with_clean(valid.withColumn("tid", clean.ticket_id(F.col("ticket_id"))), fields)
     content = F.array(*[F.coalesce(F.lower(c), F.lit("")) for c in fields])
     return (rows.select("bronze_id", F.col("tid").alias("ticket_id"), clean.ticket_number(F.col("tid")).alias("ticket_number"),
-                        content.alias("content"))
+                        clean.duplicate_reference(F.col("c_resolution_notes")).alias("duplicate_of_ticket_id"), content.alias("content"))
             .withColumn("fingerprint", fingerprint(F.col("content"))))
 
 
@@ -111,6 +111,11 @@ def content_outcomes(latest: DataFrame, safety_bits: float = fv.DEDUP_SAFETY_BIT
         F.when(~F.col("merge"), "possible_duplicate").when(first, "has_resubmitted_duplicates").alias("dup_flag"))
 
 
+def references(slim: DataFrame) -> DataFrame:
+    """Narrow rows whose note names a ticket."""
+    return slim.select("bronze_id", "duplicate_of_ticket_id").filter(F.col("duplicate_of_ticket_id").isNotNull())
+
+
 def missing_references(refs: DataFrame, slim: DataFrame) -> DataFrame:
     """Rows whose note names a ticket that exists neither as ticket nor as audited duplicate.
 

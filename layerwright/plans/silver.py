@@ -57,13 +57,13 @@ def parse_fields(rows: DataFrame) -> DataFrame:
     texts = ["created_at", "resolved_at", "status", "priority", "cost", "sla_hours", "resolution_notes", "assigned_to"]
     rows = clean.with_clean(rows, {f"{c}_text": c for c in texts}).drop(*texts)
     t = {c: F.col(f"{c}_text") for c in texts}
-    rows = rows.withColumns({
+    rows = rows.withColumn("cost_bare", clean.bare_amount(t["cost"])).withColumns({
         "created_at": clean.parse_timestamp(t["created_at"]),
         "resolved_at": clean.parse_timestamp(t["resolved_at"]),
         "status": clean.status_value(t["status"]),
         "priority": clean.priority_value(t["priority"]),
-        "cost_usd": clean.cost_value(t["cost"]),
-        "cost_flag": clean.cost_flag(t["cost"]),
+        "cost_usd": clean.cost_value(t["cost"], F.col("cost_bare")),
+        "cost_flag": clean.cost_flag(t["cost"], F.col("cost_bare")),
         "sla_hours": clean.sla_value(t["sla_hours"]),
         "sla_flag": clean.sla_flag(t["sla_hours"]),
         "assignee": enrich.assignee_name(t["assigned_to"]),
@@ -128,16 +128,14 @@ def _flags() -> Column:
     ))
 
 
-def _row_marks(slim: DataFrame, latest: DataFrame, outcomes: DataFrame, valid: DataFrame) -> DataFrame:
+def _row_marks(slim: DataFrame, latest: DataFrame, outcomes: DataFrame) -> DataFrame:
     """One narrow row per ticket row that a duplicate rule touches: drop it, or the flags to append."""
-    refs = (valid.select("bronze_id", clean.duplicate_reference(F.col("resolution_notes")).alias("duplicate_of_ticket_id"))
-            .filter(F.col("duplicate_of_ticket_id").isNotNull()))
     none = F.lit(None).cast("string")
     parts = [
         dedup.superseded(slim, latest).select("bronze_id", F.lit(True).alias("drop"), none.alias("f1"), none.alias("f2")),
         outcomes.select("bronze_id", F.col("survivor_ticket_id").isNotNull().alias("drop"),
                         F.col("dup_flag").alias("f1"), none.alias("f2")),
-        dedup.missing_references(refs, slim).select("bronze_id", F.lit(False).alias("drop"), none.alias("f1"),
+        dedup.missing_references(dedup.references(slim), slim).select("bronze_id", F.lit(False).alias("drop"), none.alias("f1"),
                                                     F.lit("duplicate_reference_not_found").alias("f2")),
     ]
     union = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -163,7 +161,7 @@ def build(raw: DataFrame, labels: DataFrame, templates: DataFrame, run_id: str =
     # decided once: the marks and the audit table both read them
     outcomes = dedup.content_outcomes(latest, safety_bits)
     outcomes = session.staged(outcomes, "outcomes") if stage else outcomes
-    marks = _row_marks(slim, latest, outcomes, valid)
+    marks = _row_marks(slim, latest, outcomes)
 
     names = people.people_map(valid).select("raw_name", F.col("submitted_by").alias("submitter"),
                                             "submitter_flag", "uses")

@@ -237,9 +237,8 @@ def duplicate_audit(spark, sf):
 
 
 def duplicate_references(spark, sf):
-    refs = (_valid(spark, sf).select("bronze_id", clean.duplicate_reference(F.col("resolution_notes")).alias("duplicate_of_ticket_id"))
-            .filter(F.col("duplicate_of_ticket_id").isNotNull()))
-    return dedup.missing_references(refs, _narrow(spark, sf)[0])
+    slim = _narrow(spark, sf)[0]
+    return dedup.missing_references(dedup.references(slim), slim)
 
 
 def silver_tickets(spark, sf):
