@@ -9,6 +9,9 @@ ranges is put together from its pieces afterwards, and only files that hold such
 Records follow the usual reader: a quote opens a field only at its start, two quotes inside stand for one, what follows a closing
 quote belongs to the field; lines end at \\n, \\r or \\r\\n; blank lines are no records. Nothing is trimmed. A byte order mark at
 the start goes, bytes that are no UTF-8 become U+FFFD. A quote that is never closed ends with the file, at its last line break.
+
+A file may also come in parts, as many tasks write it: a list of paths in their order, each of which ends with a line (not
+necessarily with a record). It is read like the one file that its parts make, under the name of the first.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,8 @@ _LINES = re.compile(r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+")
 _RETURN = re.compile(r"[^\r]*\r|[^\r]+")
 # the content key of a range: digests of its lines as digits of a number in this base, so that ranges of any cut combine
 _PRIME, _BASE = 2**127 - 1, 0x1F3D5B79A3C5E7091B2D4F6183A5C7E9 % (2**127 - 1)
+# the place of a range: number of the part times this, and where it starts in the part
+_PART = 2**44
 _RANGE = "path string, start long, lines long, key binary, states array<int>, ended array<long>, head array<string>"
 _ROW = "path string, row_no long, fields array<string>, surplus string"
 _RECORD = f"{_ROW}, start long, piece string"
@@ -46,6 +52,7 @@ class File:
     key: str = ""
     starts: dict[int, tuple[int, int]] = field(default_factory=dict)  # range -> (state, records before it)
     across: bool = False  # a record lies across ranges, or is never closed
+    parts: list[str] = field(default_factory=list)
 
 
 def plain(path: str) -> str:
@@ -53,6 +60,11 @@ def plain(path: str) -> str:
     return re.sub(r"^file:/+", "/", unquote(path) if "%" in path and ":" in path else path)
 
 
+def pieces_of(path: str | list[str]) -> list[str]:
+    """The parts of a file; a file in one piece is its only part."""
+    return [path] if isinstance(path, str) else list(path)
+
+
 def lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Lines of files with their file and byte range, in order within a range. Both passes must cut alike."""
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
@@ -62,8 +74,8 @@ def lines(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes], bool]]:
-    """(path, start, lines, whether the range begins with them), in pieces."""
+def _ranges(batches: Iterator[pa.RecordBatch], parts: dict[str, tuple[str, int]]) -> Iterator[tuple[str, int, list[bytes], bool]]:
+    """(path of the file, place, lines, whether the range begins with them), in pieces."""
     last = None
     for batch in batches:
         paths, starts, held = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
@@ -71,7 +83,8 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[
         for i in range(1, len(held) + 1):
             if i == len(held) or (paths[i], starts[i]) != (paths[at], starts[at]):
                 here = (paths[at], starts[at])
-                yield plain(here[0]), here[1], held[at:i], here != last
+                name, number = parts[plain(here[0])]
+                yield name, number * _PART + here[1], held[at:i], here != last
                 last, at = here, i
 
 
@@ -103,11 +116,11 @@ def _parse(texts: Iterable[str]) -> list[list[str]]:
     return [r for r in csv.reader(texts) if r]
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], parts: dict[str, tuple[str, int]]) -> Iterator[pa.RecordBatch]:
     """First pass: one row for each range."""
     out: list[dict] = []
     head: list[str] | None = None
-    for path, start, held, begins in _ranges(batches):
+    for path, start, held, begins in _ranges(batches, parts):
         if begins:
             out.append({"path": path, "start": start, "lines": 0, "key": 0, "states": [BETWEEN, QUOTED], "ended": [0, 0], "head": None})
             head = [] if start == 0 else None
@@ -131,10 +144,20 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([r | {"key": r["key"].to_bytes(16)} for r in out], schema)
 
 
-def survey(spark: SparkSession, paths: list[str]) -> dict[str, File]:
+def _part_numbers(spark: SparkSession, files: Iterable[File]) -> Broadcast:
+    """One entry for each part: the file and the number of the part."""
+    return spark.sparkContext.broadcast({plain(p): (plain(f.path), i) for f in files for i, p in enumerate(f.parts)})
+
+
+def survey(spark: SparkSession, paths: list[str | list[str]]) -> dict[str, File]:
     """First pass over all files in one job. One row for each byte range comes to the driver, which plans a task for each."""
-    files = {plain(p): File(p) for p in paths}
-    found = lines(spark, paths).mapInArrow(_scan, _RANGE).collect() if paths else []
+    files = {plain(own[0]): File(own[0], parts=own) for own in map(pieces_of, paths)}
+    numbers = _part_numbers(spark, files.values())
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _scan(batches, numbers.value)
+
+    found = lines(spark, [p for f in files.values() for p in f.parts]).mapInArrow(scan, _RANGE).collect() if paths else []
     by: dict[str, list] = {name: [] for name in files}
     for row in found:
         by[row["path"]].append(row)
@@ -151,16 +174,16 @@ def survey(spark: SparkSession, paths: list[str]) -> dict[str, File]:
         f.across |= state == QUOTED
         records = before + (state == QUOTED)
         if records and not f.header:
-            f.header = _long_header(spark, f.path)
+            f.header = _long_header(spark, f)
         f.rows = max(records - 1, 0)
         f.key = hashlib.sha256(f"{count}:{number:x}".encode()).hexdigest()
     return files
 
 
-def _long_header(spark: SparkSession, path: str) -> list[str]:
+def _long_header(spark: SparkSession, file: File) -> list[str]:
     """A header that does not end in the first range: read the file from its start until it does."""
     held, state = [], BETWEEN
-    for i, row in enumerate(lines(spark, [path]).toLocalIterator()):
+    for i, row in enumerate(row for part in file.parts for row in lines(spark, [part]).toLocalIterator()):
         for line in _texts([bytes(row["line"])], i == 0):
             if held or not _blank(line):
                 state = _after(line, state)
@@ -174,9 +197,10 @@ def records(spark: SparkSession, files: dict[str, File]) -> DataFrame:
     """Second pass: path, row_no (1 is the first row after the header), fields, and a JSON list of those the header has no name for."""
     # one entry for each range
     places = spark.sparkContext.broadcast({name: (len(f.header), f.starts) for name, f in files.items()})
+    numbers = _part_numbers(spark, files.values())
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _records(batches, places.value)
+        yield from _records(batches, places.value, numbers.value)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +208,7 @@ def records(spark: SparkSession, files: dict[str, File]) -> DataFrame:
                 yield _batch(path, number, _parse(_LINES.findall(text))[:1], places.value[path][0]).select(["path", "row_no", "fields", "surplus"])
 
     def scan(some: list[File]) -> DataFrame:
-        return lines(spark, [f.path for f in some]).mapInArrow(parse, _RECORD)
+        return lines(spark, [p for f in some for p in f.parts]).mapInArrow(parse, _RECORD)
 
     if not files:
         return spark.createDataFrame([], _ROW)
@@ -206,9 +230,10 @@ def _batch(path: str, number: int, rows: list[list[str]], width: int, start: int
         names=["path", "row_no", "fields", "surplus", "start", "piece"])
 
 
-def _records(batches: Iterator[pa.RecordBatch], places: dict[str, tuple[int, dict[int, tuple[int, int]]]]) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], places: dict[str, tuple[int, dict[int, tuple[int, int]]]],
+             parts: dict[str, tuple[str, int]]) -> Iterator[pa.RecordBatch]:
     path, start, state, number, width, waiting, whole = "", 0, BETWEEN, 0, 0, [], True
-    for name, at, held, begins in _ranges(batches):
+    for name, at, held, begins in _ranges(batches, parts):
         if begins:
             if waiting:
                 yield _batch(path, number, [], width, start, "".join(waiting))

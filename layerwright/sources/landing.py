@@ -72,22 +72,23 @@ def land(spark: SparkSession, path: str, source: str, root: str, run_id: str) ->
     return land_files(spark, [path], source, root, run_id)[0]
 
 
-def land_files(spark: SparkSession, paths: list[str], source: str, root: str, run_id: str) -> list[Landed]:
+def land_files(spark: SparkSession, paths: list[str | list[str]], source: str, root: str, run_id: str) -> list[Landed]:
     """Append files to `root`/bronze in the order given, but for content that has landed from this source before, or earlier
-    in the list. What is said of a file is as if they had landed one after the other. At most MOST_FILES files of a source."""
+    in the list. What is said of a file is as if they had landed one after the other. At most MOST_FILES files of a source.
+    A file in parts is the list of their paths, in order; it goes by the name of the first."""
     bronze_path, manifest_path, hashes_path = (f"{root}/{name}" for name in ("bronze", "manifest", "hashes"))
     surveyed = delimited.survey(spark, paths)
-    files = [surveyed[delimited.plain(p)] for p in paths]
+    files = [surveyed[delimited.plain(delimited.pieces_of(p)[0])] for p in paths]
     known, header, seq = _landed(_table(spark, manifest_path, MANIFEST).filter(F.col("source") == source), [f.key for f in files])
     batch, out, new = seq + 1, [], []
-    for path, f in zip(paths, files, strict=True):
+    for f in files:
         if f.key in known:
             out.append(Landed(known[f.key], 0, f.key, skipped=True))
             continue
         drift = None
         if header is not None and header != f.header:
             drift = {"added": [c for c in f.header if c not in header], "removed": [c for c in header if c not in f.header]}
-        name, header, seq, known[f.key] = path.rsplit("/", 1)[-1], f.header, seq + 1, f.rows
+        name, header, seq, known[f.key] = f.path.rsplit("/", 1)[-1], f.header, seq + 1, f.rows
         alerts = [f"{name}: columns new {drift['added']}, gone {drift['removed']}"] if drift else []
         out.append(Landed(f.rows, f.rows, f.key, drift=drift, alerts=alerts))
         new.append((f, name, seq, out[-1]))

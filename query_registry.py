@@ -338,11 +338,15 @@ def landed_text_rows(spark, sf):
     """Documents, with the line breaks and quotes in their texts, landed from one CSV file: row numbers and lineage."""
     def make() -> str:
         root, folder = session.fresh_folder(spark, "text-lake"), session.fresh_folder(spark, "csv-text")
-        docs = T.table(spark, sf, "documents").select("doc_id", "text", "lang").repartition(1).sortWithinPartitions("doc_id")
-        docs.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
-        paths = [r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path").collect()]
-        landing.land_files(spark, paths, "documents", root, "first")
-        landing.land_files(spark, paths, "documents", root, "again")
+        # one file in parts that many tasks write: the header, then the rows in order
+        docs = T.table(spark, sf, "documents").select("doc_id", "text", "lang").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        spark.createDataFrame([(",".join(docs.columns),)], "line string").coalesce(1).write.text(f"{folder}/header")
+        docs.write.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/rows")
+        written = [sorted(r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", glob).load(f"{folder}/{part}").select("path").collect())
+                   for part, glob in (("header", "*.txt"), ("rows", "*.csv"))]
+        file = [path for some in written for path in some]
+        landing.land_files(spark, [file], "documents", root, "first")
+        landing.land_files(spark, [file], "documents", root, "again")
         return root
     root = _once(spark, sf, "text-lake", make)
     rows = spark.read.schema(landing.BRONZE).parquet(f"{root}/bronze")

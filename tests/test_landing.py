@@ -1,6 +1,7 @@
 """The splittable reader against the plain one, and batches against one file after the other."""
 
 import csv
+import hashlib
 import io
 import json
 import random
@@ -90,6 +91,49 @@ def test_key_does_not_depend_on_the_cut(spark, tmp_path):
     assert [cut[p].key for p in paths] == [whole[p].key for p in paths] and whole[paths[0]].key == whole[paths[1]].key != whole[paths[2]].key
 
 
+def test_parts_read_like_the_file_they_make(spark, tmp_path, cuts):
+    rng = random.Random(6)
+    for i in range(4):
+        data = text(rng) if i else b'id,"a\nb",c\n1,"x\ny",z\n2,"never\nclosed'
+        (tmp_path / f"{i}.csv").write_bytes(data)
+        cut, parts = sorted(rng.sample(range(len(data)), 5)), []
+        places = [0, *sorted({data.find(b"\n", c) + 1 for c in cut} - {0}), len(data)]
+        for k, (a, b) in enumerate(zip(places, places[1:], strict=False)):
+            # the names say nothing about the order
+            parts.append(tmp_path / f"{i}-{-k % 7}-{k}.csv")
+            parts[-1].write_bytes(data[a:b])
+        parts, whole = [str(p) for p in parts], str(tmp_path / f"{i}.csv")
+        one, several = delimited.survey(spark, [whole]), delimited.survey(spark, [parts])
+        f, g = one[whole], several[parts[0]]
+        assert (f.header, f.rows, f.key) == (g.header, g.rows, g.key) and len(g.parts) == len(parts) > 1
+        rows = [sorted((r.row_no, r.fields, r.surplus) for r in delimited.records(spark, x).collect()) for x in (one, several)]
+        assert rows[0] == rows[1] and len(rows[0]) == f.rows
+        root = str(tmp_path / f"lake-{i}")
+        done = [landing.land_files(spark, [f], "s", root, "r")[0] for f in (parts, whole)]
+        assert [d.skipped for d in done] == [False, True] and done[0].rows_in == f.rows
+
+
+def test_documents_land_from_parts(spark, tmp_path, monkeypatch):
+    import query_registry
+    sf, asked = str(tmp_path), []
+    texts = ["plain", 'a "quote", and\na line', "", "\n\n", 'ends with "', None]
+    rows = [(i * 7 % 60, texts[i % 6], "en" if i % 4 else None) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{sf}/documents.parquet")
+    survey = delimited.survey
+    monkeypatch.setattr(delimited, "survey", lambda s, paths: asked.extend(paths) or survey(s, paths))
+    with monkeypatch.context() as m:
+        m.setattr(query_registry, "_KEPT", {})
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        try:
+            got = query_registry.landed_text_rows(spark, sf).orderBy("row_no").collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    assert all(isinstance(p, list) and len(p) > 3 for p in asked)  # no task wrote all rows
+    assert [(r.doc_id, r.row_no, r.number_in_file) for r in got] == [(i, i + 1, i + 1) for i in range(60)]
+    want = {i: (hashlib.md5((t or "").encode()).hexdigest(), lang or "") for i, t, lang in rows}
+    assert {r.doc_id: (r.text_md5, r.lang) for r in got} == want and all(r.named and r.row_count == 60 for r in got)
+
+
 def _files(folder, n, rng):
     """CSV files, some of them copies of earlier ones, with rows that come back and headers that change."""
     paths, contents = [], []
