@@ -31,8 +31,11 @@ def lookup(mapping: Mapping[str, str], key: Column) -> Column:
 
 
 def contains_any(text: Column, needles: Iterable[str]) -> Column:
-    """One literal alternation, so the text expression is evaluated once however many needles there are."""
-    return text.rlike("|".join(rf"\Q{n}\E" for n in needles))
+    """One literal alternation, so the text expression is evaluated once however many needles there are. The look at the first
+    letter goes first: most places of a text start no needle, and the alternation would try them all there."""
+    needles = list(needles)
+    heads = "".join(rf"\x{{{ord(h):x}}}" for h in sorted({n[0] for n in needles}))
+    return text.rlike(f"(?=[{heads}])(?:" + "|".join(rf"\Q{n}\E" for n in needles) + ")")
 
 
 def collapse(v: Column) -> Column:
@@ -82,14 +85,16 @@ def _iso_text(text: Column) -> Column:
     hour24 = F.when(hour.between(1, 12), hour % 12 + F.when(pm, 12).otherwise(0))
     months = {m: f"{i:02d}" for i, m in enumerate(fv.MONTHS, 1)}
     month = lookup(months, F.lower(F.regexp_extract(text, shapes["dd_mon_yyyy"], 2)))
-    iso = text.rlike(shapes["iso_t"]) | text.rlike(shapes["iso_space"]) | text.rlike(shapes["iso_date"])
+    # what a shape must hold goes first: a plain search costs a fraction of a pattern
+    slash, dash = F.contains(text, F.lit("/")), F.contains(text, F.lit("-"))
+    iso = (F.substring(text, 5, 1) == "-") & (text.rlike(shapes["iso_t"]) | text.rlike(shapes["iso_space"]) | text.rlike(shapes["iso_date"]))
     return (
         F.when(iso, F.upper(text))
-        .when(text.rlike(shapes["us_date"]), F.regexp_replace(text, shapes["us_date"], "$3-$1-$2"))
-        .when(text.rlike(shapes["us_dash_24h"]), F.regexp_replace(text, shapes["us_dash_24h"], "$3-$1-$2 $4"))
-        .when(text.rlike(us12), F.concat(F.regexp_replace(text, us12, "$3-$1-$2 "), hour24.cast("string"),
+        .when(slash & text.rlike(shapes["us_date"]), F.regexp_replace(text, shapes["us_date"], "$3-$1-$2"))
+        .when(dash & text.rlike(shapes["us_dash_24h"]), F.regexp_replace(text, shapes["us_dash_24h"], "$3-$1-$2 $4"))
+        .when(slash & text.rlike(us12), F.concat(F.regexp_replace(text, us12, "$3-$1-$2 "), hour24.cast("string"),
                                          F.regexp_replace(text, us12, ":$5:00")))
-        .when(text.rlike(shapes["dd_mon_yyyy"]),
+        .when(dash & text.rlike(shapes["dd_mon_yyyy"]),
               F.concat(F.regexp_replace(text, shapes["dd_mon_yyyy"], "$3-"), month,
                        F.regexp_replace(text, shapes["dd_mon_yyyy"], "-$1 $4:00")))
     )
@@ -99,7 +104,8 @@ def parse_timestamp(text: Column) -> Column:
     """TIMESTAMP_NTZ or NULL. The shape is tested first, so no cast has to fail on the way to the right
     format. Epoch seconds are UTC; every other shape is wall time."""
     # seconds since 1970 added to a zone-free timestamp: the session zone plays no part
-    seconds = F.when(text.rlike(fv.TIMESTAMP_SHAPES["epoch"]), text).try_cast("decimal(18,6)")
+    bare = ~F.contains(text, F.lit("-")) & ~F.contains(text, F.lit("/"))
+    seconds = F.when(bare & text.rlike(fv.TIMESTAMP_SHAPES["epoch"]), text).try_cast("decimal(18,6)")
     epoch = F.expr("timestamp_ntz '1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     ts = F.coalesce(epoch, _iso_text(text).try_cast("timestamp_ntz"))
     return F.when(F.year(ts).between(fv.MIN_YEAR, fv.MAX_YEAR), ts)
@@ -218,7 +224,8 @@ def room_name(text: Column) -> Column:
 
 
 def asset_id(text: Column) -> Column:
-    return F.regexp_substr(text, F.lit(fv.ASSET))
+    # the plain search goes first: an asset has a dash
+    return F.regexp_substr(F.when(F.contains(text, F.lit("-")), text), F.lit(fv.ASSET))
 
 
 def note_outcome(text: Column) -> Column:
@@ -236,7 +243,8 @@ def note_detail(text: Column, outcome: str) -> Column:
 
 def duplicate_reference(v: Column) -> Column:
     """Ticket named by a duplicate note. The pattern is the first one of all, so it can be asked alone."""
-    number = F.regexp_replace(F.regexp_extract(collapse(v), fv.NOTE_PATTERNS[0][0], 1), "^0+", "")
+    named = F.when(F.contains(v, F.lit("#")), v)  # most notes name none, and a plain search tells
+    number = F.regexp_replace(F.regexp_extract(collapse(named), fv.NOTE_PATTERNS[0][0], 1), "^0+", "")
     return F.concat(F.lit("TKT-"), F.nullif(number, F.lit("")))
 
 

@@ -149,7 +149,7 @@ def detect_swap(rows: DataFrame, labels: DataFrame) -> DataFrame:
     small = skew.fits(info)
     r = (rows.withColumn("_cat_key", clean.normalize_label(F.col("category")))
          .withColumn("_desc", clean.clean_text(F.col("description")))
-         .withColumn("_desc_key", clean.normalize_label(F.col("_desc"))))
+         .withColumn("_desc_key", F.coalesce(F.lower("_desc"), F.lit(""))))  # cleaned already
     for key, out in (("_cat_key", "_cat_info"), ("_desc_key", "_desc_info")):
         side = info.select(F.col("label").alias("_label"), F.col("info").alias(out))
         if small:

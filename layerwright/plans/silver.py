@@ -69,13 +69,20 @@ def parse_fields(rows: DataFrame) -> DataFrame:
         "assignee": enrich.assignee_name(t["assigned_to"]),
         "assignee_type": enrich.assignee_type(t["assigned_to"]),
         "resolution_outcome": clean.note_outcome(t["resolution_notes"]),
-        "root_cause": clean.note_detail(t["resolution_notes"], "resolved_root_cause"),
-        "part_replaced": clean.note_detail(t["resolution_notes"], "fixed_on_site"),
-        "eta_business_days": clean.note_detail(t["resolution_notes"], "parts_on_order").try_cast("int"),
-        "onsite_hours": clean.note_detail(t["resolution_notes"], "completed").try_cast("decimal(6,2)"),
-        "duplicate_of_ticket_id": clean.duplicate_reference(t["resolution_notes"]),
     })
+    # the outcome tells which pattern the note has, so that one alone is asked for its value
+    def noted(outcome: str, value: Column) -> Column:
+        return F.when(F.col("resolution_outcome") == outcome, value)
+
+    def detail(outcome: str) -> Column:
+        return noted(outcome, clean.note_detail(t["resolution_notes"], outcome))
+
     rows = rows.withColumns({
+        "root_cause": detail("resolved_root_cause"),
+        "part_replaced": detail("fixed_on_site"),
+        "eta_business_days": detail("parts_on_order").try_cast("int"),
+        "onsite_hours": detail("completed").try_cast("decimal(6,2)"),
+        "duplicate_of_ticket_id": noted("duplicate", clean.duplicate_reference(t["resolution_notes"])),
         "is_open": clean.is_open(F.col("status")),
         "seconds": clean.seconds_between(F.col("created_at"), F.col("resolved_at")),
     })
