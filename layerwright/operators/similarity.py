@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,8 +12,8 @@ from layerwright.functions import clean
 
 # sets of one token that meet in one cell of its grid
 SPLIT = 5_000
-# 64-bit words of the parity maps that bound an overlap before a pair leaves the join
-WORDS = 32
+# one in so many of the common tokens that a prefix holds beyond the first must be seen before a pair is measured
+COUNTED = 4
 
 
 def token_sets(df: DataFrame, text: str) -> DataFrame:
@@ -28,35 +26,39 @@ def token_sets(df: DataFrame, text: str) -> DataFrame:
 
 def distinct_sets(df: DataFrame) -> DataFrame:
     """One row per different token set: copies of a text, however many, are compared once."""
-    return df.groupBy("set_id").agg(F.min("kind").alias("kind"), F.min("tokens").alias("tokens"))
-
-
-def _parity(ids: Column, word: int) -> Column:
-    """One word of a set's parity map: each token flips one bit of one word."""
-    own = F.filter(ids, lambda t: F.pmod(F.shiftright(t, 6), F.lit(WORDS)) == word)
-    return F.aggregate(own, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(t, F.lit(64)).cast("int"))))
+    # as one text: a list of words takes several times the room in a shuffle, and words have no spaces
+    one = df.groupBy("set_id").agg(F.min("kind").alias("kind"), F.min(F.array_join("tokens", " ")).alias("words"))
+    return one.select("set_id", "kind", F.split("words", " ").alias("tokens"))
 
 
 def _narrow(sets: DataFrame) -> DataFrame:
-    """Sets by a short id, with 64-bit token ids and their parity map."""
-    ids = F.transform("tokens", lambda t: F.xxhash64(t))  # noqa: PLW0108
-    rows = sets.select("set_id", "kind", F.unhex(F.substring("set_id", 1, 32)).alias("id"), F.size("tokens").alias("n"),
-                       F.explode(F.array(ids)).alias("ids"))  # hashed once, see token_sets
-    return rows.select("*", F.struct(*[_parity(F.col("ids"), w).alias(f"m{w}") for w in range(WORDS)]).alias("map"))
+    """Sets with 64-bit token ids, which differ between kinds. A set without a kind is like no other."""
+    ids = F.transform("tokens", lambda t: F.xxhash64("kind", t))
+    return sets.filter(F.col("kind").isNotNull()).select("set_id", F.size("tokens").alias("n"), F.explode(F.array(ids)).alias("ids"))  # hashed once, see token_sets
 
 
-def _apart(a: str, b: str) -> Column:
-    """At most as many as the tokens that only one of two sets has: a bit differs only where one of those flipped it."""
-    return reduce(lambda x, y: x + y, [F.bit_count(F.col(a)[f"m{w}"].bitwiseXOR(F.col(b)[f"m{w}"])) for w in range(WORDS)])
+def _both(probe: DataFrame, index: DataFrame) -> DataFrame:
+    """The sets of both sides, each once and by a number: id, set_id, n, ids, asked (a probe), given (in the index)."""
+    asked, given = (rows.withColumn("asked", F.lit(side)).withColumn("given", F.lit(not side)) for rows, side in ((probe, True), (index, False)))
+    one = asked.unionByName(given).groupBy("set_id").agg(
+        F.first("n").alias("n"), F.first("ids").alias("ids"), F.max("asked").alias("asked"), F.max("given").alias("given"))
+    return session.staged(one.withColumn("id", F.monotonically_increasing_id()), "sets")
 
 
-def _prefix(sets: DataFrame, rarity: DataFrame, threshold: float) -> DataFrame:
-    """The rarest tokens of each set, enough that two sets with the wanted overlap must share one."""
-    words = sets.select("id", "kind", "n", "map", F.explode("ids").alias("token"))
-    ranked = words.join(rarity, ["kind", "token"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "token"))
-    keep = F.col("n") - F.ceil(F.col("n") * threshold - F.lit(1e-9)) + 1
-    return ranked.withColumn("r", rank).filter(F.col("r") <= keep).select("id", "kind", "n", "map", "r", "token", "df")
+def _prefix(both: DataFrame, threshold: float) -> DataFrame:
+    """The rarest tokens of each set with their places, enough that two sets with the wanted overlap must share one.
+
+    Tokens that no two sets of different sides share come first: they take places and need no row.
+    """
+    words = both.select("id", "asked", "given", F.explode("ids").alias("token"))
+    shared = words.groupBy("token").agg(F.count("*").alias("df"), F.max("asked").alias("asked"), F.max("given").alias("given")).filter("df > 1 AND asked AND given")
+    order = F.array_sort(F.collect_list(F.struct("df", "token")))
+    ranked = words.select("id", "token").join(shared.select("token", "df"), "token").groupBy("id").agg(order.alias("order"))
+    alone = F.col("n") - F.size("order")
+    keep = F.col("n") - F.ceil(F.col("n") * threshold - F.lit(1e-9)) + 1 - alone
+    head = F.slice("order", F.lit(1), F.greatest(keep, F.lit(0)).cast("int"))
+    return (ranked.join(both.select("id", "n", "asked", "given"), "id").select("id", "n", "asked", "given", alone.alias("alone"), F.posexplode(head).alias("place", "t"))
+            .select("id", "n", "asked", "given", (F.col("alone") + F.col("place") + 1).alias("r"), "t.token", "t.df"))
 
 
 def _cells(rows: DataFrame, own: str, other: str) -> DataFrame:
@@ -66,20 +68,43 @@ def _cells(rows: DataFrame, own: str, other: str) -> DataFrame:
     return rows.withColumn(own, F.pmod(F.xxhash64("id"), parts)).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("df")
 
 
-def _candidates(probe: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
-    """pid, iid: the pairs that lengths, places and parity maps leave, each once."""
-    rarity = index.select("kind", F.explode("ids").alias("token")).groupBy("kind", "token").agg(F.count("*").alias("df"))
-    p = _cells(_prefix(probe, rarity, threshold), "a", "b").select(
-        F.col("id").alias("pid"), "kind", "token", "a", "b", F.col("n").alias("pn"), F.col("r").alias("pr"), F.col("map").alias("pm"))
-    i = _cells(_prefix(index, rarity, threshold), "b", "a").select(
-        F.col("id").alias("iid"), "kind", "token", "a", "b", F.col("n").alias("i_n"), F.col("r").alias("ir"), F.col("map").alias("im"))
+def _met(both: DataFrame, threshold: float) -> DataFrame:
+    """pid, iid: different sets that lengths, places and the number of common rare tokens leave. Of sets that stand on both sides, each
+    two come once.
+
+    A pair needs `needed` common tokens, and `spare` may be missing before the end of a prefix is reached. So of the first
+    part of `spare` plus one common tokens, each has `needed` less that part from its place on, on both sides: tokens without that don't
+    count, and the others must be that many. Nothing but two numbers and that count leaves the join for a common token.
+    """
+    rows = _prefix(both, threshold)
+    p = _cells(rows.filter("asked"), "a", "b").select(
+        F.col("id").alias("pid"), "token", "a", "b", F.col("n").alias("pn"), F.col("r").alias("pr"), F.col("given").alias("also"))
+    i = _cells(rows.filter("given"), "b", "a").select(
+        F.col("id").alias("iid"), "token", "a", "b", F.col("n").alias("i_n"), F.col("r").alias("ir"), F.col("asked").alias("too"))
     lengths = (F.col("pn") >= F.col("i_n") * threshold) & (F.col("i_n") >= F.col("pn") * threshold)
     needed = F.ceil((F.col("pn") + F.col("i_n")) * (threshold / (1 + threshold)) - F.lit(1e-9))
+    spare = needed - F.ceil(F.greatest("pn", "i_n") * threshold - F.lit(1e-9))
+    more = F.greatest(F.floor(spare / COUNTED), F.lit(0))
     left_over = 1 + F.least(F.col("pn") - F.col("pr"), F.col("i_n") - F.col("ir"))
-    # |both| - 2 |common| tokens stand on one side only, so the maps prove of most pairs that too few are common
-    enough = (F.col("pn") + F.col("i_n") - _apart("pm", "im")) >= 2 * needed
-    met = p.join(i, ["kind", "token", "a", "b"]).filter(lengths & (left_over >= needed) & enough)
-    return met.select("pid", "iid").distinct()
+    once = (F.col("pid") != F.col("iid")) & (~F.col("also") | ~F.col("too") | (F.col("pid") < F.col("iid")))
+    met = p.join(i, ["token", "a", "b"]).filter(once & lengths & (left_over >= needed - more)).select("pid", "iid", (more + 1).alias("least"))
+    # by one side: what a set meets stays together and packs well
+    return met.repartition("pid").groupBy("pid", "iid").agg(F.count("*").alias("c"), F.first("least").alias("least")).filter("c >= least").select("pid", "iid")
+
+
+def _candidates(probe: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
+    """probe_id, index_id, both, common: the pairs with enough common tokens, measured by their token ids, and every set of both sides with itself."""
+    sets = _both(probe, index)
+    left = sets.select(F.col("id").alias("pid"), F.col("set_id").alias("probe_id"), F.col("ids").alias("pt"), F.col("given").alias("also"))
+    right = sets.select(F.col("id").alias("iid"), F.col("set_id").alias("index_id"), F.col("ids").alias("it"), F.col("asked").alias("too"))
+    common = F.explode(F.array(F.size(F.array_intersect("pt", "it")))).alias("common")  # measured once, see token_sets
+    met = (_met(sets, threshold).join(left, "pid").join(right, "iid")
+           .select("probe_id", "index_id", (F.size("pt") + F.size("it")).alias("both"), (F.col("also") & F.col("too")).alias("mutual"), common))
+    ways = F.when(F.col("mutual"), F.array(F.struct("probe_id", "index_id"), F.struct(F.col("index_id").alias("probe_id"), F.col("probe_id").alias("index_id"))))
+    way = F.explode(F.coalesce(ways, F.array(F.struct("probe_id", "index_id")))).alias("way")
+    enough = met.filter(F.col("common") >= F.col("both") * (threshold / (1 + threshold)) - F.lit(1e-9)).select(way, "both", "common").select("way.*", "both", "common")
+    own = sets.filter("asked AND given").select(F.col("set_id").alias("probe_id"), F.col("set_id").alias("index_id"), (2 * F.col("n")).alias("both"), F.col("n").alias("common"))
+    return enough.unionByName(own)
 
 
 def similar_sets(probe: DataFrame, index: DataFrame, threshold: float) -> DataFrame:
@@ -87,18 +112,13 @@ def similar_sets(probe: DataFrame, index: DataFrame, threshold: float) -> DataFr
 
     Pairs come from an equality join on rare tokens (prefix filter) with two conditions: the lengths can
     reach the threshold, and so can the tokens left from the match on (both sides are in the same order,
-    so the first common token of a wanted pair always passes). A token that many sets hold is split over a grid of
-    tasks. Parity maps, which every prefix row carries, drop most pairs inside the join, before anything is written for them. Each
-    pair left is then measured by its token ids.
+    so the first common tokens of a wanted pair always pass). A token that many sets hold is split over a grid of
+    tasks. Rows are numbers only: of pairs, those with enough common rare tokens are left, and only for them token ids are
+    fetched and measured.
     """
-    probe, index = _narrow(probe), _narrow(index)
-    pairs = _candidates(probe, index, threshold)
-    left = probe.select(F.col("id").alias("pid"), F.col("set_id").alias("probe_id"), F.col("ids").alias("pt"))
-    right = index.select(F.col("id").alias("iid"), F.col("set_id").alias("index_id"), F.col("ids").alias("it"))
-    common = F.explode(F.array(F.size(F.array_intersect("pt", "it")))).alias("common")  # measured once, see token_sets
-    met = pairs.join(left, "pid").join(right, "iid").select("probe_id", "index_id", (F.size("pt") + F.size("it")).alias("both"), common)
+    pairs = _candidates(_narrow(probe), _narrow(index), threshold)
     similarity = F.col("common") / (F.col("both") - F.col("common"))
-    return met.select("probe_id", "index_id", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
+    return pairs.select("probe_id", "index_id", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
 def recall(batch: DataFrame, episodes: DataFrame, k: int = fv.RECALL_K, min_similarity: float = fv.RECALL_MIN_SIMILARITY,
@@ -143,26 +163,31 @@ def human_signal(asked: DataFrame, decisions: DataFrame, min_similarity: float =
     fields, key = _fields(F.col("answer")), _as_key(F.col("fields"))
     question = (asked.select("kind", "text", fields.alias("fields")).withColumn("answer_key", key)
                 .groupBy("kind", "text", "answer_key").agg(F.first("fields").alias("fields")))
-    a = session.staged(token_sets(question, "text"), "asked-tokens")
-    d = session.staged(token_sets(decisions.withColumn("fields", fields).withColumn("answer_key", key), "text"), "decision-tokens")
+    # texts travel twice only, to find equal questions and into the result: between, a question is a number and a text its hash
+    text_id = F.unhex(F.sha2("text", 256)).alias("text_id")
+    question = session.staged(question.select(F.monotonically_increasing_id().alias("question"), "kind", "text", text_id, "fields"), "questions")
+    a = session.staged(token_sets(question, "text").select("question", "kind", "fields", "tokens", "set_id"), "asked-tokens")
+    d = session.staged(token_sets(decisions.withColumn("fields", fields).withColumn("answer_key", key), "text")
+                       .select("kind", text_id, "fields", "answer_key", "tokens", "set_id"), "decision-tokens")
     votes = d.groupBy("set_id", "answer_key").agg(F.first("fields").alias("fields"), F.count("*").alias("n"))
     per_set = votes.groupBy("set_id").agg(F.sum("n").alias("all_n"), F.collect_list(F.struct("fields", "n")).alias("answers"))
     pairs = similar_sets(distinct_sets(a), distinct_sets(d), min_similarity)
-    near = (a.select("kind", "text", "answer_key", "fields", F.col("set_id").alias("probe_id")).join(pairs, "probe_id")
+    near = (a.select("question", "fields", F.col("set_id").alias("probe_id")).join(pairs, "probe_id")
             .join(per_set.withColumnRenamed("set_id", "index_id"), "index_id"))
 
     def same(given: Column) -> Column:
         return F.forall(F.map_keys("fields"), lambda f: F.try_element_at(given, f).eqNullSafe(F.try_element_at("fields", f)))
 
     agree = F.aggregate("answers", F.lit(0).cast("long"), lambda n, x: n + F.when(same(x["fields"]), x["n"]).otherwise(0))
-    asked_key = ["kind", "text", "answer_key"]
-    total = near.groupBy(*asked_key).agg(F.sum("all_n").alias("all_n"), F.sum(agree).alias("agree_n"))
-    own = (d.groupBy("kind", "text", "answer_key").agg(F.first("fields").alias("given"), F.count("*").alias("n"))
-           .groupBy("kind", "text").agg(F.sum("n").alias("own_n"), F.collect_list(F.struct(F.col("given").alias("fields"), "n")).alias("answers")))
-    out = question.join(total, asked_key, "left").join(own, ["kind", "text"], "left")
-    n = F.coalesce(F.col("all_n") - F.when(F.col("all_n").isNotNull(), F.coalesce("own_n", F.lit(0))), F.lit(0))
+    total = near.groupBy("question").agg(F.sum("all_n").alias("all_n"), F.sum(agree).alias("agree_n"))
+    own = (d.groupBy("kind", "text_id", "answer_key").agg(F.first("fields").alias("given"), F.count("*").alias("n"))
+           .groupBy("kind", "text_id").agg(F.sum("n").alias("own_n"), F.collect_list(F.struct(F.col("given").alias("fields"), "n")).alias("answers")))
+    counted = question.select("question", "kind", "text_id", "fields").join(total, "question").join(own, ["kind", "text_id"], "left")
+    n = F.col("all_n") - F.coalesce("own_n", F.lit(0))
     ok = F.col("agree_n") - F.coalesce(agree, F.lit(0))
-    return out.select("kind", "text", F.col("fields").alias("answer"), F.when(n > 0, ok / n).alias("human_signal"), n.alias("votes"))
+    counted = counted.select("question", F.when(n > 0, ok / n).alias("human_signal"), n.alias("votes"))
+    return question.join(counted, "question", "left").select(
+        "kind", "text", F.col("fields").alias("answer"), "human_signal", F.coalesce("votes", F.lit(0)).cast("long").alias("votes"))
 
 
 # ------------------------------------------------------------------ leakage

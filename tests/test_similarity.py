@@ -1,6 +1,7 @@
 """Similar sets against all pairs, with a token that every set holds, and the replay of recorded decisions."""
 
 import random
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +34,45 @@ def test_pairs_with_too_few_common_tokens_stay_inside_the_join(spark):
     assert similarity._candidates(sets, sets, 0.5).count() == len(texts) + 2 * 4
 
 
+def _shuffled(spark):
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    executors = sc.statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_a_token_travels_as_numbers(spark):
+    """Ranking tokens and letting them meet moves a few numbers for each, whatever else is known of their set."""
+    rng = random.Random(11)
+    words = ["w" + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(8000)]
+    texts = [" ".join(rng.sample(words, 250)) for _ in range(200)]
+    texts += [t.rsplit(" ", 9)[0] for t in texts[:20]]
+    spark.createDataFrame([(t, "x") for t in texts], "text string, kind string").write.parquet(folder := tempfile.mkdtemp() + "/texts")
+    sets = similarity.token_sets(spark.read.parquet(folder), "text")
+    before, broadcast = _shuffled(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert similarity.similar_sets(similarity.distinct_sets(sets), similarity.distinct_sets(sets), 0.5).count() == 220 + 2 * 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    used = _shuffled(spark) - before
+    assert used < 150 * 250 * len(texts), used
+
+
+def test_sets_of_two_sides_meet_across_only(spark):
+    """Sets that stand on one side only, on both, and alike sets of no kind: every pair in every wanted direction, once."""
+    rng = random.Random(3)
+    rows = [(rng.choice(["x", "y", None]), " ".join(rng.sample("aa bb cc dd ee ff gg hh ii jj kk ll".split(), rng.randrange(1, 9)))) for _ in range(140)]
+    one, two = (spark.createDataFrame(part * 2, "kind string, text string") for part in (rows[:90], rows[60:]))
+    a, b = (similarity.distinct_sets(similarity.token_sets(df, "text")) for df in (one, two))
+    left, right = ({r.set_id: (r.kind, set(r.tokens)) for r in df.collect()} for df in (a, b))
+    for threshold in (0.3, 0.5, 0.8):
+        got = [(r.probe_id, r.index_id, round(r.similarity, 9)) for r in similarity.similar_sets(a, b, threshold).collect()]
+        want = [(i, j, round(len(s & t) / len(s | t), 9)) for i, (k, s) in left.items() for j, (m, t) in right.items()
+                if k is not None and k == m and len(s & t) >= threshold * len(s | t)]
+        assert sorted(got) == sorted(want)
+
+
 def test_cells_bound_what_meets(spark, monkeypatch):
     monkeypatch.setattr(similarity, "SPLIT", 50)
     rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit("hot").alias("token"), F.lit(3000).alias("df"))
