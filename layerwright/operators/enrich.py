@@ -13,8 +13,8 @@ from layerwright.functions import clean
 from layerwright.operators import skew
 
 
-# letters of the pieces by which names are found in texts
-ANCHOR = 5
+# letters of the pieces by which names are found in texts; a name takes a longer one than SIZES[1] only if each shorter one is in more than FEW names
+SIZES, FEW = (5, 8, 16, 32), 1_000
 
 
 # ------------------------------------------------------------------ building names
@@ -48,62 +48,73 @@ def _mask(text: Column, patterns: Column) -> Column:
     return F.aggregate(patterns, text, lambda acc, p: F.regexp_replace(acc, p, F.lit("<bldg>")))
 
 
-def _longest_first(entries: Column) -> Column:
-    return F.transform(F.array_sort(entries), lambda e: e["pattern"])
+def _longest_first(names: Column) -> Column:
+    """Patterns of the names, in the order in which they are masked."""
+    entries = F.transform(names, lambda n: F.struct((-F.length(n)).alias("rank"), n.alias("name")))
+    return F.transform(F.array_sort(entries), lambda e: _quoted(e["name"]))
 
 
-def _entry(name: Column, needed: Column) -> Column:
-    return F.struct((-F.length(name)).alias("rank"), name.alias("name"), _quoted(name).alias("pattern"), needed.alias("needed"))
+def _cut(text: Column, size: int) -> Column:
+    """The pieces of a text that have the size, as 64-bit hashes."""
+    # a text shorter than the size gives itself, which is no anchor of that size
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.transform(places, lambda i: F.xxhash64(F.substring(text, i, F.lit(size))))
 
 
-def _pieces(text: Column, sizes: list[int]) -> Column:
-    """The different pieces of a text that have one of the sizes."""
-    def cut(n: int) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1)))
-        return F.transform(places, lambda i: F.substring(text, i, F.lit(n)))
-    # a text shorter than a size gives itself, which is no anchor of that size
-    return F.array_distinct(F.concat(*map(cut, sizes)))
+def _offered(needed: Column) -> Column:
+    """size, anchor: the pieces under which a name may stand in the index. A short name is its own anchor."""
+    n, kind = F.length(needed), "array<struct<size:int,anchor:bigint>>"
+
+    def sized(size: int) -> Column:
+        return F.transform(_cut(needed, size), lambda h: F.struct(F.lit(size).alias("size"), h.alias("anchor")))
+
+    long = F.concat(sized(SIZES[1]), *[F.when(n >= size, sized(size)).otherwise(F.array().cast(kind)) for size in SIZES[2:]])
+    whole = F.array(F.struct(n.alias("size"), F.xxhash64(needed).alias("anchor")))
+    return F.array_distinct(F.when(n < SIZES[0], whole).when(n < SIZES[1], sized(SIZES[0])).otherwise(long))
 
 
 def _anchors(names: DataFrame) -> DataFrame:
-    """anchor, name, needed: each name under the piece of what a text needs that the fewest names have."""
-    whole = F.length("needed") < ANCHOR
-    pieces = names.select("name", "needed", F.explode(F.when(whole, F.array("needed")).otherwise(_pieces(F.col("needed"), [ANCHOR]))).alias("anchor"))
+    """anchor, size, name, needed: each name under the piece of what a text needs that the fewest names have, short pieces first as long
+    as few names have them. Pieces are counted and chosen as numbers."""
+    numbered = session.staged(names.withColumn("id", F.monotonically_increasing_id()), "numbered-names")
+    pieces = numbered.select("id", F.explode(_offered(F.col("needed"))).alias("p")).select("id", "p.size", "p.anchor")
     uses = pieces.groupBy("anchor").agg(F.count("*").alias("uses"))
-    return (pieces.join(uses.hint("merge"), "anchor").groupBy("name", "needed").agg(F.min(F.struct("uses", "anchor"))["anchor"].alias("anchor"))
-            .select("anchor", "name", "needed"))
+    rank = F.struct(F.when(F.col("uses") <= FEW, F.col("size")).otherwise(SIZES[-1] + 1).alias("order"), "uses", "anchor", "size")
+    best = pieces.join(uses.hint("merge"), "anchor").groupBy("id").agg(F.min(rank).alias("best"))
+    return best.join(numbered.hint("merge"), "id").select("best.anchor", "best.size", "name", "needed")
 
 
 def with_template(rows: DataFrame, names: DataFrame, text: str = "description", out: str = "description_template",
                   row_id: str = "bronze_id") -> DataFrame:
     """Add the masked template of a text; '' when there is no text. The same way for any number of names.
 
-    Each name stands in an index under one anchor: the piece of ANCHOR letters that the fewest names have. Each distinct
-    text asks for its pieces of that length, whatever lengths the names have, and the names found are looked for in the
-    text itself. So work grows with the text and never with text x names or text x lengths. The names that are there
-    are then masked one after the other, longest first.
+    Each name stands in an index under one anchor: a piece of few possible lengths that the fewest names have, as a hash. Each distinct
+    text asks for its pieces of those lengths, whatever lengths the names have, and the names found are looked for in the
+    text itself. So work grows with the text and never with text x names or text x lengths; what is shuffled for a piece is
+    two numbers. The names that are there are then masked one after the other, longest first.
     """
-    texts = (rows.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count("*").alias("uses"))
-             .withColumn("text_id", F.sha2("text", 256)))
+    texts = rows.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.count("*").alias("uses"))
     # the pieces and the masking both read the distinct texts: found once
-    texts = session.staged(texts, "texts")
+    texts = session.staged(texts.withColumn("text_id", F.monotonically_increasing_id()), "texts")
     keyed = session.staged(_anchors(names.filter(F.length("name") > 0).select("name", _needed(F.col("name")).alias("needed")).distinct()), "names")
     # names that are pieces of the placeholder itself: their letters bound how many there can be of a length
     always = sorted(r[0] for r in keyed.filter("needed = ''").select("name").collect())
-    entry_type = "array<struct<rank:int,name:string,pattern:string,needed:string>>"
-    fixed = F.array(*[_entry(F.lit(n), F.lit("")) for n in always]) if always else F.array().cast(entry_type)
-    anchors = keyed.filter("needed <> ''")
-    # at most ANCHOR numbers: shorter names are their own anchor
-    sizes = [r[0] for r in anchors.select(F.length("anchor")).distinct().collect()]
-    pieces = (texts.select("text_id", F.explode(_pieces(F.lower("text"), sizes)).alias("anchor")) if sizes
-              else texts.limit(0).select("text_id", F.lit("").alias("anchor")))
+    fixed = F.array(*map(F.lit, always)) if always else F.array().cast("array<string>")
+    # what a text needs is mostly the name itself and then not sent along
+    part = F.when(F.col("needed") != F.lower("name"), F.col("needed")).alias("part")
+    anchors = keyed.filter("needed <> ''").select("anchor", "name", part)
+    # at most SIZES[0] - 1 + len(SIZES) numbers: shorter names are their own anchor
+    sizes = sorted(r[0] for r in keyed.filter("needed <> ''").select("size").distinct().collect())
+    pieces = (texts.select("text_id", F.explode(F.array_distinct(F.concat(*[_cut(F.lower("text"), n) for n in sizes]))).alias("anchor")) if sizes
+              else texts.limit(0).select("text_id", F.lit(0).cast("long").alias("anchor")))
     met = pieces.join(F.broadcast(anchors) if skew.fits(anchors) else anchors.hint("merge"), "anchor")
-    per_text = met.groupBy("text_id").agg(F.collect_set(_entry(F.col("name"), F.col("needed"))).alias("entries"))
-    there = F.filter(F.coalesce("entries", F.array().cast(entry_type)), lambda e: F.contains(F.lower("text"), e["needed"]))
-    entries = F.array_distinct(F.concat(there, fixed))
+    per_text = met.groupBy("text_id").agg(F.collect_set(F.struct("name", "part")).alias("found"))
+    found = F.coalesce("found", F.array().cast("array<struct<name:string,part:string>>"))
+    there = F.filter(found, lambda e: F.contains(F.lower("text"), F.coalesce(e["part"], F.lower(e["name"]))))
+    named = F.array_distinct(F.concat(F.transform(there, lambda e: e["name"]), fixed))
     # merge: a table that is small when packed is many times that as a list of names in one process
     masked = (texts.join(per_text.hint("merge"), "text_id", "left")
-              .select("text", "uses", clean.mask_variables(_mask(F.col("text"), _longest_first(entries))).alias(out)))
+              .select("text", "uses", clean.mask_variables(_mask(F.col("text"), _longest_first(named))).alias(out)))
     # three steps of the join read it: masked once
     masked = session.staged(masked, "masked")
     joined = skew.spread_join(rows, masked, F.col(text), "text", "uses", F.col(row_id))
