@@ -104,5 +104,34 @@ def test_pages(spark):
     assert got == sorted(want, key=str)
 
 
+def test_runs_of_articles_are_found(spark):
+    """Pages that mark their article take part as a whole: their blocks repeat, that is counted, and the marks keep them. What only articles
+    of other pages hold is no boilerplate of a page without marks."""
+    licence = "<p>This text may be copied by all who name its author</p>"
+    page = lambda i: f"<nav>menu of this site with many entries</nav><article><h1>Title {i}</h1><p>Own words {i} of page {i}</p>{licence}</article>"
+    rows = [(i, "http://a.example/", page(i)) for i in range(4)] + [(4, "http://b.example/", page(4)), (5, "http://a.example/", f"<p>Its own story, page without marks</p>{licence}")]
+    rows += [(6, "http://c.example/", page(6)), (7, "http://c.example/", f"<main>{licence}<p>more {7}</p></main>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: (r.text, r.n_repeated) for r in mainhtml.extract(df, "page_id", "url", "html").collect()}
+    text = "This text may be copied by all who name its author"
+    want = {i: (f"Title {i}\nOwn words {i} of page {i}\n{text}", int(i != 4)) for i in (0, 1, 2, 3, 4, 6)}
+    assert got == {**want, 5: (f"Its own story, page without marks\n{text}", 0), 7: (f"{text}\nmore 7", 1)}
+
+
+def test_streams_hold_all_blocks_that_repeat(spark):
+    rng = random.Random(8)
+    host = [rng.choice(["a", "b", ""]) for _ in range(40)]
+    tokens = [[rng.choice([rng.randrange(9), rng.randrange(10**9)]) for _ in range(rng.randrange(15))] for _ in host]
+    out = [[rng.random() < .6 for _ in t] for t in tokens]
+    df = spark.createDataFrame(list(zip(range(40), host, tokens, out, strict=True)), "row long, host string, tokens array<bigint>, outside array<boolean>")
+    for outside in (False, True):
+        use = [[not outside or o for o in x] for x in out]
+        elsewhere = lambda row, t: any(t == u and w for r in range(40) if r != row and host[r] == host[row] for u, w in zip(tokens[r], use[r], strict=True))  # noqa: B023, E731
+        want = {(row, i): t for row in range(40) for i, t in enumerate(tokens[row]) if use[row][i] and elsewhere(row, t)}
+        found = [(r.row, s.at, s.tokens) for r in mainhtml.streams(df, outside).collect() for s in r.streams]
+        assert {(row, at + i): t for row, at, some in found for i, t in enumerate(some)} == want
+        assert not {(row, at + len(some)) for row, at, some in found} & {(row, at) for row, at, _ in found}  # neighbours are in one stream
+
+
 def test_no_pages(spark):
     assert mainhtml.extract(spark.createDataFrame([], "page_id long, url string, html string"), "page_id", "url", "html").collect() == []
